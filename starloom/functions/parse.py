@@ -36,8 +36,51 @@ def lenient_int(c: Column | str, default: int | None = 1) -> Column:
     return F.coalesce(v, F.lit(int(default))) if default is not None else v
 
 
+_FIXED_WIDTH = {"y": 4, "M": 2, "d": 2, "H": 2, "m": 2, "s": 2}
+
+
+def _length_range(fmt: str) -> tuple[int, int] | None:
+    """Text length a pattern can match, or ``None`` when it has fields of unknown width."""
+    lo = hi = 0
+    i = 0
+    while i < len(fmt):
+        ch = fmt[i]
+        if ch == "'":
+            j = fmt.index("'", i + 1)
+            lo, hi = lo + (j - i - 1), hi + (j - i - 1)
+            i = j + 1
+            continue
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch.isalpha():
+            if ch == "S":
+                lo, hi = lo + 1, hi + run
+            elif _FIXED_WIDTH.get(ch) == run:
+                lo, hi = lo + run, hi + run
+            else:
+                return None
+        else:
+            lo, hi = lo + run, hi + run
+        i = j
+    return lo, hi
+
+
 def lenient_timestamp(c: Column | str, formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS) -> Column:
-    """First format that parses the stripped text wins; nothing parses -> null. Result is zone-less."""
+    """First format that parses the stripped text wins; nothing parses -> null. Result is zone-less.
+
+    A format is only tried when the text has a length the format can produce (a necessary
+    condition), so most rows are parsed once instead of failing through the list: a failed
+    parse costs an exception inside the parser.
+    """
     s = strip_ws(c)
-    parsed = [F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats]
+    n = F.length(s)
+    parsed = []
+    for fmt in formats:
+        attempt = F.try_to_timestamp(s, F.lit(fmt))
+        bounds = _length_range(fmt)
+        if bounds is not None:
+            attempt = F.when(n.between(bounds[0], bounds[1]), attempt)
+        parsed.append(attempt)
     return F.coalesce(*parsed).cast("timestamp_ntz")

@@ -21,7 +21,6 @@ from starloom.functions import (
     lenient_timestamp,
     strip_ws,
     title_case,
-    to_day,
     zfill,
 )
 from starloom.operators.dedup import keep_first
@@ -137,6 +136,14 @@ def build_dim_date(days: DataFrame, day_col: str = "purchase_date") -> DataFrame
     return d.select(*dim_date_columns("d"))
 
 
+def dim_date_from_lines(lines: DataFrame) -> DataFrame:
+    """The date dimension of staged lines, from their ``date_key`` (distinct keys first: the
+    partial aggregation leaves at most one row per day per input partition)."""
+    keys = lines.select("date_key").where(F.col("date_key").isNotNull()).distinct()
+    day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
+    return keys.select(*dim_date_columns(day))
+
+
 def clean_orders(
     orders: DataFrame,
     items: DataFrame,
@@ -156,9 +163,7 @@ def clean_orders(
     i = parse_items(items)
     m = join_order_items(o, i)
     m = m.where(F.col("price") > F.lit(params.min_price))
-    m = m.withColumn("purchase_date", to_day("order_purchase_timestamp")).withColumn(
-        "date_key", date_key("order_purchase_timestamp")
-    )
+    m = m.withColumn("date_key", date_key("order_purchase_timestamp"))
     if events is not None:
         ev = parse_events(events, params.timestamp_formats)
         tiebreak = "event_id" if "event_id" in ev.columns else None
@@ -176,7 +181,7 @@ def clean_orders(
         F.lit(1).alias("quantity"),
         *extra,
     )
-    return OrderOutputs(lines, build_dim_date(m))
+    return OrderOutputs(lines, dim_date_from_lines(lines))
 
 
 # ----------------------------------------------------------------------------- products

@@ -1,8 +1,9 @@
 """Surrogate keys: unique, stable for existing rows, increasing for new rows.
 
 ``row_number().over(Window.orderBy(k))`` would pull every new row into one task. Instead the
-rows are range-partitioned and sorted by Spark (a distributed sort), and the result is written
-to the reliable checkpoint folder so partition boundaries can no longer change. One small job
+rows are range-partitioned and sorted by Spark (a distributed sort); each row's partition id and
+position are recorded and the result is written to the reliable checkpoint folder, so they can no
+longer change. One small job
 counts rows per partition (one row per partition comes back), the counts become offsets, and each
 row's rank is ``offset[partition] + position in partition``. The outcome equals the global
 ``row_number() OVER (ORDER BY k)``, whatever the partitioning.
@@ -16,7 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.session import ensure_checkpoint_dir
+from pyspark import StorageLevel
+
+from starloom.frames import rows_frame
+from starloom.session import cut_lineage
 
 _PID, _MID = "_sk_pid", "_sk_mid"
 
@@ -32,22 +36,26 @@ def assign_surrogate_keys(
 ) -> DataFrame:
     """Add ``key = start + rank`` where rank is 1..n over ``order`` (a total order over the rows)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = list(df.columns)
-    ranked = (
-        df.sort(*order)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_MID, F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by the range sampler and by the sort
+    try:
+        ranked = cut_lineage(
+            src.sort(*order)
+            .withColumn(_PID, F.spark_partition_id())
+            .withColumn(_MID, F.monotonically_increasing_id()),
+            label="keys",
+        )
+    finally:
+        src.unpersist()
+    # Partition id and position are stored columns, so re-reading may split the files any way.
     counts = ranked.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, running = [], start
     for r in sorted(counts, key=lambda r: r[_PID]):
         offsets.append((r[_PID], running))
         running += r["n"]
     schema = T.StructType([T.StructField(_PID, T.IntegerType()), T.StructField("_sk_off", T.LongType())])
-    # One row per non-empty partition: bounded by the partition count, so broadcasting is safe.
-    offset_df = spark.createDataFrame(offsets, schema)
+    # One row per non-empty sort partition: bounded by the partition count, safe to broadcast.
+    offset_df = rows_frame(spark, offsets, schema)
     position = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
     return ranked.join(F.broadcast(offset_df), _PID, "inner").select(
         (F.col("_sk_off") + position + F.lit(1)).cast("long").alias(key), *[F.col(c) for c in cols]

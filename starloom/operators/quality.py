@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.frames import rows_frame
 from starloom.params import Params
 
 PASS, FAIL, WARN = "PASS", "FAIL", "WARN"
@@ -235,10 +236,10 @@ def write_report(results: DataFrame, report_root: str, run_ts: dt.datetime) -> s
     path = f"{report_root}/quality_{stamp}"
     rule = "=" * 60
     spark: SparkSession = results.sparkSession
-    head = spark.createDataFrame(
-        [(-3, rule), (-2, f"  ETL Data Quality Report — {run_ts:%Y-%m-%d %H:%M:%S}"), (-1, rule)], "seq int, line string"
+    head = rows_frame(
+        spark, [(-3, rule), (-2, f"  ETL Data Quality Report — {run_ts:%Y-%m-%d %H:%M:%S}"), (-1, rule)], "seq int, line string"
     )
-    tail = spark.createDataFrame([(99, rule), (101, rule)], "seq int, line string")
+    tail = rows_frame(spark, [(99, rule), (101, rule)], "seq int, line string")
     # 14 check lines plus a few fixed lines: a single output file is fine.
     lines = head.unionByName(report_lines(results)).unionByName(tail)
     lines.coalesce(1).sortWithinPartitions("seq").select("line").write.mode("overwrite").text(path)

@@ -12,7 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from starloom.frames import empty_frame
 from starloom.functions import date_key, lenient_double, lenient_int, lenient_timestamp, strip_ws, title_case, zfill
 from starloom.operators.clean import (
     build_dim_date,
@@ -40,7 +42,7 @@ from starloom.params import Params
 from starloom.plans import oracle as O
 from starloom.plans import testdata as td
 from starloom.plans.reports import revenue_by_month_category
-from starloom.plans.star import load_star, transform
+from starloom.plans.star import load_star, materialize, stage, transform
 from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT
 from starloom.sources.jdbc import events_with_headers
 from starloom.sources.json_records import flatten_api_products, record_counts, validate_records
@@ -92,9 +94,9 @@ def loaded_star(spark: SparkSession, d: str):
     """Star loaded once per session and data folder (its keyed tables live in checkpoints)."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _STARS:
-        staged = transform(_raw(spark, d), PARAMS)
+        staged = stage(transform(_raw(spark, d), PARAMS))
         star, _ = load_star(None, staged, PARAMS, RUN1)
-        _STARS[key] = (star, staged)
+        _STARS[key] = (materialize(star), staged)
     return _STARS[key]
 
 
@@ -386,7 +388,7 @@ def scd1_merge_q(spark, d):
     )
     b2 = cc.join(_period_customers(raw, spark, d, False), "customer_id", "left_semi")
     attrs = ["city", "state", "zip_code"]
-    empty = spark.createDataFrame([], DIM_CUSTOMER)
+    empty = empty_frame(spark, DIM_CUSTOMER)
     t1, _ = scd1_merge(empty, b1, "customer_id", attrs, "customer_key", RUN1, ["_ord"])
     t2, _ = scd1_merge(t1, b2, "customer_id", attrs, "customer_key", RUN2, ["_ord"])
     return t2.select(
@@ -426,7 +428,12 @@ def append_once_q(spark, d):
     cols = ["order_id", "order_item_seq", "product_id", "price", "_ord"]
     l1 = clean_orders(early.orders, early.order_items, early.order_events, PARAMS).lines.select(*cols)
     l2 = clean_orders(full.orders, full.order_items, full.order_events, PARAMS).lines.select(*cols)
-    empty = spark.createDataFrame([], "fact_id long, order_id string, order_item_seq int, product_id string, price double, loaded_at timestamp")
+    empty = empty_frame(
+        spark,
+        T._parse_datatype_string(
+            "fact_id long, order_id string, order_item_seq int, product_id string, price double, loaded_at timestamp"
+        ),
+    )
     t1, _ = append_once(empty, l1, ["order_id", "order_item_seq"], ["_ord"], "fact_id", RUN1)
     t2, _ = append_once(t1, l2, ["order_id", "order_item_seq"], ["_ord"], "fact_id", RUN2)
     load_no = F.when(F.col("loaded_at") == F.lit(RUN1).cast("timestamp"), 1).otherwise(2)
@@ -464,7 +471,7 @@ def surrogate_keys_incremental(spark, d):
     early_products = raw.order_items.join(early_ids, "order_id", "left_semi").select("product_id")
     p1 = products.join(early_products, "product_id", "left_semi")
     attrs = ["category", "name", "api_price", "api_rating"]
-    empty = spark.createDataFrame([], DIM_PRODUCT)
+    empty = empty_frame(spark, DIM_PRODUCT)
     t1, _ = scd1_merge(empty, p1, "product_id", attrs, "product_key", RUN1, ["_ord"])
     t2, _ = scd1_merge(t1, products, "product_id", attrs, "product_key", RUN2, ["_ord"])
     return t2.select("product_key", "product_id")

@@ -13,6 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.frames import rows_frame
 from starloom.operators.clean import clean_customers, clean_orders, clean_products
 from starloom.operators.enrich import api_enrichment
 from starloom.operators.facts import resolve_fact_keys
@@ -61,6 +62,32 @@ def transform(raw: RawSources, params: Params = Params()) -> Staged:
     return Staged(customers, products, orders.lines, orders.dim_date)
 
 
+def stage(staged: Staged, staging_root: str | None = None) -> Staged:
+    """Write the staged tables once and continue from the written copies.
+
+    Lines feed both the fact load and the date dimension; reading them back means the cleaning
+    and joins run once. With ``staging_root`` the tables land in the staging zone (Parquet, one
+    folder per table); otherwise in the reliable checkpoint folder.
+    """
+    from starloom.operators.clean import dim_date_from_lines
+    from starloom.session import cut_lineage
+    from starloom.sources.warehouse import write_staging
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        if staging_root is None:
+            return cut_lineage(df, label=f"staged-{name}")
+        path = write_staging(df, f"{staging_root}/{name}")
+        return df.sparkSession.read.parquet(path)
+
+    lines = put(staged.lines, "orders_clean")
+    return Staged(
+        customers=put(staged.customers, "customers_clean"),
+        products=put(staged.products, "products_clean"),
+        lines=lines,
+        dim_date=put(dim_date_from_lines(lines), "dim_date"),
+    )
+
+
 def empty_star(spark: SparkSession) -> dict[str, DataFrame]:
     return {t: empty_table(spark, t) for t in STAR_SCHEMAS}
 
@@ -68,7 +95,7 @@ def empty_star(spark: SparkSession) -> dict[str, DataFrame]:
 def load_dim_status(target: DataFrame, statuses: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
     """Insert missing labels of the configured list; new keys follow list order."""
     spark = target.sparkSession
-    src = spark.createDataFrame([(s, i) for i, s in enumerate(statuses)], "status_label string, pos int")
+    src = rows_frame(spark, [(s, i) for i, s in enumerate(statuses)], "status_label string, pos int")
     new = src.join(target.select("status_label"), "status_label", "left_anti")
     # The list is a configuration constant (a handful of rows): a plain window is fine here.
     keyed = assign_small_keys(new, "status_key", ["pos"], start=max_key(target, "status_key"))
@@ -138,3 +165,14 @@ def load_star(
         "fact_orders": fact_orders,
     }
     return out, report
+
+
+def materialize(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write each table once to the reliable checkpoint folder and read it back.
+
+    Later readers (quality checks, reports) then scan the loaded rows instead of re-running the
+    load, and a lost executor cannot force a recomputation of the whole pipeline.
+    """
+    from starloom.session import cut_lineage
+
+    return {name: cut_lineage(df, label=name) for name, df in star.items()}

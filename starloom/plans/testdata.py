@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from starloom.plans.star import RawSources
 from starloom.sources.csv import normalize_na
 from starloom.sources.json_records import records_from_array_documents
+from starloom.sources.tables import read_table
 
 # Orders placed before this day form the first of two loads in the incremental queries.
 FIRST_LOAD_BEFORE = "1998-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on. They are applied only when the caller has not set them.
 RECOMMENDED_CONF: dict[str, str] = {
@@ -57,3 +59,23 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local_fallback: bool = Fals
         )
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame, label: str = "table", reuse_input: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet under the reliable checkpoint folder and read it back.
+
+    One computation of the plan (``DataFrame.checkpoint`` computes it twice: once for the
+    action, once more to write the files). ``reuse_input`` persists ``df`` first, for plans
+    that run more than one job over the same input (a range sort samples its input first).
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/starloom-{label}-{uuid.uuid4().hex}"
+    if reuse_input:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        df.write.parquet(path)
+    finally:
+        if reuse_input:
+            df.unpersist()
+    return spark.read.parquet(path)

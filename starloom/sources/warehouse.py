@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.frames import empty_frame, rows_frame
 from starloom.schemas import STAR_SCHEMAS
 
 COMMITS = "_commits"
@@ -37,7 +38,7 @@ def read_staging(spark: SparkSession, path: str) -> DataFrame | None:
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
     """A missing table reads as an empty frame of its fixed schema."""
-    return spark.createDataFrame([], STAR_SCHEMAS[table])
+    return empty_frame(spark, STAR_SCHEMAS[table])
 
 
 def current_version(spark: SparkSession, root: str) -> int:
@@ -77,7 +78,8 @@ def publish_star(
             writer = writer.partitionBy(*cols)
         writer.parquet(f"{root}/v{version:08d}/{name}")
         counts[name] = int(obs.get["rows"])
-    commit = spark.createDataFrame(
+    commit = rows_frame(
+        spark,
         [(version, name, rows, run_ts) for name, rows in counts.items()],
         "version long, table string, rows long, committed_at timestamp",
     )
