@@ -77,7 +77,7 @@ def stage(staged: Staged, staging_root: str | None = None) -> Staged:
         if staging_root is None:
             return cut_lineage(df, label=f"staged-{name}")
         path = write_staging(df, f"{staging_root}/{name}")
-        return df.sparkSession.read.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     lines = put(staged.lines, "orders_clean")
     return Staged(

@@ -78,4 +78,5 @@ def cut_lineage(df: DataFrame, label: str = "table", reuse_input: bool = False)
     finally:
         if reuse_input:
             df.unpersist()
-    return spark.read.parquet(path)
+    # An empty result writes no data files: read back with the known schema.
+    return spark.read.schema(df.schema).parquet(path)

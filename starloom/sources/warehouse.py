@@ -19,6 +19,7 @@ from starloom.frames import empty_frame, rows_frame
 from starloom.schemas import STAR_SCHEMAS
 
 COMMITS = "_commits"
+COMMIT_SCHEMA = "version long, table string, rows long, committed_at timestamp"
 
 
 def write_staging(df: DataFrame, path: str) -> str:
@@ -42,9 +43,13 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def current_version(spark: SparkSession, root: str) -> int:
-    commits = read_staging(spark, f"{root}/{COMMITS}")
-    if commits is None:
-        return 0
+    """Highest committed version (0 when nothing was published)."""
+    try:
+        commits = spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/{COMMITS}/v*")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            return 0
+        raise
     row = commits.agg(F.max("version").alias("v")).first()
     return int(row["v"]) if row["v"] is not None else 0
 
@@ -81,7 +86,7 @@ def publish_star(
     commit = rows_frame(
         spark,
         [(version, name, rows, run_ts) for name, rows in counts.items()],
-        "version long, table string, rows long, committed_at timestamp",
+        COMMIT_SCHEMA,
     )
     commit.coalesce(1).write.mode("errorifexists").parquet(f"{root}/{COMMITS}/v{version:08d}")
     return version, counts

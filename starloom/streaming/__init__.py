@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The pipeline this library re-expresses has no streams, watermarks, windows or state: it is a
+batch job re-run on a schedule. A scheduled re-run here is :func:`starloom.plans.pipeline.run_pipeline`,
+which is idempotent (upserted dimensions, insert-once facts, versioned publish), so running it
+again after new source files land is safe. Nothing in this package adds behaviour beyond that.
+"""
