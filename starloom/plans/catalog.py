@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from starloom.frames import empty_frame
 from starloom.functions import date_key, lenient_double, lenient_int, lenient_timestamp, strip_ws, title_case, zfill
 from starloom.operators.clean import (
-    build_dim_date,
+    dim_date_from_lines,
     clean_customers,
     clean_orders,
     clean_product_category,
@@ -44,6 +44,7 @@ from starloom.plans import testdata as td
 from starloom.plans.reports import revenue_by_month_category
 from starloom.plans.star import load_star, materialize, stage, transform
 from starloom.schemas import DIM_CUSTOMER, DIM_PRODUCT
+from starloom.session import cut_lineage, sort_bounded
 from starloom.sources.jdbc import events_with_headers
 from starloom.sources.json_records import flatten_api_products, record_counts, validate_records
 
@@ -197,7 +198,8 @@ def date_key_q(spark, d):
 
 @register("dim_date", "SELECT * FROM dim_date ORDER BY date_key")
 def dim_date_q(spark, d):
-    return clean_orders(_raw(spark, d).orders, _raw(spark, d).order_items, None, PARAMS).dim_date.orderBy("date_key")
+    raw = _raw(spark, d)
+    return sort_bounded(clean_orders(raw.orders, raw.order_items, None, PARAMS).dim_date, "date_key")
 
 
 # ----------------------------------------------------------------------------- filters
@@ -348,12 +350,16 @@ def order_facts(spark, d):
 # ----------------------------------------------------------------------------- merges and keys (two loads)
 
 
-def _period_customers(raw, spark, d, early: bool):
+def _early_order_ids(spark, d, early: bool = True) -> DataFrame:
     o = td.table(spark, d, "orders")
     cut = F.lit(td.FIRST_LOAD_BEFORE).cast("timestamp_ntz")
-    ids = o.where(o.o_orderdate < cut if early else o.o_orderdate >= cut).select(
+    return o.where(o.o_orderdate < cut if early else o.o_orderdate >= cut).select(
         F.col("o_orderkey").cast("string").alias("order_id")
     )
+
+
+def _period_customers(raw, spark, d, early: bool):
+    ids = _early_order_ids(spark, d, early)
     return raw.orders.join(ids, "order_id", "left_semi").select("customer_id").where(F.col("customer_id").isNotNull())
 
 
@@ -382,7 +388,7 @@ FROM merged"""
 @register("scd1_merge", _SCD_SQL)
 def scd1_merge_q(spark, d):
     raw = _raw(spark, d)
-    cc = clean_customers(raw.customers)
+    cc = cut_lineage(clean_customers(raw.customers), "customers")
     b1 = cc.join(_period_customers(raw, spark, d, True), "customer_id", "left_semi").withColumn(
         "zip_code", F.lit("00000")
     )
@@ -398,11 +404,11 @@ def scd1_merge_q(spark, d):
 
 @register("insert_new", "SELECT * FROM dim_date")
 def insert_new_q(spark, d):
-    early = td.first_load_sources(spark, d)
-    full = _raw(spark, d)
-    t1 = clean_orders(early.orders, early.order_items, None, PARAMS).dim_date
-    src = clean_orders(full.orders, full.order_items, None, PARAMS).dim_date
-    out, _ = insert_new(t1, src, ["date_key"])
+    raw = _raw(spark, d)
+    # Both loads read the same staged lines; the first saw only orders placed before the cut.
+    lines = cut_lineage(clean_orders(raw.orders, raw.order_items, None, PARAMS).lines, "lines")
+    first = lines.join(_early_order_ids(spark, d), "order_id", "left_semi")
+    out, _ = insert_new(dim_date_from_lines(first), dim_date_from_lines(lines), ["date_key"])
     return out
 
 
@@ -423,11 +429,10 @@ SELECT (SELECT COALESCE(max(fact_id), 0) FROM k1) + row_number() OVER (ORDER BY
 
 @register("append_once", _APPEND_SQL)
 def append_once_q(spark, d):
-    early = td.first_load_sources(spark, d)
-    full = _raw(spark, d)
+    raw = _raw(spark, d)
     cols = ["order_id", "order_item_seq", "product_id", "price", "_ord"]
-    l1 = clean_orders(early.orders, early.order_items, early.order_events, PARAMS).lines.select(*cols)
-    l2 = clean_orders(full.orders, full.order_items, full.order_events, PARAMS).lines.select(*cols)
+    l2 = cut_lineage(clean_orders(raw.orders, raw.order_items, raw.order_events, PARAMS).lines.select(*cols), "lines")
+    l1 = l2.join(_early_order_ids(spark, d), "order_id", "left_semi")
     empty = empty_frame(
         spark,
         T._parse_datatype_string(
@@ -463,12 +468,8 @@ FROM products_clean WHERE product_id NOT IN (SELECT product_id FROM t1)"""
 @register("surrogate_keys_incremental", _INCR_SQL)
 def surrogate_keys_incremental(spark, d):
     raw = _raw(spark, d)
-    products = clean_products(raw.products, _enrichment(spark, d))
-    o = td.table(spark, d, "orders")
-    early_ids = o.where(o.o_orderdate < F.lit(td.FIRST_LOAD_BEFORE).cast("timestamp_ntz")).select(
-        F.col("o_orderkey").cast("string").alias("order_id")
-    )
-    early_products = raw.order_items.join(early_ids, "order_id", "left_semi").select("product_id")
+    products = cut_lineage(clean_products(raw.products, _enrichment(spark, d)), "products")
+    early_products = raw.order_items.join(_early_order_ids(spark, d), "order_id", "left_semi").select("product_id")
     p1 = products.join(early_products, "product_id", "left_semi")
     attrs = ["category", "name", "api_price", "api_rating"]
     empty = empty_frame(spark, DIM_PRODUCT)

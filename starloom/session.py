@@ -80,3 +80,12 @@ def cut_lineage(df: DataFrame, label: str = "table", reuse_input: bool = False)
             df.unpersist()
     # An empty result writes no data files: read back with the known schema.
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sort_bounded(df: DataFrame, *cols: str) -> DataFrame:
+    """Total order for a frame with a known small bound (a dimension of calendar days, a report).
+
+    One partition sorted in place: no range-sampling pass over the input. Never use it for
+    data that grows with the fact volume.
+    """
+    return df.repartition(1).sortWithinPartitions(*cols)
