@@ -119,8 +119,10 @@ def run_pipeline(
     if "load" in steps:
         staged = read_staged(spark, cfg)
         current = read_star(spark, cfg.warehouse_root)
-        star, _ = load_star(current, staged, params, run_ts)
-        result.version, result.rows = publish_star(spark, cfg.warehouse_root, star, run_ts)
+        star, report = load_star(current, staged, params, run_ts)
+        result.version, result.rows = publish_star(
+            spark, cfg.warehouse_root, star, run_ts, new_facts=report.inserted["fact_orders"]
+        )
         result.steps.append("load")
     if "quality" in steps:
         star = read_star(spark, cfg.warehouse_root)

@@ -1,14 +1,21 @@
 """Staging and the star warehouse as Parquet.
 
-Publishing never overwrites the files a job reads: each load writes every table under a new
-version folder, and a commit record written last makes the version visible. Readers take the
-highest committed version; a load that died half-way leaves an uncommitted folder that is
-ignored. One writer at a time is assumed (a second commit of the same version fails).
+Dimensions are copy-on-write: each load writes them under a new version folder. The fact table
+is append-only (facts are insert-once): one table bucketed on ``(order_id, order_item_seq)`` and
+partitioned by ``load_version``; a load inserts only its new rows into its own partition. A commit
+record written last makes a version visible; readers take the highest committed version and
+ignore fact partitions above it, so a load that died half-way is invisible; a retry takes the next
+free version number. Nothing is overwritten or deleted. One writer at a time is assumed (a second
+commit of the same version fails).
+
+The bucketing lets the next load's insert-once anti-join and the lookups read the existing fact
+keys without shuffling them: only the incoming batch is shuffled to the table's buckets.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -19,7 +26,10 @@ from starloom.frames import empty_frame, rows_frame
 from starloom.schemas import STAR_SCHEMAS
 
 COMMITS = "_commits"
-COMMIT_SCHEMA = "version long, table string, rows long, committed_at timestamp"
+COMMIT_SCHEMA = "version long, table string, rows long, committed_at timestamp, buckets int"
+FACT = "fact_orders"
+FACT_KEYS = ("order_id", "order_item_seq")
+LOAD_VERSION = "load_version"
 
 
 def write_staging(df: DataFrame, path: str) -> str:
@@ -42,24 +52,70 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
     return empty_frame(spark, STAR_SCHEMAS[table])
 
 
-def current_version(spark: SparkSession, root: str) -> int:
-    """Highest committed version (0 when nothing was published)."""
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        commits = spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/{COMMITS}/v*")
+        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/{COMMITS}/v*")
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return 0
+            return None
         raise
+
+
+def current_version(spark: SparkSession, root: str) -> int:
+    """Highest committed version (0 when nothing was published)."""
+    commits = _commits(spark, root)
+    if commits is None:
+        return 0
     row = commits.agg(F.max("version").alias("v")).first()
     return int(row["v"]) if row["v"] is not None else 0
 
 
+def _commit_info(spark: SparkSession, root: str, version: int) -> dict[str, tuple[int, int]]:
+    """``table -> (rows, buckets)`` of one commit (a handful of rows)."""
+    commits = _commits(spark, root)
+    if commits is None or version == 0:
+        return {}
+    rows = commits.where(F.col("version") == version).select("table", "rows", "buckets").collect()
+    return {r["table"]: (int(r["rows"]), int(r["buckets"] or 0)) for r in rows}
+
+
+def _fact_table_name(root: str) -> str:
+    return "starloom_fact_" + hashlib.sha1(root.encode("utf-8")).hexdigest()[:16]
+
+
+def _register_facts(spark: SparkSession, root: str, buckets: int) -> str:
+    """Register (idempotently) the bucketed, version-partitioned fact table over its folder."""
+    name = _fact_table_name(root)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in STAR_SCHEMAS[FACT].fields)
+    keys = ", ".join(FACT_KEYS)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {LOAD_VERSION} INT) USING parquet "
+        f"PARTITIONED BY ({LOAD_VERSION}) CLUSTERED BY ({keys}) INTO {buckets} BUCKETS "
+        f"LOCATION '{root}/{FACT}'"
+    )
+    try:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    except Exception as exc:  # no fact rows were ever written: nothing to recover
+        if "does not exist" not in str(exc):
+            raise
+    return name
+
+
 def read_star(spark: SparkSession, root: str, version: int | None = None) -> dict[str, DataFrame]:
     """All star tables of a committed version (latest by default); empty tables when none exists."""
     v = current_version(spark, root) if version is None else version
     if v == 0:
         return {t: empty_table(spark, t) for t in STAR_SCHEMAS}
-    return {t: spark.read.schema(STAR_SCHEMAS[t]).parquet(f"{root}/v{v:08d}/{t}") for t in STAR_SCHEMAS}
+    info = _commit_info(spark, root, v)
+    out = {
+        t: spark.read.schema(STAR_SCHEMAS[t]).parquet(f"{root}/v{v:08d}/{t}") for t in STAR_SCHEMAS if t != FACT
+    }
+    name = _register_facts(spark, root, info[FACT][1])
+    # Only partitions with a commit record are visible (a crashed load's partition never is).
+    committed = [int(r["version"]) for r in _commits(spark, root).where(F.col("version") <= v).select("version").distinct().collect()]
+    facts = spark.table(name).where(F.col(LOAD_VERSION).isin(committed))
+    out[FACT] = facts.select(*[F.col(f.name) for f in STAR_SCHEMAS[FACT].fields])
+    return out
 
 
 def publish_star(
@@ -67,25 +123,49 @@ def publish_star(
     root: str,
     tables: Mapping[str, DataFrame],
     run_ts: dt.datetime,
-    partition_by: Mapping[str, list[str]] | None = None,
+    new_facts: DataFrame | None = None,
+    fact_buckets: int | None = None,
 ) -> tuple[int, dict[str, int]]:
-    """Write a new version of every table, then its commit record. Returns ``(version, rows)``.
+    """Publish a load. Returns ``(version, rows per table)``.
 
-    Row counts come from an ``Observation`` on each write, not from a second pass.
+    Dimensions are written whole under the new version folder. Facts: only ``new_facts`` (the
+    rows the load inserted) are appended, in their own ``load_version`` partition; without
+    ``new_facts`` the whole ``fact_orders`` frame is taken as new (first load). Row counts come
+    from ``Observation``s on the writes, not from a second pass.
     """
-    version = current_version(spark, root) + 1
+    committed = current_version(spark, root)
+    previous = _commit_info(spark, root, committed)
+    buckets = previous.get(FACT, (0, 0))[1] or fact_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = _register_facts(spark, root, buckets)
+    # Skip version numbers a crashed, uncommitted attempt already used for fact rows.
+    taken = {int(r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    version = committed + 1
+    while version in taken:
+        version += 1
     counts: dict[str, int] = {}
     for name, df in tables.items():
+        if name == FACT:
+            continue
         obs = Observation(f"rows_{name}_{version}")
-        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
-        cols = (partition_by or {}).get(name)
-        if cols:
-            writer = writer.partitionBy(*cols)
-        writer.parquet(f"{root}/v{version:08d}/{name}")
+        # The version folder is invisible until committed, so replacing a stale one is safe.
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
+            f"{root}/v{version:08d}/{name}"
+        )
         counts[name] = int(obs.get["rows"])
+    facts = new_facts if new_facts is not None else tables[FACT]
+    obs = Observation(f"rows_{FACT}_{version}")
+    appended = (
+        facts.select(*[F.col(f.name) for f in STAR_SCHEMAS[FACT].fields])
+        .withColumn(LOAD_VERSION, F.lit(version))
+        .observe(obs, F.count(F.lit(1)).alias("rows"))
+        # One task per bucket: each writes a single file for its bucket.
+        .repartition(buckets, *FACT_KEYS)
+    )
+    appended.write.insertInto(table, overwrite=False)
+    counts[FACT] = previous.get(FACT, (0, 0))[0] + int(obs.get["rows"])
     commit = rows_frame(
         spark,
-        [(version, name, rows, run_ts) for name, rows in counts.items()],
+        [(version, name, rows, run_ts, buckets if name == FACT else 0) for name, rows in counts.items()],
         COMMIT_SCHEMA,
     )
     commit.coalesce(1).write.mode("errorifexists").parquet(f"{root}/{COMMITS}/v{version:08d}")

@@ -62,8 +62,55 @@ def test_publish_versions(spark, raw, tmp_path):
     star, _ = load_star(read_star(spark, root), staged, Params(), dt.datetime(2024, 1, 1))
     v, rows = publish_star(spark, root, star, dt.datetime(2024, 1, 1))
     assert v == 1 and rows["fact_orders"] == 4
-    star2, _ = load_star(read_star(spark, root), staged, Params(), dt.datetime(2024, 1, 2))
-    v2, rows2 = publish_star(spark, root, star2, dt.datetime(2024, 1, 2))
+    star2, rep = load_star(read_star(spark, root), staged, Params(), dt.datetime(2024, 1, 2))
+    v2, rows2 = publish_star(spark, root, star2, dt.datetime(2024, 1, 2), new_facts=rep.inserted["fact_orders"])
     assert v2 == 2 and rows2 == rows
+    assert read_star(spark, root)["fact_orders"].count() == 4
+    assert read_star(spark, root, version=1)["fact_orders"].count() == 4
     os.makedirs(f"{root}/v00000003/fact_orders")  # a crashed load without a commit record
     assert current_version(spark, root) == 2
+
+
+def test_uncommitted_fact_partition_is_invisible_and_skipped(spark, raw, tmp_path):
+    from pyspark.sql import functions as F
+
+    from starloom.params import Params
+    from starloom.plans.star import load_star, transform
+    from starloom.sources.warehouse import _fact_table_name
+
+    root = str(tmp_path / "wh")
+    staged = transform(raw, Params())
+    star, _ = load_star(read_star(spark, root), staged, Params(), dt.datetime(2024, 1, 1))
+    publish_star(spark, root, star, dt.datetime(2024, 1, 1))
+    # A crashed load appended rows for version 2 but never committed.
+    stale = read_star(spark, root)["fact_orders"].withColumn("load_version", F.lit(2))
+    stale.write.insertInto(_fact_table_name(root))
+    assert read_star(spark, root)["fact_orders"].count() == 4
+    star2, rep = load_star(read_star(spark, root), staged, Params(), dt.datetime(2024, 1, 2))
+    v, rows = publish_star(spark, root, star2, dt.datetime(2024, 1, 2), new_facts=rep.inserted["fact_orders"])
+    assert v == 3 and rows["fact_orders"] == 4
+    assert read_star(spark, root)["fact_orders"].count() == 4
+
+
+def test_existing_facts_are_not_shuffled_for_insert_once(spark, raw, tmp_path):
+    from starloom.params import Params
+    from starloom.plans.star import load_star, transform
+
+    root = str(tmp_path / "wh")
+    staged = transform(raw, Params())
+    star, _ = load_star(read_star(spark, root), staged, Params(), dt.datetime(2024, 1, 1))
+    publish_star(spark, root, star, dt.datetime(2024, 1, 1), fact_buckets=8)
+    facts = read_star(spark, root)["fact_orders"]
+    batch = staged.lines.select("order_id", "order_item_seq")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        anti = batch.join(facts.select("order_id", "order_item_seq"), ["order_id", "order_item_seq"], "left_anti")
+        p = anti._jdf.queryExecution().executedPlan().toString()
+        p0 = batch._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in p
+    # The anti-join adds one exchange (the incoming batch); existing facts are read per bucket.
+    assert p.count("Exchange hashpartitioning") == p0.count("Exchange hashpartitioning") + 1
