@@ -30,5 +30,7 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
     Read ``observation.get['rows']`` after that action (e.g. after the write).
     """
-    obs = Observation(name)
+    import uuid
+
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -48,11 +48,13 @@ class PipelineResult:
     steps: list[str] = field(default_factory=list)
     raw_paths: dict[str, str] = field(default_factory=dict)
     version: int | None = None
-    rows: dict[str, int] = field(default_factory=dict)
+    raw_rows: dict[str, int] = field(default_factory=dict)  # rows landed per source
+    staged_rows: dict[str, int] = field(default_factory=dict)  # rows per staged table
+    rows: dict[str, int] = field(default_factory=dict)  # table totals after the load
     quality: dict | None = None
 
 
-def extract(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
+def extract(spark: SparkSession, cfg: PipelineConfig, counts: dict[str, int] | None = None) -> dict[str, str]:
     """Read every source and land it in the raw zone (Parquet, input ordinal included)."""
     frames: dict[str, DataFrame] = {name: read_csv(spark, cfg.sources[name], name=name) for name in CSV_SOURCES}
     if cfg.api_products:
@@ -65,7 +67,7 @@ def extract(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
         frames["order_events"] = read_csv(
             spark, cfg.order_events, name="order_events", required=("order_id", "status", "event_timestamp")
         )
-    return land_raw(frames, cfg.raw_root)
+    return land_raw(frames, cfg.raw_root, counts)
 
 
 def load_raw(spark: SparkSession, cfg: PipelineConfig) -> RawSources:
@@ -111,10 +113,10 @@ def run_pipeline(
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     result = PipelineResult()
     if "extract" in steps:
-        result.raw_paths = extract(spark, cfg)
+        result.raw_paths = extract(spark, cfg, result.raw_rows)
         result.steps.append("extract")
     if "transform" in steps:
-        stage(transform(load_raw(spark, cfg), params), cfg.staging_root)
+        stage(transform(load_raw(spark, cfg), params), cfg.staging_root, result.staged_rows)
         result.steps.append("transform")
     if "load" in steps:
         staged = read_staged(spark, cfg)

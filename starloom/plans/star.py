@@ -62,7 +62,7 @@ def transform(raw: RawSources, params: Params = Params()) -> Staged:
     return Staged(customers, products, orders.lines, orders.dim_date)
 
 
-def stage(staged: Staged, staging_root: str | None = None) -> Staged:
+def stage(staged: Staged, staging_root: str | None = None, counts: dict[str, int] | None = None) -> Staged:
     """Write the staged tables once and continue from the written copies.
 
     Lines feed both the fact load and the date dimension; reading them back means the cleaning
@@ -70,14 +70,20 @@ def stage(staged: Staged, staging_root: str | None = None) -> Staged:
     folder per table); otherwise in the reliable checkpoint folder.
     """
     from starloom.operators.clean import dim_date_from_lines
+    from starloom.operators.counters import observed
     from starloom.session import cut_lineage
     from starloom.sources.warehouse import write_staging
 
     def put(df: DataFrame, name: str) -> DataFrame:
+        schema = df.schema
+        df, obs = observed(df, f"staged_{name}")
         if staging_root is None:
-            return cut_lineage(df, label=f"staged-{name}")
-        path = write_staging(df, f"{staging_root}/{name}")
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+            out = cut_lineage(df, label=f"staged-{name}")
+        else:
+            out = df.sparkSession.read.schema(schema).parquet(write_staging(df, f"{staging_root}/{name}"))
+        if counts is not None:
+            counts[name] = int(obs.get["rows"])
+        return out
 
     lines = put(staged.lines, "orders_clean")
     return Staged(

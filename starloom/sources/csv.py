@@ -81,12 +81,23 @@ def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, Dat
     return {name: read_csv(spark, path, name=name) for name, path in paths.items()}
 
 
-def land_raw(dfs: Mapping[str, DataFrame], raw_root: str) -> dict[str, str]:
-    """Write each raw frame (ordinal included) to ``raw_root/<name>`` as Parquet, overwriting."""
+def land_raw(
+    dfs: Mapping[str, DataFrame], raw_root: str, counts: dict[str, int] | None = None
+) -> dict[str, str]:
+    """Write each raw frame (ordinal included) to ``raw_root/<name>`` as Parquet, overwriting.
+
+    When ``counts`` is given, the rows written per source are recorded into it (an observation on
+    the write itself, no second pass).
+    """
+    from starloom.operators.counters import observed
+
     out = {}
     for name, df in dfs.items():
         path = f"{raw_root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df_obs, obs = observed(df, f"raw_{name}")
+        df_obs.write.mode("overwrite").parquet(path)
+        if counts is not None:
+            counts[name] = int(obs.get["rows"])
         out[name] = path
     return out
 

@@ -24,6 +24,8 @@ def test_end_to_end_twice(spark, fixture_dir, tmp_path):
     )
     r1 = run_pipeline(spark, cfg, Params(), dt.datetime(2024, 1, 1))
     assert r1.steps == ["extract", "transform", "load", "quality"]
+    assert r1.raw_rows == {"customers": 6, "orders": 8, "order_items": 9, "products": 7, "api_records": 6, "order_events": 10}
+    assert r1.staged_rows == {"orders_clean": 7, "customers_clean": 4, "products_clean": 6, "dim_date": 4}
     assert r1.rows == {"dim_date": 4, "dim_status": 8, "dim_customer": 4, "dim_product": 6, "fact_orders": 4}
     assert r1.quality["failures"] == 0
     r2 = run_pipeline(spark, cfg, Params(), dt.datetime(2024, 1, 2), steps=("load", "quality"))
