@@ -12,10 +12,11 @@ catalog records <- part, order events <- events (user_id as the order id), order
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.plans.star import RawSources
 from starloom.sources.csv import normalize_na
 from starloom.sources.json_records import records_from_array_documents
 
@@ -23,8 +24,15 @@ from starloom.sources.json_records import records_from_array_documents
 FIRST_LOAD_BEFORE = "1998-01-01"
 
 
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver's table; the base relation is reused within a session (no repeated listing)."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(key[1])
+    return _SCANS[key]
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,19 +170,44 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_sources(spark: SparkSession, sf_dir: str, with_events: bool = True, with_api: bool = True) -> RawSources:
-    """All sources, missing-value markers normalised as a CSV reader would."""
-    return RawSources(
-        customers=normalize_na(raw_customers(spark, sf_dir)),
-        orders=normalize_na(raw_orders(spark, sf_dir)),
-        order_items=normalize_na(raw_order_items(spark, sf_dir)),
-        products=normalize_na(raw_products(spark, sf_dir)),
-        api_records=api_records(spark, sf_dir) if with_api else None,
-        order_events=normalize_na(order_events(spark, sf_dir)) if with_events else None,
-    )
+class TestSources:
+    """The six sources, each built on first use (missing-value markers normalised as a CSV reader
+    would). Attributes match :class:`starloom.plans.star.RawSources` and may be reassigned."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, with_events: bool = True, with_api: bool = True):
+        self._spark, self._dir, self._events, self._api = spark, sf_dir, with_events, with_api
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return normalize_na(raw_customers(self._spark, self._dir))
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return normalize_na(raw_orders(self._spark, self._dir))
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return normalize_na(raw_order_items(self._spark, self._dir))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return normalize_na(raw_products(self._spark, self._dir))
+
+    @cached_property
+    def api_records(self) -> DataFrame | None:
+        return api_records(self._spark, self._dir) if self._api else None
+
+    @cached_property
+    def order_events(self) -> DataFrame | None:
+        return normalize_na(order_events(self._spark, self._dir)) if self._events else None
+
+
+def raw_sources(spark: SparkSession, sf_dir: str, with_events: bool = True, with_api: bool = True) -> TestSources:
+    """All sources of the driver's tables, built lazily."""
+    return TestSources(spark, sf_dir, with_events, with_api)
 
 
-def first_load_sources(spark: SparkSession, sf_dir: str) -> RawSources:
+def first_load_sources(spark: SparkSession, sf_dir: str) -> TestSources:
     """The first of two loads: orders placed before ``FIRST_LOAD_BEFORE`` (whole tables otherwise)."""
     raw = raw_sources(spark, sf_dir)
     early = table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
