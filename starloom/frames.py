@@ -5,7 +5,6 @@ Both carry exact size statistics, so the planner can broadcast them without gues
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +44,3 @@ def rows_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructTy
     values = ", ".join("(" + ", ".join(_literal(v, f.dataType) for v, f in zip(r, fields)) + ")" for r in rows)
     names = ", ".join(f"`{f.name}`" for f in fields)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
-
-
-def now_literal(ts: dt.datetime):
-    return F.lit(ts).cast("timestamp")

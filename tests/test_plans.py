@@ -1,7 +1,6 @@
 """Plan shape: no Python UDFs, filters reach the scan, bounded dims are broadcast,
 surrogate keys do not funnel rows through a single-partition window."""
 
-import os
 
 import pytest
 from pyspark.sql import functions as F

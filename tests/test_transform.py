@@ -1,6 +1,5 @@
 """Cleaning transforms on hand-built fixtures; expected rows derived by hand."""
 
-import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
