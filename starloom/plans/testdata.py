@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from starloom.sources.csv import normalize_na
 from starloom.sources.json_records import records_from_array_documents
+from starloom.sources.tables import rebalance
 
 # Orders placed before this day form the first of two loads in the incremental queries.
 FIRST_LOAD_BEFORE = "1998-01-01"
@@ -27,12 +28,18 @@ FIRST_LOAD_BEFORE = "1998-01-01"
 _SCANS: dict[tuple[str, str], DataFrame] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's table; the base relation is reused within a session (no repeated listing)."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """The driver's table; the base relation is reused within a session (no repeated listing).
+
+    ``spread`` rebalances a scan that has fewer splits than the session's parallelism. The driver
+    writes each table as one row group, so its line-item table (the fact-sized source) would
+    otherwise be parsed, filtered and joined in a single task; measured at sf0.1 this made the
+    line pipelines about a third slower. The smaller tables are cheaper to read as they are.
+    """
     key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(key[1])
-    return _SCANS[key]
+    return rebalance(_SCANS[key]) if spread else _SCANS[key]
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +84,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     return li.selectExpr(
         "CAST(l_orderkey AS STRING) AS order_id",
         """CASE WHEN l_partkey % 53 = 0 THEN 'x'
