@@ -93,7 +93,7 @@ _STARS: dict[tuple, tuple] = {}
 
 def loaded_star(spark: SparkSession, d: str):
     """Star loaded once per session and data folder (its keyed tables live in checkpoints)."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.sparkContext.applicationId, id(spark), d)
     if key not in _STARS:
         staged = stage(transform(_raw(spark, d), PARAMS))
         star, _ = load_star(None, staged, PARAMS, RUN1)

@@ -25,7 +25,7 @@ from starloom.sources.tables import rebalance
 FIRST_LOAD_BEFORE = "1998-01-01"
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
+_SCANS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
@@ -36,9 +36,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     otherwise be parsed, filtered and joined in a single task; measured at sf0.1 this made the
     line pipelines about a third slower. The smaller tables are cheaper to read as they are.
     """
-    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, id(spark), f"{sf_dir}/{name}.parquet")
     if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(key[1])
+        _SCANS[key] = spark.read.parquet(key[2])
     return rebalance(_SCANS[key]) if spread else _SCANS[key]
 
 
