@@ -42,3 +42,20 @@ def test_surrogate_keys_without_single_partition_window(spark):
     assert "SinglePartition" not in plan(keyed) and "Window" not in plan(keyed)
     got = [r.k for r in keyed.orderBy("sk").collect()]
     assert got == sorted(got) and keyed.agg(F.min("sk"), F.max("sk")).first() == (1, 5000)
+
+
+@pytest.mark.parametrize(
+    "name, partial",
+    [("latest_status", "partial_max_by"), ("dedup_first", "partial_min_by"), ("customer_dim", "partial_min_by")],
+)
+def test_hot_keys_are_combined_map_side(spark, name, partial):
+    """A key holding a third of all rows is reduced before the shuffle: partial aggregation, no window."""
+    p = plan(catalog.QUERIES[name](spark, SF))
+    assert partial in p and "Window" not in p
+
+
+def test_revenue_pre_aggregates_before_product_join(spark):
+    p = catalog.QUERIES["star_revenue"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    # The aggregate by (year, month, product_key) sits below the join with the product dimension.
+    inner = p[p.index("Join Inner"):]
+    assert "Aggregate [year" in inner and "product_key" in inner
