@@ -147,3 +147,35 @@ def test_events_with_headers_left_join_and_order(spark):
                            "customer_id", "order_created_at", "expected_delivery", "channel"]
     rows = [(r.event_id, r.customer_id) for r in out.collect()]
     assert rows == [(3, None), (1, "cust1"), (2, "cust1")]  # ordered by order, time; no header -> nulls
+
+
+def test_extract_order_events_logic_without_a_database(spark, monkeypatch):
+    """The bounds query, the range-partitioned events read and the join, with the JDBC reads
+    replaced by in-memory frames (no database is started)."""
+    import starloom.sources.jdbc as jdbc
+
+    calls = []
+    events = spark.createDataFrame(
+        [(2, "o1", "shipped", "2017-01-05 10:00:00", "s1", None), (1, "o1", "created", "2017-01-01 10:00:00", None, None),
+         (5, "o9", "created", "2017-03-01 10:00:00", None, None)],
+        "event_id long, order_id string, status string, event_timestamp string, seller_id string, notes string",
+    )
+    headers = spark.createDataFrame(
+        [("o1", "c1", "2017-01-01", "2017-01-20", "web")],
+        "order_id string, customer_id string, created_at string, expected_delivery string, channel string",
+    )
+
+    def fake_read(spark_, **kwargs):
+        opts = jdbc.jdbc_options(**kwargs)
+        calls.append(opts)
+        if opts["dbtable"].startswith("(SELECT MIN(event_id)"):
+            return spark_.createDataFrame([(1, 5)], "lo long, hi long")
+        return events if opts["dbtable"] == "order_events" else headers
+
+    monkeypatch.setattr(jdbc, "read_jdbc", fake_read)
+    out = jdbc.extract_order_events(spark, "jdbc:test", {"user": "u"}, num_partitions=4)
+    assert [(r.event_id, r.customer_id) for r in out.collect()] == [(1, "c1"), (2, "c1"), (5, None)]
+    ev_opts = [c for c in calls if c["dbtable"] == "order_events"][0]
+    assert (ev_opts["partitionColumn"], ev_opts["lowerBound"], ev_opts["upperBound"], ev_opts["numPartitions"]) == (
+        "event_id", "1", "5", "4")
+    assert all(c["user"] == "u" for c in calls)
