@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import common, secrets
+from starloom.llm import common, near_dup, secrets, toxicity
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,5 +22,28 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_secret_scans": op1_secret_scans}
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents at a similarity of 0.85."""
+    return near_dup.near_duplicates(common.documents(spark, sf_dir), percent=85)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; learned from two thirds of the labelled ids."""
+    docs = common.documents(spark, sf_dir)
+    remainder = common.crc_remainder("doc_id", 3)
+    model = toxicity.train(docs, common.table(spark, sf_dir, "labels"), remainder != 1)
+    scored = toxicity.score(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        F.coalesce(remainder == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
+    "op7_minhash": op7_minhash,
+    "op9_toxicity": op9_toxicity,
+}
 ORACLE: dict[str, str] = {}

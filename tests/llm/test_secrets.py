@@ -57,7 +57,7 @@ def test_empty_table(spark):
 
 
 def test_query_rows_against_brute_force(spark):
-    sf = "/root/testdata/sf0.001"
+    sf = "/root/testdata/sf0.01"
     docs = {r["doc_id"]: r["text"] for r in common.documents(spark, sf).collect()}
     rows = queries.op1_secret_scans(spark, sf).collect()
     assert len(rows) == len(docs) and any(r["n_assign"] for r in rows)
