@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import common, near_dup, secrets, toxicity
+from starloom.llm import common, decontaminate, near_dup, secrets, toxicity
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,9 +41,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, re-parameterised or not, with the matched extent."""
+    found = decontaminate.contaminated(common.documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
+    best = F.max_by(F.struct("n_matched", "n_item", "doc_start", "n_slots"), F.struct("n_matched", -F.col("doc_start")))
+    return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op7_minhash": op7_minhash,
     "op9_toxicity": op9_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}
