@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import common, decontaminate, near_dup, secrets, toxicity
+from starloom.llm import common, decontaminate, near_dup, packing, secrets, tokenize, toxicity
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 4096 ids, with a checksum of each piece's ids."""
+    pieces = packing.pack(common.documents(spark, sf_dir), tokenize.tokenizer_path(), packing.WINDOW)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents at a similarity of 0.85."""
     return near_dup.near_duplicates(common.documents(spark, sf_dir), percent=85)
@@ -50,6 +58,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op4_packing": op4_packing,
     "op7_minhash": op7_minhash,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
