@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from starloom.llm.common import materialize
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-    return r["n"], int(r["s"] or 0)
+def _done(edges: DataFrame) -> bool:
+    """Whether every node points to one root and no root points on."""
+    ends = edges.select(F.col("u").alias("k"), F.lit(1).alias("out"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("v").alias("k"), F.lit(0).alias("out"), F.lit(1).alias("root"))
+    )
+    seen = ends.groupBy("k").agg(F.sum("out").alias("out"), F.max("root").alias("root"))
+    return seen.where("out > 1 OR (out = 1 AND root = 1)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,21 +34,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """``edges`` (u, v) of any orderable type -> (node, root): every node with an edge, with the
-    smallest node of its component. Nulls and self edges are ignored; nothing is collected but two
-    numbers a round; rounds grow with the logarithm of the longest chain."""
+    smallest node of its component. Nulls and self edges are ignored; nothing is collected; rounds grow with the logarithm of the longest chain."""
     e = (
         edges.where(F.col("u") != F.col("v"))
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
     e = materialize(e, f"{label}-0")
-    state = _state(e)
     n = 1
-    while state[0]:
+    while not _done(e):
         e = materialize(_small_star(_large_star(e)), f"{label}-{n}")
-        before, state = state, _state(e)
         n += 1
-        if state == before:
-            break
     roots = e.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots).distinct()

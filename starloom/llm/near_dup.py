@@ -3,12 +3,14 @@
 1. One pass over the texts: the distinct shingles, a key of the whole set, ``k`` minima. Bands are
    hashed from the full minima; of each minimum only ``BITS`` low bits are kept, packed in longs.
 2. Texts with equal sets collapse to one class, so exact copies cost nothing further.
-3. Every band bucket links its members to its leader (its smallest class): one pair a member, never
-   all pairs. Candidates whose collision-corrected similarity, from bit counts of the packed
-   signatures, is far below the threshold are dropped; the rest are confirmed on the full sets.
-4. Buckets that still hold more than one component are looked at again: members outside the
-   leader's component against the members of other components, so no link between components is
-   lost to the choice of the leader.
+3. Every band bucket pairs its members with ``LEADERS`` of them, never all with all. Candidates whose
+   collision-corrected similarity, from bit counts of the packed signatures, is far below the
+   threshold are dropped; the rest are confirmed on the full sets.
+4. Buckets that still hold more than one component are looked at again: members outside the first
+   component against the members of other components, so no link between components is lost to the
+   choice of leaders. Each member near its bucket's leader carries the few shingles by which its set
+   differs from the leader's; two such differences give the exact similarity, so the join itself
+   leaves links only and its rows do not grow with the square of a group.
 5. Components by large-star and small-star steps.
 
 A pair at the threshold is missed by all 25 bands of 5 with probability 8e-7 at 0.85 and 5e-5 at
@@ -34,6 +36,10 @@ BANDS, ROWS, BITS, MINIMA = 25, 5, 4, 128
 LONGS = MINIMA * BITS // 64
 # Standard deviations of the estimate that a true link may fall below the threshold.
 MARGIN = 5.0
+# Members of a bucket that every other member is compared with in the first round.
+LEADERS = 4
+# Estimated similarity to the bucket's leader from which a member carries its difference to it.
+NEAR_LEADER = 0.5
 
 SIGNATURE_SCHEMA = (
     "doc_id long, n_shingles long, cls binary, bands array<long>, "
@@ -128,46 +134,40 @@ def least_estimate(percent: int) -> float:
     return j - MARGIN * float(np.sqrt(j * (1 - j) / MINIMA)) - 0.02
 
 
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            last, own = None, None
-            keep = []
-            for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist(), strict=True):
-                if x is not last:
-                    last, own = x, shingle_set(x)
-                other = shingle_set(y)
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                keep.append(100 * both >= percent * (len(own) + len(other) - both))
-            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+SETS_SCHEMA = "cls binary, shingles array<long>"
 
-    return run
 
-
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep rows whose text has the wanted set (an id may be repeated with other texts)."""
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The full set of every class; rows whose text has another set (a repeated id) are left out."""
     for b in batches:
-        same = [set_key(shingle_set(t)) == c for t, c in zip(b.column("text").to_pylist(), b.column("cls").to_pylist(), strict=True)]
-        yield b.filter(pa.array(same, pa.bool_()))
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) of classes whose full sets reach the threshold."""
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
-    named = classes.join(ends, "cls", "left_semi").select("cls", F.col("label").alias("__id"))
-    texts = (
-        docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text"))
-        .join(named, "__id")
-        .select("cls", "text")
-        .mapInArrow(_keyed, "cls binary, text string")
-        .groupBy("cls")
-        .agg(F.first("text").alias("text"))
-    )
-    a = texts.select(F.col("cls").alias("u"), F.col("text").alias("ta"))
-    b = texts.select(F.col("cls").alias("v"), F.col("text").alias("tb"))
-    return pairs.select("u", "v").join(b, "v").join(a, "u").select("u", "v", "ta", "tb").mapInArrow(
-        _confirm(percent), "u binary, v binary"
-    )
+        keys, sets = [], []
+        for t, c in zip(b.column("text").to_pylist(), b.column("cls").to_pylist(), strict=True):
+            own = shingle_set(t)
+            if set_key(own) == c:
+                keys.append(c)
+                sets.append(own.view(np.int64))
+        ends = np.cumsum([0, *(len(x) for x in sets)]).astype(np.int32)
+        flat = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)], ["cls", "shingles"])
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, shingles) of the wanted (cls, label), from one text each."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("label"), F.col("text").cast("string").alias("text"))
+    rows = texts.join(wanted, "label").select("cls", "text").mapInArrow(_sets, SETS_SCHEMA)
+    return rows.groupBy("cls").agg(F.first("shingles").alias("shingles"))
+
+
+def linked(percent: int) -> Column:
+    """Whether the sets ``a`` and ``b`` of a pair reach the threshold; exact."""
+    both = F.size(F.array_intersect("a", "b"))
+    return 100 * both >= percent * (F.size("a") + F.size("b") - both)
+
+
+def paired(pairs: DataFrame, classes: DataFrame, value: str) -> DataFrame:
+    """(u, v, a, b): ``value`` of both classes of each pair."""
+    own = lambda key, name: classes.select(F.col("cls").alias(key), F.col(value).alias(name))
+    return pairs.join(own("u", "a"), "u").join(own("v", "b"), "v")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -182,48 +182,70 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
     named = classes.where("label IS NOT NULL")  # a class of rows without id has no id to link by
     member = named.select(F.explode("bands").alias("bucket"), "cls")
-    shared = member.groupBy("bucket").agg(F.min("cls").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = materialize(member.join(shared, "bucket").select("bucket", "leader", "cls"), "minhash-buckets")
+    picks = [F.min("cls"), *(F.min_by("cls", F.xxhash64(F.lit(salt), "cls", "bucket")) for salt in range(1, LEADERS))]
+    shared = member.groupBy("bucket").agg(F.array_distinct(F.array(*picks)).alias("leaders"), F.count("*").alias("n")).where("n > 1")
+    members = materialize(member.join(shared, "bucket").select("bucket", "leaders", "cls"), "minhash-buckets")
+    signature = named.select("cls", F.struct(*sig).alias("s"))
+    wanted = members.select("cls").distinct()
+    sets = materialize(full_sets(docs, named.join(wanted, "cls").select("cls", "label")), "minhash-sets")
 
     def near(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(named.select(F.col("cls").alias("u"), F.struct(*sig).alias("a")), "u")
-            .join(named.select(F.col("cls").alias("v"), F.struct(*sig).alias("b")), "v")
-            .where(similarity("a", "b") >= least_estimate(percent))
-            .select("u", "v")
-        )
+        return paired(pairs, signature, "s").where(similarity("a", "b") >= least_estimate(percent)).select("u", "v")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return paired(pairs, sets, "shingles").where(linked(percent)).select("u", "v")
 
-    first = members.where("cls != leader").select(F.col("leader").alias("u"), F.col("cls").alias("v")).distinct()
+    led = members.select("cls", F.explode("leaders").alias("leader")).where("cls != leader")
+    first = led.select(F.least("cls", "leader").alias("u"), F.greatest("cls", "leader").alias("v")).distinct()
     candidates = materialize(near(first), "minhash-candidates")
-    links = materialize(_confirmed(candidates, docs, classes, percent), "minhash-links")
+    links = materialize(confirmed(candidates), "minhash-links")
     part = components(links, "minhash-parts")
 
     # Buckets of more than one component.
-    placed = members.join(part.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn(
-        "root", F.coalesce("root", "cls")
+    placed = members.join(part.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
+        "bucket", F.col("leaders")[0].alias("leader"), "cls", F.coalesce("root", "cls").alias("root")
+    )
+    split = placed.groupBy("bucket").agg(F.min("root").alias("main"), F.max("root").alias("hi"), F.count("*").alias("n"))
+    split = split.where(f"main != hi AND n > {LEADERS}").select("bucket", "main")
+    rows = materialize(placed.join(split, "bucket"), "minhash-split")
+    led = rows.select(F.col("cls").alias("u"), F.col("leader").alias("v")).distinct()
+    differences = (
+        paired(led, signature, "s")
+        .where(similarity("a", "b") >= NEAR_LEADER)
+        .select("u", "v")
+        .transform(lambda p: paired(p, sets, "shingles"))
+        .select(
+            F.col("u").alias("cls"),
+            F.col("v").alias("leader"),
+            F.size("b").alias("size"),
+            F.array_except("b", "a").alias("lost"),
+            F.array_except("a", "b").alias("new"),
+        )
     )
-    split = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    split = split.where("lo != hi AND n > 2").select("bucket", F.col("lo").alias("main"))
-    rows = placed.join(split, "bucket").join(named.select("cls", *sig), "cls")
-    a = rows.where("root != main").select("bucket", F.col("cls").alias("u"), F.col("root").alias("ru"), F.struct(*sig).alias("a"))
-    b = rows.select(F.col("bucket").alias("bv"), F.col("cls").alias("v"), F.col("root").alias("rv"), "main", F.struct(*sig).alias("b"))
+    rows = materialize(rows.join(signature, "cls").join(differences, ["cls", "leader"], "left"), "minhash-differences")
+    side = lambda c, r, d: [F.col("cls").alias(c), F.col("root").alias(r), F.struct("s.*", "size", "lost", "new").alias(d)]
+    a = rows.where("root != main").select("bucket", *side("u", "ru", "a"))
+    b = rows.select(F.col("bucket").alias("bv"), "main", *side("v", "rv", "b"))
+    kept = F.size(F.array_union("a.lost", "b.lost"))
+    both = F.col("a.size") - kept + F.size(F.array_intersect("a.new", "b.new"))
+    either = 2 * F.col("a.size") - F.size("a.lost") - F.size("b.lost") + F.size("a.new") + F.size("b.new") - both
     across = (
         a.join(
             b,
             (F.col("bucket") == F.col("bv"))
             & (F.col("ru") != F.col("rv"))
             & ((F.col("rv") == F.col("main")) | (F.col("u") < F.col("v")))
-            & (similarity("a", "b") >= least_estimate(percent)),
+            & (similarity("a", "b") >= least_estimate(percent))
+            & (F.col("a.size").isNull() | F.col("b.size").isNull() | (100 * both >= percent * either)),
         )
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         .distinct()
-        .join(candidates.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
+        .join(candidates, ["u", "v"], "left_anti")
     )
-    across = materialize(across, "minhash-across")
-    if across.isEmpty():
+    more = materialize(confirmed(across), "minhash-across")
+    if more.isEmpty():
         whole = part
     else:
-        more = _confirmed(across, docs, classes, percent)
         whole = components(part.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), "minhash-whole")
 
     rooted = classes.select("cls", "label").join(whole.withColumnRenamed("node", "cls"), "cls", "left")

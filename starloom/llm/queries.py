@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import common, decontaminate, near_dup, packing, secrets, tokenize, toxicity
+from starloom.llm import common, decontaminate, near_dup, packing, secrets, tokenize, toxicity, training_order, url_filter
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +30,24 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    judged = url_filter.judge(common.table(spark, sf_dir, "pages"), ["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict", "spam_score")
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents at a similarity of 0.85."""
     return near_dup.near_duplicates(common.documents(spark, sf_dir), percent=85)
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record's slot, shard and byte offset, from the tasks that wrote the shards."""
+    rows, _, _ = training_order.materialise(common.documents(spark, sf_dir), tokenize.tokenizer_path(), "epoch-0")
+    place = (F.col("row") * (2 * training_order.STRIDE)).alias("byte_offset")
+    return rows.select("doc_id", "start", "length", "slot", "shard", place)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; learned from two thirds of the labelled ids."""
     docs = common.documents(spark, sf_dir)
@@ -59,7 +72,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op4_packing": op4_packing,
+    "op5_url_filters": op5_url_filters,
     "op7_minhash": op7_minhash,
+    "op8_training_order": op8_training_order,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
