@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import common, decontaminate, near_dup, packing, secrets, tokenize, toxicity, training_order, url_filter
+from starloom.llm import common, decontaminate, mih, near_dup, ngram_lm, packing, secrets, tokenize, toxicity, training_order, url_filter
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,22 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document; learned from the documents that are not held out."""
+    docs = common.documents(spark, sf_dir)
+    held_out = F.coalesce(common.crc_remainder("doc_id", 7) == 2, F.lit(False))
+    model = ngram_lm.train(docs, ~held_out)
+    scored = ngram_lm.score(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.shape.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
+def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows by cosine of every row whose id is divisible by 50."""
+    return mih.nearest(common.table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 4096 ids, with a checksum of each piece's ids."""
     pieces = packing.pack(common.documents(spark, sf_dir), tokenize.tokenizer_path(), packing.WINDOW)
@@ -71,6 +87,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_multi_index_hashing": op3_multi_index_hashing,
     "op4_packing": op4_packing,
     "op5_url_filters": op5_url_filters,
     "op7_minhash": op7_minhash,

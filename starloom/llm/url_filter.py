@@ -191,7 +191,8 @@ def judge(pages: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES) ->
     )
     # One row a distinct (host, path, rule) from here on: hot urls collapse before any join.
     groups = urls.groupBy("host", "path", "rule", "tokens").agg(F.count("*").alias("n"))
-    tokens = F.concat(F.coalesce("words", F.expr("CAST(array() AS array<string>)")), "tokens")
+    # A token counts once a url, so one long path does not make up a class.
+    tokens = F.array_distinct(F.concat(F.coalesce("words", F.expr("CAST(array() AS array<string>)")), "tokens"))
     groups = materialize(groups.join(host_words, "host", "left").select("host", "path", "rule", "n", tokens.alias("tokens")), "url-groups")
 
     verdicts = {r.name: r.verdict for r in rules}
