@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import common, decontaminate, mih, near_dup, ngram_lm, packing, secrets, tokenize, toxicity, training_order, url_filter
+from starloom.llm import common, decontaminate, language_id, mih, near_dup, ngram_lm, packing, secrets, tokenize, toxicity, training_order, url_filter
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,15 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "spam_score")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learned from two thirds of the ids."""
+    docs = common.documents(spark, sf_dir)
+    remainder = common.crc_remainder("doc_id", 3)
+    model = language_id.train(docs, remainder != 1)
+    predicted = language_id.predict(docs, model, ["doc_id"])
+    return predicted.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents at a similarity of 0.85."""
     return near_dup.near_duplicates(common.documents(spark, sf_dir), percent=85)
@@ -91,6 +100,7 @@ QUERIES = {
     "op3_multi_index_hashing": op3_multi_index_hashing,
     "op4_packing": op4_packing,
     "op5_url_filters": op5_url_filters,
+    "op6_language_id": op6_language_id,
     "op7_minhash": op7_minhash,
     "op8_training_order": op8_training_order,
     "op9_toxicity": op9_toxicity,

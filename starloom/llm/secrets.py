@@ -156,3 +156,25 @@ def redact(text: str, findings: list[tuple[str, int, int]], mark: str = "[SECRET
             out += [text[at:start], mark]
         at = end
     return "".join([*out, text[at:]])
+
+
+def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = b.column("text").to_pylist()
+        for i, found in enumerate(b.column("findings").to_pylist()):
+            if found and texts[i]:
+                texts[i] = redact(texts[i], [(f["kind"], f["start"], f["end"]) for f in found])
+        names = [n for n in b.schema.names if n != "findings"]
+        columns = {n: pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in names}
+        if "n_chars" in columns:
+            kept = b.column("n_chars").to_pylist()
+            sizes = [len(t) if t is not None and f else n for t, f, n in zip(texts, b.column("findings").to_pylist(), kept, strict=True)]
+            columns["n_chars"] = pa.array(sizes, b.column("n_chars").type)
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names)
+
+
+def redact_versions(docs: DataFrame, ledger: str) -> DataFrame:
+    """All rows and columns of ``docs``; the findings of ``text`` replaced, ``n_chars`` adjusted."""
+    found = scan_versions(docs, docs.columns, ledger).drop("blob")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return found.mapInArrow(_redact, fields)
