@@ -208,47 +208,62 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     split = placed.groupBy("bucket").agg(F.min("root").alias("main"), F.max("root").alias("hi"), F.count("*").alias("n"))
     split = split.where(f"main != hi AND n > {LEADERS}").select("bucket", "main")
     rows = materialize(placed.join(split, "bucket"), "minhash-split")
-    led = rows.select(F.col("cls").alias("u"), F.col("leader").alias("v")).distinct()
-    differences = (
-        paired(led, signature, "s")
-        .where(similarity("a", "b") >= NEAR_LEADER)
-        .select("u", "v")
-        .transform(lambda p: paired(p, sets, "shingles"))
-        .select(
+
+    # Members near their bucket's leader: by what their sets lost and gained against it.
+    led = rows.select(F.col("cls").alias("u"), F.col("leader").alias("v"), "root").distinct()
+    near_leader = paired(led, signature, "s").where(similarity("a", "b") >= NEAR_LEADER).select("u", "v", "root")
+    differing = materialize(
+        paired(near_leader, sets, "shingles").select(
             F.col("u").alias("cls"),
             F.col("v").alias("leader"),
+            "root",
             F.size("b").alias("size"),
             F.array_except("b", "a").alias("lost"),
             F.array_except("a", "b").alias("new"),
-        )
+        ),
+        "minhash-differences",
     )
-    rows = materialize(rows.join(signature, "cls").join(differences, ["cls", "leader"], "left"), "minhash-differences")
-    side = lambda c, r, d: [F.col("cls").alias(c), F.col("root").alias(r), F.struct("s.*", "size", "lost", "new").alias(d)]
-    a = rows.where("root != main").select("bucket", *side("u", "ru", "a"))
-    b = rows.select(F.col("bucket").alias("bv"), "main", *side("v", "rv", "b"))
-    kept = F.size(F.array_union("a.lost", "b.lost"))
-    both = F.col("a.size") - kept + F.size(F.array_intersect("a.new", "b.new"))
-    either = 2 * F.col("a.size") - F.size("a.lost") - F.size("b.lost") + F.size("a.new") + F.size("b.new") - both
-    across = (
-        a.join(
-            b,
-            (F.col("bucket") == F.col("bv"))
-            & (F.col("ru") != F.col("rv"))
-            & ((F.col("rv") == F.col("main")) | (F.col("u") < F.col("v")))
-            & (similarity("a", "b") >= least_estimate(percent))
-            & (F.col("a.size").isNull() | F.col("b.size").isNull() | (100 * both >= percent * either)),
-        )
-        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        .distinct()
-        .join(candidates, ["u", "v"], "left_anti")
+    mains = differing.groupBy("leader").agg(F.min("root").alias("main"), F.max("root").alias("hi")).where("main != hi")
+    mixed = differing.join(mains.select("leader", "main"), "leader")
+    side = lambda c, *own: F.struct("cls", "root", *own).alias(c)
+    a = mixed.where("root != main").select(F.col("leader").alias("at"), side("a", "size", "lost", "new"))
+    b = mixed.select("leader", "main", side("b", "size", "lost", "new"))
+    n_lost, n_new = F.size("a.lost") + F.size("b.lost"), F.size("a.new") + F.size("b.new")
+    whole = 2 * F.col("a.size") - n_lost + n_new  # the two set sizes together
+    most = F.col("a.size") - F.greatest(F.size("a.lost"), F.size("b.lost")) + F.least(F.size("a.new"), F.size("b.new"))
+    both = F.col("a.size") - n_lost + F.size(F.array_intersect("a.lost", "b.lost")) + F.size(F.array_intersect("a.new", "b.new"))
+    other_part = (F.col("a.root") != F.col("b.root")) & (
+        (F.col("b.root") == F.col("main")) | (F.col("a.cls") < F.col("b.cls"))
     )
+    by_difference = a.join(
+        b,
+        (F.col("at") == F.col("leader"))
+        & other_part
+        & ((100 + percent) * most >= percent * whole)
+        & ((100 + percent) * both >= percent * whole),
+    )
+    # Pairs with a member far from its bucket's leader: by the estimate, to be confirmed.
+    far = F.col("size").isNull().alias("far")
+    rows = rows.join(signature, "cls").join(differing.select("cls", "leader", "size"), ["cls", "leader"], "left")
+    rows = materialize(rows.select("bucket", "main", "cls", "root", "s", far), "minhash-far")
+    a = rows.where("root != main").select(F.col("bucket").alias("at"), side("a", "s.*", "far"))
+    b = rows.select("bucket", "main", side("b", "s.*", "far"))
+    by_estimate = a.join(
+        b,
+        (F.col("at") == F.col("bucket"))
+        & (F.col("a.far") | F.col("b.far"))
+        & other_part
+        & (similarity("a", "b") >= least_estimate(percent)),
+    )
+    ends = [F.least("a.cls", "b.cls").alias("u"), F.greatest("a.cls", "b.cls").alias("v")]
+    across = by_difference.select(*ends).unionByName(by_estimate.select(*ends)).distinct().join(candidates, ["u", "v"], "left_anti")
     more = materialize(confirmed(across), "minhash-across")
     if more.isEmpty():
-        whole = part
+        joined = part
     else:
-        whole = components(part.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), "minhash-whole")
+        joined = components(part.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), "minhash-whole")
 
-    rooted = classes.select("cls", "label").join(whole.withColumnRenamed("node", "cls"), "cls", "left")
+    rooted = classes.select("cls", "label").join(joined.withColumnRenamed("node", "cls"), "cls", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "cls"))
     least = rooted.groupBy("root").agg(F.min("label").alias("least"))
     ids = rooted.join(least, "root").select("cls", "least")
@@ -262,3 +277,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """One row of each class: the row with the smallest id. A repeated row is kept once; rows with a
+    null id, which cannot be told apart by id, are kept once a text."""
+    found = near_duplicates(docs, percent)
+    ids = materialize(found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dedup-kept")
+    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    named = docs.where("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi").withColumn("__h", text).dropDuplicates(["doc_id", "__h"])
+    unnamed = docs.where("doc_id IS NULL").withColumn("__h", text).dropDuplicates(["__h"])
+    return named.unionByName(unnamed).drop("__h")
