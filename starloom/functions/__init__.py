@@ -1,7 +1,7 @@
 """Pure ``Column -> Column`` helpers built from Spark's built-in functions (no Python UDFs)."""
 
-from starloom.functions.dates import date_key, dim_date_columns, to_day
-from starloom.functions.parse import lenient_double, lenient_int, lenient_timestamp, nan_to_null
+from starloom.functions.dates import date_key, dim_date_columns
+from starloom.functions.parse import lenient_double, lenient_int, lenient_timestamp
 from starloom.functions.text import NA_TOKENS, na_to_null, strip_ws, title_case, zfill
 
 __all__ = [
@@ -12,9 +12,7 @@ __all__ = [
     "lenient_int",
     "lenient_timestamp",
     "na_to_null",
-    "nan_to_null",
     "strip_ws",
     "title_case",
-    "to_day",
     "zfill",
 ]

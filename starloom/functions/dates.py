@@ -8,14 +8,10 @@ from pyspark.sql import functions as F
 from starloom.functions.text import _col
 
 
-def to_day(ts: Column | str) -> Column:
-    """Truncate a timestamp to its calendar day (``Series.dt.normalize``)."""
-    return F.to_date(_col(ts))
-
-
 def date_key(ts: Column | str) -> Column:
     """Smart key ``YYYYMMDD`` as int; null stays null."""
-    return F.date_format(_col(ts), "yyyyMMdd").cast("int")
+    t = _col(ts)
+    return F.year(t) * 10000 + F.month(t) * 100 + F.dayofmonth(t)
 
 
 def dim_date_columns(day: Column | str) -> list[Column]:

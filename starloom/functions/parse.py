@@ -12,75 +12,51 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from starloom.functions.text import _col, strip_ws
-from starloom.params import DEFAULT_TIMESTAMP_FORMATS
 
-
-def nan_to_null(c: Column | str) -> Column:
-    """NaN becomes null (pandas treats both as missing; in Spark ``NaN > 0`` is true)."""
-    c = _col(c)
-    return F.when(~F.isnan(c), c)
+# Decimal and exponent notation, infinities; not the suffixed (1d, 2.5f) or hexadecimal forms that
+# a JVM double accepts.
+_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?)\s*$"
 
 
 def lenient_double(c: Column | str, default: float | None = None) -> Column:
     """``pd.to_numeric(errors='coerce')`` then optional ``fillna(default)``."""
-    v = nan_to_null(_col(c).try_cast("double"))
+    c = _col(c)
+    v = F.when(c.rlike(_NUMBER), c.try_cast("double"))
     return F.coalesce(v, F.lit(float(default))) if default is not None else v
 
 
 def lenient_int(c: Column | str, default: int | None = 1) -> Column:
-    """Parse as a number, fill missing with ``default`` and truncate toward zero (``'2.7'`` -> 2).
+    """Parse as a 64-bit number, fill missing with ``default`` and truncate toward zero (``'2.7'`` -> 2).
 
-    A direct string -> int cast would reject ``'2.7'``; values outside the int range count as missing.
+    Whole numbers are read exactly; others go through a double. Text that is no number, or one that
+    64 bits cannot hold, counts as missing.
     """
-    v = nan_to_null(_col(c).try_cast("double")).try_cast("int")
-    return F.coalesce(v, F.lit(int(default))) if default is not None else v
-
-
-_FIXED_WIDTH = {"y": 4, "M": 2, "d": 2, "H": 2, "m": 2, "s": 2}
-
-
-def _length_range(fmt: str) -> tuple[int, int] | None:
-    """Text length a pattern can match, or ``None`` when it has fields of unknown width."""
-    lo = hi = 0
-    i = 0
-    while i < len(fmt):
-        ch = fmt[i]
-        if ch == "'":
-            j = fmt.index("'", i + 1)
-            lo, hi = lo + (j - i - 1), hi + (j - i - 1)
-            i = j + 1
-            continue
-        j = i
-        while j < len(fmt) and fmt[j] == ch:
-            j += 1
-        run = j - i
-        if ch.isalpha():
-            if ch == "S":
-                lo, hi = lo + 1, hi + run
-            elif _FIXED_WIDTH.get(ch) == run:
-                lo, hi = lo + run, hi + run
-            else:
-                return None
-        else:
-            lo, hi = lo + run, hi + run
-        i = j
-    return lo, hi
-
-
-def lenient_timestamp(c: Column | str, formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS) -> Column:
-    """First format that parses the stripped text wins; nothing parses -> null. Result is zone-less.
-
-    A format is only tried when the text has a length the format can produce (a necessary
-    condition), so most rows are parsed once instead of failing through the list: a failed
-    parse costs an exception inside the parser.
+    c = _col(c)
+    v = F.coalesce(c.try_cast("bigint"), lenient_double(c).try_cast("bigint"))
+    return F.coalesce(v, F.lit(int(default)).cast("bigint")) if default is not None else v
+
+
+# A date as year-month-day or year/month/day, or month/day/year; then, optionally, a time with up to
+# nine fraction digits and a zone.
+_DATE = r"(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4})"
+_TIME = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?"
+_ZONE = r"(?:Z|[+-]\d{2}:?\d{2})"
+_TIMESTAMP = rf"^{_DATE}(?:[T ]{_TIME}{_ZONE}?)?$"
+
+
+def lenient_timestamp(c: Column | str, formats: Sequence[str] = ()) -> Column:
+    """A zone-less timestamp from the stripped text, or null.
+
+    Read without a format: ISO dates with ``-`` or ``/``, month-first slash dates, an optional time
+    (``T`` or a space, seconds and up to nine fraction digits optional, kept to the microsecond) and
+    an optional zone, whose wall-clock time is kept. ``formats`` are tried on text of other shapes.
+    The text is brought to one shape first, so each value is parsed once.
     """
     s = strip_ws(c)
-    n = F.length(s)
-    parsed = []
-    for fmt in formats:
-        attempt = F.try_to_timestamp(s, F.lit(fmt))
-        bounds = _length_range(fmt)
-        if bounds is not None:
-            attempt = F.when(n.between(bounds[0], bounds[1]), attempt)
-        parsed.append(attempt)
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    iso = F.regexp_replace(s, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
+    iso = F.regexp_replace(iso, r"^(\d{4})/(\d{1,2})/", "$1-$2-")
+    iso = F.regexp_replace(iso, rf"({_TIME}){_ZONE}$", "$1")
+    iso = F.regexp_replace(iso, r"(\.\d{6})\d+$", "$1")
+    parsed = F.when(s.rlike(_TIMESTAMP), iso.try_cast("timestamp_ntz"))
+    extra = [F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(parsed, *extra) if extra else parsed

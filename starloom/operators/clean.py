@@ -23,6 +23,7 @@ from starloom.functions import (
     title_case,
     zfill,
 )
+from starloom.operators.counters import Counters
 from starloom.operators.dedup import keep_first
 from starloom.operators.enrich import join_enrichment, map_category
 from starloom.operators.latest import apply_latest_status, latest_status
@@ -96,7 +97,7 @@ def rejected_status(orders: DataFrame, statuses: Sequence[str]) -> DataFrame:
 
 
 def parse_items(items: DataFrame) -> DataFrame:
-    """Lenient item numbers: seq defaults to 1 (truncated), price NaN/bad -> null, freight -> 0.0."""
+    """Lenient item numbers: 64-bit seq, 1 by default (truncated), price NaN/bad -> null, freight -> 0.0."""
     extra = [ORD] if ORD in items.columns else []
     return items.select(
         "order_id",
@@ -109,8 +110,12 @@ def parse_items(items: DataFrame) -> DataFrame:
 
 
 def parse_events(events: DataFrame, formats: Sequence[str]) -> DataFrame:
-    """Operational events with a parsed (lenient) event time."""
-    return events.withColumn("event_timestamp", lenient_timestamp("event_timestamp", formats))
+    """Operational events with a parsed (lenient) event time and a numeric event id, so ids that
+    arrive as text compare as the numbers they are."""
+    events = events.withColumn("event_timestamp", lenient_timestamp("event_timestamp", formats))
+    if "event_id" in events.columns:
+        events = events.withColumn("event_id", F.col("event_id").try_cast("bigint"))
+    return events
 
 
 def join_order_items(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -130,12 +135,6 @@ def join_order_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     return m
 
 
-def build_dim_date(days: DataFrame, day_col: str = "purchase_date") -> DataFrame:
-    """One row per distinct non-null day seen (not a calendar), with its attributes."""
-    d = days.select(F.col(day_col).alias("d")).where(F.col("d").isNotNull()).distinct()
-    return d.select(*dim_date_columns("d"))
-
-
 def dim_date_from_lines(lines: DataFrame) -> DataFrame:
     """The date dimension of staged lines, from their ``date_key`` (distinct keys first: the
     partial aggregation leaves at most one row per day per input partition)."""
@@ -149,6 +148,7 @@ def clean_orders(
     items: DataFrame,
     events: DataFrame | None = None,
     params: Params = Params(),
+    counters: Counters | None = None,
 ) -> OrderOutputs:
     """Order lines ready for the fact load, and the date dimension of the surviving lines.
 
@@ -156,18 +156,27 @@ def clean_orders(
     join items; keep ``price > min_price``; ``date_key`` from the purchase time (null stays null);
     optionally override the status with the latest operational event (applied after status
     validation, so an unknown event status reaches the load and gets a null status key).
+    ``counters`` takes the rows dropped, rejected and enriched on the way.
     """
     o = parse_order_times(orders, params.timestamp_formats)
+    if counters is not None:
+        keyed = F.col("order_id").isNotNull() & F.col("customer_id").isNotNull()
+        allowed = F.coalesce(F.col("order_status").isin(*params.valid_statuses), F.lit(False))
+        o = counters(o, "orders", raw=F.count(F.lit(1)), dropped=F.count_if(~keyed), rejected=F.count_if(keyed & ~allowed))
     o = drop_null_keys(o, ["order_id", "customer_id"])
     o = valid_status(o, params.valid_statuses)
-    i = parse_items(items)
-    m = join_order_items(o, i)
+    # Once an order, before the 1:n join; only the key travels on.
+    o = o.withColumn("date_key", date_key("order_purchase_timestamp"))
+    o = o.select("order_id", "customer_id", "order_status", "date_key", *([ORD] if ORD in o.columns else []))
+    m = join_order_items(o, parse_items(items))
+    if counters is not None:
+        priced = F.coalesce(F.col("price") > F.lit(params.min_price), F.lit(False))
+        m = counters(m, "lines", joined=F.count(F.lit(1)), dropped=F.count_if(~priced))
     m = m.where(F.col("price") > F.lit(params.min_price))
-    m = m.withColumn("date_key", date_key("order_purchase_timestamp"))
     if events is not None:
         ev = parse_events(events, params.timestamp_formats)
         tiebreak = "event_id" if "event_id" in ev.columns else None
-        m = apply_latest_status(m, latest_status(ev, tiebreak=tiebreak))
+        m = apply_latest_status(m, latest_status(ev, tiebreak=tiebreak), counters=counters)
     extra = [ORD] if ORD in m.columns else []
     lines = m.select(
         "order_id",

@@ -2,7 +2,8 @@
 
 Written as ``groupBy(key).agg(min_by(struct(row), order))`` rather than a ``row_number`` window:
 the aggregate combines map-side, so a key holding a third of all rows is reduced to one row
-per input partition before the shuffle instead of being sorted in a single task.
+per input partition before the shuffle instead of being sorted in a single task. (Spark sorts within
+each task for this aggregate, since a row is not a buffer of fixed width.)
 """
 
 from __future__ import annotations

@@ -8,24 +8,6 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Source (Portuguese) product category -> catalog (English) label.
 # Any other category, including "uncategorized", maps to the default label "electronics".
-#   eletronicos -> electronics
-#   informatica_acessorios -> electronics
-#   telefonia -> electronics
-#   tablets_impressao_imagem -> electronics
-#   audio -> electronics
-#   eletrodomesticos -> electronics
-#   eletrodomesticos_2 -> electronics
-#   utilidades_domesticas -> electronics
-#   cama_mesa_banho -> women's clothing
-#   fashion_bolsas_e_acessorios -> women's clothing
-#   fashion_roupa_feminina -> women's clothing
-#   fashion_roupa_masculina -> men's clothing
-#   fashion_calcados -> men's clothing
-#   fashion_underwear_e_moda_praia -> men's clothing
-#   fashion_esporte -> men's clothing
-#   joias_relogios -> jewelery
-#   relogios_presentes -> jewelery
-#   bijuterias_e_jóias -> jewelery
 # ---------------------------------------------------------------------------
 CATEGORY_MAP: dict[str, str] = {
     "eletronicos": "electronics",
@@ -75,9 +57,9 @@ def api_enrichment(api_products: DataFrame) -> DataFrame:
 def join_enrichment(products: DataFrame, enrichment: DataFrame | None) -> DataFrame:
     """Attach ``avg_price``/``avg_rating`` by ``api_category``; missing -> 0.0.
 
-    Every product maps to one of ``LABELS`` (five values), so the enrichment is first narrowed to
-    those labels: the side joined is at most five rows whatever the catalog size, and is
-    broadcast. This avoids shuffling products on a five-valued (maximally skewed) key.
+    Every product maps to one of ``LABELS`` (four values), so the enrichment is first narrowed to
+    those labels: the side joined is at most four rows whatever the catalog size, and is
+    broadcast. This avoids shuffling products on a four-valued (maximally skewed) key.
     """
     if enrichment is None:
         return products.withColumn("avg_price", F.lit(0.0)).withColumn("avg_rating", F.lit(0.0))

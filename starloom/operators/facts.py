@@ -34,7 +34,7 @@ def resolve_fact_keys(
     extra = [ORD] if ORD in lines.columns else []
     return f.where(F.col("price").isNotNull()).select(
         "order_id",
-        F.col("order_item_seq").cast("int").alias("order_item_seq"),
+        F.col("order_item_seq").cast("long").alias("order_item_seq"),
         "customer_key",
         "product_key",
         F.col("date_key").cast("int").alias("date_key"),

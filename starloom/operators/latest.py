@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.counters import Counters
+
 
 def latest_status(
     events: DataFrame,
@@ -20,7 +22,8 @@ def latest_status(
     * events whose time is missing (unparseable) sort after every dated event, so they win;
     * ties on time go to the highest ``tiebreak`` (the event id), else the larger status string;
     * null keys are dropped.
-    ``max_by`` keeps this a combinable aggregate: no sort, partial aggregation before the shuffle.
+    ``max_by`` keeps this a combinable aggregate: each task sends one row a key. (Its buffer is not of
+    fixed width, so Spark aggregates by sorting within each task.)
     """
     order = [F.col(ts).isNull().cast("int").alias("ts_missing"), F.col(ts).alias("ts")]
     if tiebreak is not None:
@@ -30,10 +33,14 @@ def latest_status(
     return kept.groupBy(key).agg(F.max_by(F.col(status), F.struct(*order)).alias("latest_event_status"))
 
 
-def apply_latest_status(lines: DataFrame, latest: DataFrame, key: str = "order_id") -> DataFrame:
+def apply_latest_status(
+    lines: DataFrame, latest: DataFrame, key: str = "order_id", counters: Counters | None = None
+) -> DataFrame:
     """Overwrite ``order_status`` where an event status exists (left join; unmatched rows keep theirs)."""
     cols = lines.columns
     joined = lines.join(latest, key, "left")
+    if counters is not None:
+        joined = counters(joined, "events", enriched=F.count("latest_event_status"))
     return joined.select(
         *[
             F.coalesce(F.col("latest_event_status"), F.col("order_status")).alias("order_status")

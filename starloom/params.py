@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's defaults for identical results.
@@ -24,21 +24,11 @@ DEFAULT_STATUSES: tuple[str, ...] = (
     "created",
 )
 
-# Explicit formats tried in order when parsing event and purchase times. The reference
-# lets pandas infer one format per column; this list is a superset that keeps more rows.
-DEFAULT_TIMESTAMP_FORMATS: tuple[str, ...] = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-)
-
-
 @dataclass(frozen=True)
 class Params:
     valid_statuses: tuple[str, ...] = DEFAULT_STATUSES
     min_price: float = 0.0
     max_null_ratio_fact_fk: float = 0.01
     min_load_ratio: float = 0.70
-    timestamp_formats: tuple[str, ...] = field(default=DEFAULT_TIMESTAMP_FORMATS)
+    # Formats tried on time text that is neither ISO nor a slash date.
+    timestamp_formats: tuple[str, ...] = ()

@@ -2,15 +2,28 @@
 
 The source derivations mirror :mod:`starloom.plans.testdata`; everything after them is written
 directly in SQL from the pipeline's semantics (QUALIFY windows for "first"/"last", CASE for
-lenient parsing, joins for lookups) without reusing the Spark code.
+lenient parsing, joins for lookups). Nothing is taken from the code under test but the day that
+separates two loads.
 """
 
 from __future__ import annotations
 
-from starloom.functions.text import NA_TOKENS
-from starloom.operators.enrich import CATEGORY_MAP, DEFAULT_LABEL
 from starloom.plans.testdata import FIRST_LOAD_BEFORE
 
+# Fixed values, written here a second time on purpose: what a CSV reader takes for missing, and the
+# catalog label of each product category (any other: electronics).
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+LABELS = {
+    "electronics": "eletronicos informatica_acessorios telefonia tablets_impressao_imagem audio eletrodomesticos "
+    "eletrodomesticos_2 utilidades_domesticas",
+    "women's clothing": "cama_mesa_banho fashion_bolsas_e_acessorios fashion_roupa_feminina",
+    "men's clothing": "fashion_roupa_masculina fashion_calcados fashion_underwear_e_moda_praia fashion_esporte",
+    "jewelery": "joias_relogios relogios_presentes bijuterias_e_jóias",
+}
+
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -50,10 +63,19 @@ def num(x: str) -> str:
 
 
 def seq(x: str) -> str:
-    return f"COALESCE(try_cast(trunc({num(x)}) AS INTEGER), 1)"
+    return f"COALESCE(try_cast(trunc({num(x)}) AS BIGINT), 1)"
 
 
-TS_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M", "%Y-%m-%d")
+TS_FORMATS = (
+    "%Y-%m-%d %H:%M:%S",
+    "%Y-%m-%dT%H:%M:%S",
+    "%Y-%m-%d %H:%M:%S.%n",
+    "%Y-%m-%d",
+    "%Y/%m/%d %H:%M:%S",
+    "%m/%d/%Y",
+    "%Y-%m-%dT%H:%M:%S.%g",
+    "%Y-%m-%dT%H:%M:%SZ",
+)
 
 
 def ts(x: str) -> str:
@@ -62,12 +84,11 @@ def ts(x: str) -> str:
 
 
 def category_label(c: str) -> str:
-    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in CATEGORY_MAP.items())
-    return f"COALESCE(CASE {c} {whens} END, {q(DEFAULT_LABEL)})"
+    whens = " ".join(f"WHEN {q(k)} THEN {q(label)}" for label, own in LABELS.items() for k in own.split())
+    return f"COALESCE(CASE {c} {whens} END, 'electronics')"
 
 
 EARLY = f"(SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '{FIRST_LOAD_BEFORE} 00:00:00')"
-LATE = f"(SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '{FIRST_LOAD_BEFORE} 00:00:00')"
 
 CTES: list[tuple[str, str]] = [
     (
@@ -112,6 +133,11 @@ QUALIFY row_number() OVER (PARTITION BY customer_unique_id ORDER BY _ord) = 1"""
   CASE WHEN o_orderkey % 199 = 7 THEN 'null' ELSE o_orderstatus END AS order_status,
   CASE WHEN o_orderkey % 101 = 3 THEN 'not a date'
        WHEN o_orderkey % 103 = 4 THEN 'NaN'
+       WHEN o_orderkey % 11 = 2 THEN strftime(_t, '%Y/%m/%d %H:%M:%S')
+       WHEN o_orderkey % 11 = 3 THEN strftime(_t, '%m/%d/%Y')
+       WHEN o_orderkey % 11 = 4 THEN strftime(_t, '%Y-%m-%dT%H:%M:%S') || '.123'
+       WHEN o_orderkey % 11 = 5 THEN strftime(_t, '%Y-%m-%dT%H:%M:%S') || 'Z'
+       WHEN o_orderkey % 11 = 6 THEN strftime(_t, '%Y-%m-%d %H:%M:%S') || '.123456789'
        WHEN o_orderkey % 5 = 0 THEN strftime(_t, '%Y-%m-%d')
        WHEN o_orderkey % 5 = 1 THEN strftime(_t, '%Y-%m-%dT%H:%M:%S')
        ELSE strftime(_t, '%Y-%m-%d %H:%M:%S') END AS order_purchase_timestamp,
@@ -141,6 +167,7 @@ FROM (SELECT *, o_orderdate + to_seconds(o_orderkey % 86400) AS _t FROM orders)"
   CASE WHEN l_partkey % 53 = 0 THEN 'x'
        WHEN l_partkey % 59 = 0 THEN CAST(l_linenumber AS VARCHAR) || '.7'
        WHEN l_partkey % 61 = 0 THEN 'NA'
+       WHEN l_partkey % 67 = 0 THEN CAST(l_linenumber + 3000000000 AS VARCHAR)
        ELSE CAST(l_linenumber AS VARCHAR) END AS order_item_id,
   CAST(l_partkey AS VARCHAR) AS product_id,
   CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN '0.00'
@@ -150,6 +177,9 @@ FROM (SELECT *, o_orderdate + to_seconds(o_orderkey % 86400) AS _t FROM orders)"
        ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) END AS price,
   CASE WHEN l_partkey % 7 = 0 THEN 'n/a'
        WHEN l_partkey % 11 = 0 THEN '1e1'
+       WHEN l_partkey % 13 = 0 THEN '1d'
+       WHEN l_partkey % 17 = 0 THEN '2.5f'
+       WHEN l_partkey % 19 = 0 THEN '0x1p3'
        ELSE CAST(CAST(l_quantity AS DECIMAL(12,2)) AS VARCHAR) END AS freight_value,
   l_partkey AS _p, l_suppkey AS _s, l_shipdate AS _d
 FROM lineitem""",
@@ -180,10 +210,11 @@ FROM o_valid o JOIN i_parsed i ON i.order_id = o.order_id""",
     ),
     (
         "raw_events",
-        """SELECT event_id, CAST(user_id AS VARCHAR) AS order_id,
+        """SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS order_id,
   CASE event_type WHEN 'purchase' THEN 'F' WHEN 'click' THEN 'O' WHEN 'error' THEN NULL
        ELSE event_type END AS status,
-  CASE WHEN event_id % 97 = 0 THEN 'garbage' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_timestamp,
+  CASE WHEN event_id % 97 = 0 THEN 'garbage' WHEN event_id % 2 = 0 THEN '2024-06-01 00:00:00'
+       ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_timestamp,
   'seller' || CAST(event_id % 13 AS VARCHAR) AS seller_id,
   CASE WHEN event_type = 'error' THEN 'error event' END AS notes
 FROM events""",
@@ -201,7 +232,7 @@ FROM orders""",
   {na('event_timestamp')} AS event_timestamp, {na('seller_id')} AS seller_id, {na('notes')} AS notes
 FROM raw_events""",
     ),
-    ("ev_p", f"SELECT event_id, order_id, status, {ts('event_timestamp')} AS ets FROM ev_n"),
+    ("ev_p", f"SELECT CAST(event_id AS BIGINT) AS event_id, order_id, status, {ts('event_timestamp')} AS ets FROM ev_n"),
     (
         "latest",
         """SELECT order_id, status AS latest_event_status FROM ev_p

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from starloom.sources.csv import normalize_na
 from starloom.sources.json_records import records_from_array_documents
-from starloom.sources.tables import rebalance
 
 # Orders placed before this day form the first of two loads in the incremental queries.
 FIRST_LOAD_BEFORE = "1998-01-01"
@@ -28,18 +27,12 @@ FIRST_LOAD_BEFORE = "1998-01-01"
 _SCANS: dict[tuple[str, int, str], DataFrame] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """The driver's table; the base relation is reused within a session (no repeated listing).
-
-    ``spread`` rebalances a scan that has fewer splits than the session's parallelism. The driver
-    writes each table as one row group, so its line-item table (the fact-sized source) would
-    otherwise be parsed, filtered and joined in a single task; measured at sf0.1 this made the
-    line pipelines about a third slower. The smaller tables are cheaper to read as they are.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The driver's table; the base relation is reused within a session (no repeated listing)."""
     key = (spark.sparkContext.applicationId, id(spark), f"{sf_dir}/{name}.parquet")
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(key[2])
-    return rebalance(_SCANS[key]) if spread else _SCANS[key]
+    return _SCANS[key]
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +67,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN o_orderkey % 199 = 7 THEN 'null' ELSE o_orderstatus END AS order_status",
         """CASE WHEN o_orderkey % 101 = 3 THEN 'not a date'
                 WHEN o_orderkey % 103 = 4 THEN 'NaN'
+                WHEN o_orderkey % 11 = 2 THEN date_format(_t, 'yyyy/MM/dd HH:mm:ss')
+                WHEN o_orderkey % 11 = 3 THEN date_format(_t, 'MM/dd/yyyy')
+                WHEN o_orderkey % 11 = 4 THEN concat(date_format(_t, 'yyyy-MM-dd''T''HH:mm:ss'), '.123')
+                WHEN o_orderkey % 11 = 5 THEN concat(date_format(_t, 'yyyy-MM-dd''T''HH:mm:ss'), 'Z')
+                WHEN o_orderkey % 11 = 6 THEN concat(date_format(_t, 'yyyy-MM-dd HH:mm:ss'), '.123456789')
                 WHEN o_orderkey % 5 = 0 THEN date_format(_t, 'yyyy-MM-dd')
                 WHEN o_orderkey % 5 = 1 THEN date_format(_t, 'yyyy-MM-dd''T''HH:mm:ss')
                 ELSE date_format(_t, 'yyyy-MM-dd HH:mm:ss') END AS order_purchase_timestamp""",
@@ -84,12 +82,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem")
     return li.selectExpr(
         "CAST(l_orderkey AS STRING) AS order_id",
         """CASE WHEN l_partkey % 53 = 0 THEN 'x'
                 WHEN l_partkey % 59 = 0 THEN concat(CAST(l_linenumber AS STRING), '.7')
                 WHEN l_partkey % 61 = 0 THEN 'NA'
+                WHEN l_partkey % 67 = 0 THEN CAST(l_linenumber + 3000000000 AS STRING)
                 ELSE CAST(l_linenumber AS STRING) END AS order_item_id""",
         "CAST(l_partkey AS STRING) AS product_id",
         """CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN '0.00'
@@ -99,6 +98,9 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) END AS price""",
         """CASE WHEN l_partkey % 7 = 0 THEN 'n/a'
                 WHEN l_partkey % 11 = 0 THEN '1e1'
+                WHEN l_partkey % 13 = 0 THEN '1d'
+                WHEN l_partkey % 17 = 0 THEN '2.5f'
+                WHEN l_partkey % 19 = 0 THEN '0x1p3'
                 ELSE CAST(CAST(l_quantity AS DECIMAL(12,2)) AS STRING) END AS freight_value""",
         "named_struct('partkey', l_partkey, 'suppkey', l_suppkey, 'shipdate', l_shipdate) AS _ord",
     )
@@ -155,11 +157,12 @@ def api_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.selectExpr(
-        "event_id",
+        "CAST(event_id AS STRING) AS event_id",  # text, as it comes from a CSV extract
         "CAST(user_id AS STRING) AS order_id",
         """CASE event_type WHEN 'purchase' THEN 'F' WHEN 'click' THEN 'O' WHEN 'error' THEN NULL
                 ELSE event_type END AS status""",
         """CASE WHEN event_id % 97 = 0 THEN 'garbage'
+                WHEN event_id % 2 = 0 THEN '2024-06-01 00:00:00'  -- ties, decided by the id
                 ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END AS event_timestamp""",
         "concat('seller', CAST(event_id % 13 AS STRING)) AS seller_id",
         "CASE WHEN event_type = 'error' THEN 'error event' END AS notes",
@@ -212,12 +215,3 @@ class TestSources:
 def raw_sources(spark: SparkSession, sf_dir: str, with_events: bool = True, with_api: bool = True) -> TestSources:
     """All sources of the driver's tables, built lazily."""
     return TestSources(spark, sf_dir, with_events, with_api)
-
-
-def first_load_sources(spark: SparkSession, sf_dir: str) -> TestSources:
-    """The first of two loads: orders placed before ``FIRST_LOAD_BEFORE`` (whole tables otherwise)."""
-    raw = raw_sources(spark, sf_dir)
-    early = table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
-    early_ids = early.select(F.col("o_orderkey").cast("string").alias("order_id"))
-    raw.orders = raw.orders.join(early_ids, "order_id", "left_semi")
-    return raw

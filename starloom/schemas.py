@@ -11,7 +11,7 @@ def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in fields])
 
 
-# Columns each raw source must have; other columns pass through untouched.
+# Columns each raw source must have; other columns pass through untouched.
 REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
     "customers": (
         "customer_id",
@@ -37,34 +37,6 @@ ORDER_TIME_COLUMNS: tuple[str, ...] = (
 # Keys every API product record must carry (presence, not non-null).
 API_REQUIRED_KEYS: tuple[str, ...] = ("id", "title", "price", "category", "rating")
 
-CUSTOMERS_CLEAN = _struct(
-    ("customer_id", S, False),
-    ("customer_unique_id", S, False),
-    ("city", S, True),
-    ("state", S, True),
-    ("zip_code", S, True),
-)
-
-PRODUCTS_CLEAN = _struct(
-    ("product_id", S, False),
-    ("category", S, True),
-    ("name", S, True),
-    ("api_price", D, True),
-    ("api_rating", D, True),
-)
-
-ORDERS_CLEAN = _struct(
-    ("order_id", S, False),
-    ("order_item_seq", I, False),
-    ("customer_id", S, False),
-    ("product_id", S, True),
-    ("date_key", I, True),
-    ("order_status", S, True),
-    ("price", D, False),
-    ("freight_value", D, False),
-    ("quantity", I, False),
-)
-
 DIM_DATE = _struct(
     ("date_key", I, False),
     ("full_date", S, False),
@@ -99,7 +71,7 @@ DIM_STATUS = _struct(("status_key", L, False), ("status_label", S, False))
 FACT_ORDERS = _struct(
     ("fact_id", L, False),
     ("order_id", S, False),
-    ("order_item_seq", I, False),
+    ("order_item_seq", L, False),
     ("customer_key", L, True),
     ("product_key", L, True),
     ("date_key", I, True),
@@ -117,12 +89,3 @@ STAR_SCHEMAS: dict[str, T.StructType] = {
     "dim_product": DIM_PRODUCT,
     "fact_orders": FACT_ORDERS,
 }
-
-QUALITY_RESULT = _struct(
-    ("seq", I, False),
-    ("check", S, False),
-    ("status", S, False),
-    ("detail", S, False),
-    ("value", L, True),
-    ("total", L, True),
-)

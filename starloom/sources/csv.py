@@ -22,6 +22,7 @@ def check_columns(df: DataFrame, expected: Sequence[str], name: str) -> DataFram
     """Raise ``ValueError`` listing the missing and the found columns; extra columns pass."""
     missing = sorted(set(expected) - set(df.columns))
     if missing:
+        # Fixed text.
         raise ValueError(f"[{name}] Missing expected columns: {missing}. Found: {list(df.columns)}")
     return df
 
@@ -76,11 +77,6 @@ def read_csv(
     return with_ingest_order(df) if ordinal else df
 
 
-def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Read the four named CSV sources (``customers, orders, order_items, products``)."""
-    return {name: read_csv(spark, path, name=name) for name, path in paths.items()}
-
-
 def land_raw(
     dfs: Mapping[str, DataFrame], raw_root: str, counts: dict[str, int] | None = None
 ) -> dict[str, str]:
@@ -100,8 +96,3 @@ def land_raw(
             counts[name] = int(obs.get["rows"])
         out[name] = path
     return out
-
-
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV landing (header, UTF-8, quotes doubled) for consumers that need text files."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

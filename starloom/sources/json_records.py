@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.parse import lenient_double
 from starloom.schemas import API_REQUIRED_KEYS
 
 
@@ -64,8 +65,7 @@ def record_counts(records: DataFrame, required: Sequence[str] = API_REQUIRED_KEY
 
 
 def _num(record: Column, path: str) -> Column:
-    v = F.get_json_object(record, path).try_cast("double")
-    return F.when(~F.isnan(v), v)
+    return lenient_double(F.get_json_object(record, path))
 
 
 def flatten_api_products(records: DataFrame) -> DataFrame:
@@ -88,6 +88,8 @@ def flatten_api_products(records: DataFrame) -> DataFrame:
     )
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    """Land records as JSON Lines (the commit protocol makes the write atomic per job)."""
-    df.write.mode("overwrite").json(path)
+def write_json_lines(records: DataFrame, path: str) -> None:
+    """Land raw records as JSON Lines, one record's text a line; :func:`read_json_lines` reads them
+    back as they were (the commit protocol makes the write atomic per job)."""
+    one_line = F.regexp_replace("record", r"[\r\n]+", " ")  # line breaks are white space in JSON
+    records.select(one_line).write.mode("overwrite").text(path)
