@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def step_counts(steps: Sequence[tuple[str, DataFrame]], total_of: Sequence[str] = ()) -> DataFrame:
-    """``(step, rows)`` for each named frame, plus ``total`` over the ``total_of`` steps.
+class Counters:
+    """Named counts taken while the plan runs for another purpose (no second pass).
 
-    Each count is a one-row aggregate; all of them run as branches of one union.
+    ``counters(df, "orders", dropped=...)`` returns ``df`` with the aggregates attached;
+    :meth:`values` reads them after the action that ran it.
     """
-    parts = [df.agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("rows")) for name, df in steps]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if total_of:
-        total = out.where(F.col("step").isin(*total_of)).agg(
-            F.lit("total_raw").alias("step"), F.sum("rows").cast("long").alias("rows")
-        )
-        out = out.unionByName(total)
-    return out
+
+    def __init__(self) -> None:
+        self._observed: dict[str, Observation] = {}
+
+    def __call__(self, df: DataFrame, name: str, **aggregates: Column) -> DataFrame:
+        obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
+        self._observed[name] = obs
+        return df.observe(obs, *[a.alias(k) for k, a in aggregates.items()])
+
+    def values(self) -> dict[str, int]:
+        return {f"{name}_{k}": int(v or 0) for name, obs in self._observed.items() for k, v in obs.get.items()}
+
+
+def unpivot_counts(row: DataFrame) -> DataFrame:
+    """A one-row frame of counts as ``(step, rows)``."""
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("step"), F.col(c).cast("long").alias("rows")) for c in row.columns])))
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -30,7 +37,5 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
     Read ``observation.get['rows']`` after that action (e.g. after the write).
     """
-    import uuid
-
     obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -1,25 +1,22 @@
-"""Surrogate keys: unique, stable for existing rows, increasing for new rows.
-
-``row_number().over(Window.orderBy(k))`` would pull every new row into one task. Instead the
-rows are range-partitioned and sorted by Spark (a distributed sort); each row's partition id and
-position are recorded and the result is written to the reliable checkpoint folder, so they can no
-longer change. One small job
-counts rows per partition (one row per partition comes back), the counts become offsets, and each
-row's rank is ``offset[partition] + position in partition``. The outcome equals the global
-``row_number() OVER (ORDER BY k)``, whatever the partitioning.
+"""Surrogate keys: unique, stable for existing rows, larger for new rows.
+
+``row_number().over(Window.orderBy(k))`` would pull every new row into one task. Two ways instead:
+
+* :func:`assign_surrogate_keys` (dimensions): dense ranks in key order. Rows are sorted by Spark over
+  range partitions, each row's partition and position are written to the reliable checkpoint folder,
+  so they can no longer change, and per-partition counts become offsets.
+* :func:`assign_strided_keys` (facts): no order, no extra pass. Rows stay in the hash partitions that
+  removing duplicates has made; the k-th row of partition p gets ``start + 1 + p + k * partitions``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from pyspark import StorageLevel
 
-from starloom.frames import rows_frame
 from starloom.session import cut_lineage
 
 _PID, _MID = "_sk_pid", "_sk_mid"
@@ -31,39 +28,54 @@ def max_key(df: DataFrame, key: str) -> int:
     return int(row["m"]) if row is not None and row["m"] is not None else 0
 
 
-def assign_surrogate_keys(
-    df: DataFrame, key: str, order: Sequence[str | Column], start: int = 0
-) -> DataFrame:
+def _position(part: Column, row: Column) -> Column:
+    """The row's place within its partition, from ``monotonically_increasing_id``."""
+    return row - F.shiftleft(part.cast("long"), 33)
+
+
+def assign_surrogate_keys(df: DataFrame, key: str, order: Sequence[str | Column], start: int = 0) -> DataFrame:
     """Add ``key = start + rank`` where rank is 1..n over ``order`` (a total order over the rows)."""
     spark = df.sparkSession
     cols = list(df.columns)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by the range sampler and by the sort
-    try:
-        ranked = cut_lineage(
-            src.sort(*order)
-            .withColumn(_PID, F.spark_partition_id())
-            .withColumn(_MID, F.monotonically_increasing_id()),
-            label="keys",
-        )
-    finally:
-        src.unpersist()
+    src = cut_lineage(df, label="unkeyed")  # read by the range sampler and by the sort
+    ranked = cut_lineage(
+        src.sort(*order)
+        .withColumn(_PID, F.spark_partition_id())
+        .withColumn(_MID, F.monotonically_increasing_id()),
+        label="keys",
+    )
     # Partition id and position are stored columns, so re-reading may split the files any way.
-    counts = ranked.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = sorted((r[_PID], r["n"]) for r in ranked.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, running = [], start
-    for r in sorted(counts, key=lambda r: r[_PID]):
-        offsets.append((r[_PID], running))
-        running += r["n"]
-    schema = T.StructType([T.StructField(_PID, T.IntegerType()), T.StructField("_sk_off", T.LongType())])
-    # One row per non-empty sort partition: bounded by the partition count, safe to broadcast.
-    offset_df = rows_frame(spark, offsets, schema)
-    position = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
+    for _, n in counts:
+        offsets.append(running)
+        running += n
+    # One row of two numbers per non-empty sort partition, as a local relation.
+    table = pa.table({_PID: pa.array([p for p, _ in counts], pa.int32()), "_sk_off": pa.array(offsets, pa.int64())})
+    offset_df = spark.createDataFrame(table)
+    position = _position(F.col(_PID), F.col(_MID))
     return ranked.join(F.broadcast(offset_df), _PID, "inner").select(
         (F.col("_sk_off") + position + F.lit(1)).cast("long").alias(key), *[F.col(c) for c in cols]
     )
 
 
+def assign_strided_keys(df: DataFrame, key: str, by: Sequence[str], partitions: int, start: int = 0) -> DataFrame:
+    """Add a unique ``key`` above ``start`` to rows that are unique by ``by``.
+
+    The hash partitioning by ``by`` is that of an earlier ``repartition(partitions, *by)``, where
+    there is one, and costs nothing then. Within a partition rows are sorted by ``by``, so
+    computing the frame again gives the same keys.
+    """
+    placed = df.repartition(partitions, *by).sortWithinPartitions(*by)
+    part = F.spark_partition_id()
+    position = _position(part, F.monotonically_increasing_id())
+    return placed.select(
+        (F.lit(start + 1) + part + position * F.lit(partitions)).cast("long").alias(key), *[F.col(c) for c in df.columns]
+    )
+
+
 def assign_small_keys(df: DataFrame, key: str, order: Sequence[str | Column], start: int = 0) -> DataFrame:
-    """Same contract for inputs with a fixed, tiny bound (e.g. a constant list of status labels)."""
+    """Dense ranks for inputs with a fixed, tiny bound (e.g. a constant list of status labels)."""
     from pyspark.sql import Window
 
     w = Window.orderBy(*order)

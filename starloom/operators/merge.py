@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_first, keep_last
-from starloom.operators.keys import assign_surrogate_keys, max_key
+from starloom.operators.keys import assign_strided_keys, assign_surrogate_keys, max_key
+from starloom.session import cut_lineage
 
 
 def _not_null(keys: Sequence[str]) -> Column:
@@ -32,11 +33,11 @@ def insert_new(
 ) -> tuple[DataFrame, DataFrame]:
     """Insert-if-absent: rows whose key is not in ``target`` are appended; existing rows never change.
 
-    Within the batch the first row per key wins (by ``order``; any row when rows per key are
-    identical). Rows with a null key are ignored. Returns ``(new table, inserted rows)``.
+    Within the batch the first row per key wins (by ``order``, else by all columns, so a rerun picks
+    the same row). Rows with a null key are ignored. Returns ``(new table, inserted rows)``.
     """
     src = source.where(_not_null(keys))
-    src = keep_first(src, keys, order) if order else src.dropDuplicates(list(keys))
+    src = keep_first(src, keys, order or [F.struct(*src.columns)])
     new = src.join(target.select(*keys), list(keys), "left_anti").select(*target.columns)
     return target.unionByName(new), new
 
@@ -50,33 +51,41 @@ def scd1_merge(
     run_ts: dt.datetime,
     order: Sequence[str | Column],
     updated_col: str = "updated_at",
+    start: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Overwrite-in-place (SCD type 1) upsert on a natural key.
 
     * matched rows take the batch's attribute values (also nulls) and ``updated_at = run_ts``;
       their surrogate key is kept;
-    * new keys are inserted with keys above the current maximum, in natural-key order;
+    * new keys are inserted with keys above the current maximum (``start``, else looked up), in
+      natural-key order;
     * target rows absent from the batch are unchanged;
     * a key repeated in the batch: its last row (by ``order``) wins, as with sequential upserts.
-    A ``matched`` flag decides, not ``source.col IS NULL``. Returns ``(new table, inserted rows)``.
+    One full outer join, written once, gives both the updated and the new rows; flags decide, not
+    ``source.col IS NULL``. Returns ``(new table, inserted rows)``.
     """
     ts = F.lit(run_ts).cast("timestamp")
     src = keep_last(source.where(F.col(key).isNotNull()), [key], order).select(key, *attrs)
     s = src.select(F.col(key), *[F.col(a).alias(f"_src_{a}") for a in attrs], F.lit(True).alias("_matched"))
-    updated = target.join(s, key, "left").select(
-        *[
-            F.when(F.col("_matched"), F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c)
-            if c in attrs
-            else F.when(F.col("_matched"), ts).otherwise(F.col(c)).alias(c)
-            if c == updated_col
-            else F.col(c)
-            for c in target.columns
-        ]
+    joined = target.withColumn("_old", F.lit(True)).join(s, key, "full")
+    merged = cut_lineage(
+        joined.select(
+            *[
+                F.when(F.col("_matched"), F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c)
+                if c in attrs
+                else F.when(F.col("_matched"), ts).otherwise(F.col(c)).alias(c)
+                if c == updated_col
+                else F.col(c)
+                for c in target.columns
+            ],
+            F.coalesce("_old", F.lit(False)).alias("_old"),
+        ),
+        f"merged-{surrogate}",
     )
-    fresh = src.join(target.select(key), key, "left_anti").withColumn(updated_col, ts)
-    start = max_key(target, surrogate)
-    inserted = assign_surrogate_keys(fresh, surrogate, [key], start=start).select(*target.columns)
-    return updated.unionByName(inserted), inserted
+    fresh = merged.where(~F.col("_old")).drop("_old", surrogate)
+    first = max_key(target, surrogate) if start is None else start
+    inserted = assign_surrogate_keys(fresh, surrogate, [key], start=first).select(*target.columns)
+    return merged.where("_old").drop("_old").unionByName(inserted), inserted
 
 
 def append_once(
@@ -87,16 +96,21 @@ def append_once(
     surrogate: str,
     run_ts: dt.datetime | None = None,
     loaded_col: str | None = "loaded_at",
+    partitions: int | None = None,
+    start: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Insert-once rows on a unique key: first batch row wins, rows already loaded never change.
 
-    New rows get surrogate keys above the current maximum in key order.
+    The batch is hash-partitioned by ``keys`` once, into ``partitions`` (the table's buckets, where
+    it has them): removing duplicates, the anti join, the new rows' surrogate keys (above ``start``,
+    else above the current maximum; no order) and a bucketed write all use that partitioning.
     Returns ``(new table, inserted rows)``.
     """
-    first = keep_first(batch.where(_not_null(keys)), keys, order)
-    new = first.join(target.select(*keys), list(keys), "left_anti")
+    n = partitions or int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = batch.where(_not_null(keys)).repartition(n, *keys)
+    new = keep_first(placed, keys, order).join(target.select(*keys), list(keys), "left_anti")
     if loaded_col is not None:
         new = new.withColumn(loaded_col, F.lit(run_ts).cast("timestamp"))
-    start = max_key(target, surrogate)
-    inserted = assign_surrogate_keys(new, surrogate, list(keys), start=start).select(*target.columns)
+    first = max_key(target, surrogate) if start is None else start
+    inserted = assign_strided_keys(new, surrogate, list(keys), n, start=first).select(*target.columns)
     return target.unionByName(inserted), inserted

@@ -1,7 +1,7 @@
 """The data-quality gate over a loaded star: 14 checks as one small DataFrame.
 
-Each check is a single-row aggregate; they are unioned, so the gate runs as a handful of jobs
-and only the 14 result rows ever reach the driver.
+The checks share their passes over the tables (see :func:`quality_checks`); only the 14 result rows
+ever reach the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.frames import rows_frame
+from starloom.operators.counters import unpivot_counts
 from starloom.params import Params
 
 PASS, FAIL, WARN = "PASS", "FAIL", "WARN"
@@ -34,145 +35,92 @@ def thousands(n: Column) -> Column:
 def percent_text(num: Column, den: Column, decimals: int) -> Column:
     """``num/den`` as a percentage text with ``decimals`` places, rounded half-up on the exact ratio.
 
-    Integer arithmetic keeps the text identical on every engine (float formatting differs at
-    half-way points between engines).
+    Integer division keeps the text identical on every engine (float formatting differs at
+    half-way points between engines) and exact for any count.
     """
-    scale = 10 ** (decimals + 2)
-    num, den = num.cast("long"), den.cast("long")
-    scaled = F.when(den > 0, F.floor((num * scale * 2 + den) / (den * 2)).cast("long")).otherwise(F.lit(0))
-    unit = 10**decimals
-    whole = F.floor(scaled / unit).cast("long")
+    div = lambda a, b: F.call_function("div", a, b)
+    num, den = num.cast("decimal(28,0)"), den.cast("decimal(20,0)")
+    scaled = F.when(den > 0, div(num * F.lit(2 * 10 ** (decimals + 2)) + den, den * 2)).otherwise(F.lit(0)).cast("long")
+    unit = F.lit(10**decimals).cast("long")
+    whole = div(scaled, unit)
     frac = F.lpad((scaled % unit).cast("string"), decimals, "0")
     return F.concat(whole.cast("string"), F.lit("."), frac, F.lit("%"))
 
 
-def _row(seq: int, check: str | Column, status: Column, detail: Column, value: Column, total: Column) -> list:
-    check_col = F.lit(check) if isinstance(check, str) else check
-    return [
-        F.lit(seq).alias("seq"),
-        check_col.alias("check"),
-        status.alias("status"),
-        detail.alias("detail"),
-        value.cast("long").alias("value"),
-        total.cast("long").alias("total"),
-    ]
-
-
-def check_row_counts(star: Mapping[str, DataFrame]) -> DataFrame:
-    """``row_count_<table>``: FAIL when the table is empty."""
-    parts = []
-    for i, table in enumerate(ROW_COUNT_TABLES):
-        n = F.count(F.lit(1))
-        parts.append(
-            star[table].agg(
-                *_row(
-                    i + 1,
-                    f"row_count_{table}",
-                    F.when(n > 0, PASS).otherwise(FAIL),
-                    F.concat(thousands(n), F.lit(" rows")),
-                    n,
-                    n,
-                )
-            )
-        )
-    return _union(parts)
+def fact_metrics(fact: DataFrame) -> DataFrame:
+    """``(metric, n)`` of the fact table's own columns, in one pass: rows, null keys, bad prices."""
+    aggs = [F.count(F.lit(1)).alias("rows_fact_orders")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in NULL_FK_COLUMNS]
+    aggs.append(F.count_if(F.col("price") <= 0).alias("bad_price"))
+    return unpivot_counts(fact.agg(*aggs)).toDF("metric", "n")
 
 
-def check_fact_columns(fact: DataFrame, max_null_ratio: float) -> DataFrame:
-    """``null_fk_*`` (null share above the threshold fails; empty table -> 0) and ``price_positive``.
+def orphan_metrics(star: Mapping[str, DataFrame]) -> DataFrame:
+    """``(metric, n)``: rows whose non-null key is missing from its dimension, in one fact pass.
 
-    One pass over the fact table computes all four counts.
+    The four keys of a row become four ``(column, key)`` pairs that are counted before any shuffle
+    (a hot key is one row a task), and only the distinct keys meet the dimensions.
     """
-    aggs = [F.count(F.lit(1)).alias("total")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in NULL_FK_COLUMNS]
-    aggs.append(F.count_if(F.col("price") <= 0).alias("bad_price"))
-    stats = fact.agg(*aggs)
-    total = F.col("total")
-    parts = []
+    pair = lambda c: F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("key"))
+    pairs = star["fact_orders"].select(F.inline(F.array(*[pair(c) for c, _ in ORPHAN_CHECKS]))).where("key IS NOT NULL")
+    used = pairs.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = _union([star[d].select(F.lit(c).alias("column"), F.col(c).cast("long").alias("key")) for c, d in ORPHAN_CHECKS])
+    orphans = used.join(known, ["column", "key"], "left_anti").groupBy("column").agg(F.sum("n").alias("n"))
+    return orphans.select(F.concat(F.lit("orphan_"), "column").alias("metric"), "n")
+
+
+def count_metric(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.lit(name).alias("metric"), F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# Check names and detail texts, as a reader of the reports knows them.
+# ---------------------------------------------------------------------------
+def _checks(params: Params, staged: bool) -> list[Column]:
+    """The 14 checks as structs over one row of metrics."""
+
+    def row(seq: int, check: str, status: Column, detail: Column, value: Column, total: Column) -> Column:
+        return F.struct(
+            F.lit(seq).alias("seq"),
+            F.lit(check).alias("check"),
+            status.alias("status"),
+            detail.alias("detail"),
+            value.cast("long").alias("value"),
+            total.cast("long").alias("total"),
+        )
+
+    checks = []
+    for i, table in enumerate(ROW_COUNT_TABLES):
+        n = F.col(f"rows_{table}")
+        checks.append(
+            row(1 + i, f"row_count_{table}", F.when(n > 0, PASS).otherwise(FAIL), F.concat(thousands(n), F.lit(" rows")), n, n)
+        )
+    total = F.col("rows_fact_orders")
     for i, c in enumerate(NULL_FK_COLUMNS):
         nulls = F.col(f"null_{c}")
         ratio = F.when(total > 0, nulls / total).otherwise(F.lit(0.0))
-        parts.append(
-            stats.select(
-                *_row(
-                    6 + i,
-                    f"null_fk_{c}",
-                    F.when(ratio <= F.lit(max_null_ratio), PASS).otherwise(FAIL),
-                    F.concat(thousands(nulls), F.lit(" nulls ("), percent_text(nulls, total, 2), F.lit(")")),
-                    nulls,
-                    total,
-                )
-            )
-        )
+        status = F.when(ratio <= F.lit(params.max_null_ratio_fact_fk), PASS).otherwise(FAIL)
+        detail = F.concat(thousands(nulls), F.lit(" nulls ("), percent_text(nulls, total, 2), F.lit(")"))
+        checks.append(row(6 + i, f"null_fk_{c}", status, detail, nulls, total))
     bad = F.col("bad_price")
-    parts.append(
-        stats.select(
-            *_row(
-                9,
-                "price_positive",
-                F.when(bad == 0, PASS).otherwise(FAIL),
-                F.concat(thousands(bad), F.lit(" rows with price ≤ 0")),
-                bad,
-                total,
-            )
+    detail = F.concat(thousands(bad), F.lit(" rows with price ≤ 0"))
+    checks.append(row(9, "price_positive", F.when(bad == 0, PASS).otherwise(FAIL), detail, bad, total))
+    for i, (c, _) in enumerate(ORPHAN_CHECKS):
+        n = F.col(f"orphan_{c}")
+        detail = F.concat(thousands(n), F.lit(" orphan references"))
+        checks.append(row(10 + i, f"orphan_fk_{c}", F.when(n == 0, PASS).otherwise(FAIL), detail, n, n))
+    lines = F.col("staged")
+    if not staged:
+        checks.append(row(14, "staging_vs_fact", F.lit(WARN), F.lit("Staging file not found"), F.lit(None), F.lit(None)))
+    else:
+        ratio = F.when(lines > 0, total / lines)
+        status = F.when(F.coalesce(ratio >= F.lit(params.min_load_ratio), F.lit(False)), PASS).otherwise(WARN)
+        text = F.concat(
+            thousands(total), F.lit("/"), thousands(lines), F.lit(" staging rows loaded ("), percent_text(total, lines, 1), F.lit(")")
         )
-    )
-    return _union(parts)
-
-
-def check_orphans(star: Mapping[str, DataFrame]) -> DataFrame:
-    """``orphan_fk_*``: non-null fact keys missing from their dimension (``NOT EXISTS``) fail."""
-    fact = star["fact_orders"]
-    parts = []
-    for i, (col, dim) in enumerate(ORPHAN_CHECKS):
-        keys = fact.select(col).where(F.col(col).isNotNull())
-        orphans = keys.join(star[dim].select(col), col, "left_anti")
-        n = F.count(F.lit(1))
-        parts.append(
-            orphans.agg(
-                *_row(
-                    10 + i,
-                    f"orphan_fk_{col}",
-                    F.when(n == 0, PASS).otherwise(FAIL),
-                    F.concat(thousands(n), F.lit(" orphan references")),
-                    n,
-                    n,
-                )
-            )
-        )
-    return _union(parts)
-
-
-def check_staging_vs_fact(fact: DataFrame, staged_lines: DataFrame | None, min_ratio: float) -> DataFrame:
-    """``staging_vs_fact``: WARN when under ``min_ratio`` of staged lines reached the fact table,
-    or when staging is missing or empty. Never FAIL."""
-    spark = fact.sparkSession
-    if staged_lines is None:
-        return spark.range(1).select(
-            *_row(14, "staging_vs_fact", F.lit(WARN), F.lit("Staging file not found"), F.lit(None), F.lit(None))
-        )
-    # Both counts in one aggregate over the two key-less inputs: no join between them.
-    marks = staged_lines.select(F.lit(1).alias("_s"), F.lit(0).alias("_f")).unionByName(
-        fact.select(F.lit(0).alias("_s"), F.lit(1).alias("_f"))
-    )
-    both = marks.agg(
-        F.coalesce(F.sum("_s"), F.lit(0)).cast("long").alias("staged"),
-        F.coalesce(F.sum("_f"), F.lit(0)).cast("long").alias("loaded"),
-    )
-    staged, loaded = F.col("staged"), F.col("loaded")
-    ratio = loaded / staged
-    status = F.when(staged == 0, WARN).when(ratio >= F.lit(min_ratio), PASS).otherwise(WARN)
-    detail = F.when(staged == 0, F.lit("Staging file is empty")).otherwise(
-        F.concat(
-            thousands(loaded),
-            F.lit("/"),
-            thousands(staged),
-            F.lit(" staging rows loaded ("),
-            percent_text(loaded, staged, 1),
-            F.lit(")"),
-        )
-    )
-    return both.select(*_row(14, "staging_vs_fact", status, detail, loaded, staged))
+        detail = F.when(lines == 0, F.lit("Staging file is empty")).otherwise(text)
+        checks.append(row(14, "staging_vs_fact", status, detail, total, lines))
+    return checks
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -185,15 +133,22 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def quality_checks(
     star: Mapping[str, DataFrame], staged_lines: DataFrame | None, params: Params = Params()
 ) -> DataFrame:
-    """All 14 checks: ``(seq, check, status, detail, value, total)``."""
-    return _union(
-        [
-            check_row_counts(star),
-            check_fact_columns(star["fact_orders"], params.max_null_ratio_fact_fk),
-            check_orphans(star),
-            check_staging_vs_fact(star["fact_orders"], staged_lines, params.min_load_ratio),
-        ]
-    )
+    """All 14 checks: ``(seq, check, status, detail, value, total)``.
+
+    Every number is first a row of ``(metric, n)``: the fact table is read twice (its own columns;
+    its keys against the dimensions), every other table once for its count and the dimensions once
+    more for their keys. The metrics, some twenty rows, are turned into one row and that into 14.
+    """
+    dims = [t for t in ROW_COUNT_TABLES if t != "fact_orders"]
+    parts = [fact_metrics(star["fact_orders"]), orphan_metrics(star)]
+    parts += [count_metric(star[t], f"rows_{t}") for t in dims]
+    if staged_lines is not None:
+        parts.append(count_metric(staged_lines, "staged"))
+    names = [f"rows_{t}" for t in ROW_COUNT_TABLES] + [f"null_{c}" for c in NULL_FK_COLUMNS] + ["bad_price"]
+    names += [f"orphan_{c}" for c, _ in ORPHAN_CHECKS] + ["staged"]
+    wide = [F.coalesce(F.max(F.when(F.col("metric") == m, F.col("n"))), F.lit(0)).alias(m) for m in names]
+    metrics = _union(parts).agg(*wide)
+    return metrics.select(F.inline(F.array(*_checks(params, staged_lines is not None))))
 
 
 def icon(status: Column) -> Column:

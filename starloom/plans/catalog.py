@@ -30,7 +30,7 @@ from starloom.operators.clean import (
     rejected_status,
     valid_status,
 )
-from starloom.operators.counters import step_counts
+from starloom.operators.counters import unpivot_counts
 from starloom.operators.dedup import keep_first
 from starloom.operators.enrich import api_enrichment, map_category
 from starloom.operators.facts import resolve_fact_keys
@@ -147,18 +147,18 @@ def lenient_timestamp_q(spark, d):
 
 @register(
     "title_case",
-    f"SELECT customer_id, {O.title(O.strip('customer_city'))} AS city, "
-    f"{O.title('o_orderpriority')} AS priority FROM c_n "
-    "LEFT JOIN (SELECT o_orderpriority, CAST(_ord AS VARCHAR) AS okey FROM o_n) o ON o.okey = c_n.customer_id",
+    f"SELECT 'city' AS kind, customer_id AS id, {O.title(O.strip('customer_city'))} AS cased FROM c_n "
+    f"UNION ALL SELECT 'priority', order_id, {O.title('o_orderpriority')} FROM o_n",
 )
 def title_case_q(spark, d):
     raw = _raw(spark, d)
-    pri = raw.orders.select(F.col("order_id").alias("customer_id"), "o_orderpriority")
-    return raw.customers.join(pri, "customer_id", "left").select(
-        "customer_id",
-        title_case(strip_ws("customer_city")).alias("city"),
-        title_case("o_orderpriority").alias("priority"),
+    cities = raw.customers.select(
+        F.lit("city").alias("kind"), F.col("customer_id").alias("id"), title_case(strip_ws("customer_city")).alias("cased")
+    )
+    priorities = raw.orders.select(
+        F.lit("priority").alias("kind"), F.col("order_id").alias("id"), title_case("o_orderpriority").alias("cased")
     )
+    return cities.unionByName(priorities)
 
 
 @register(
@@ -350,24 +350,17 @@ def order_facts(spark, d):
 # ----------------------------------------------------------------------------- merges and keys (two loads)
 
 
-def _early_order_ids(spark, d, early: bool = True) -> DataFrame:
+def _early_order_ids(spark, d) -> DataFrame:
     o = td.table(spark, d, "orders")
-    cut = F.lit(td.FIRST_LOAD_BEFORE).cast("timestamp_ntz")
-    return o.where(o.o_orderdate < cut if early else o.o_orderdate >= cut).select(
+    return o.where(o.o_orderdate < F.lit(td.FIRST_LOAD_BEFORE).cast("timestamp_ntz")).select(
         F.col("o_orderkey").cast("string").alias("order_id")
     )
 
 
-def _period_customers(raw, spark, d, early: bool):
-    ids = _early_order_ids(spark, d, early)
-    return raw.orders.join(ids, "order_id", "left_semi").select("customer_id").where(F.col("customer_id").isNotNull())
-
-
 _SCD_SQL = f"""
 , b1 AS (SELECT customer_id, city, state, '00000' AS zip_code, _ord FROM customers_clean
          WHERE customer_id IN (SELECT customer_id FROM o_n WHERE _ord IN {O.EARLY})),
-b2 AS (SELECT customer_id, city, state, zip_code, _ord FROM customers_clean
-       WHERE customer_id IN (SELECT customer_id FROM o_n WHERE _ord IN {O.LATE})),
+b2 AS (SELECT customer_id, city, state, zip_code, _ord FROM customers_clean),
 t1 AS (SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, customer_id, city, state, zip_code,
               {O.RUN1} AS updated_at FROM b1),
 merged AS (
@@ -389,10 +382,10 @@ FROM merged"""
 def scd1_merge_q(spark, d):
     raw = _raw(spark, d)
     cc = cut_lineage(clean_customers(raw.customers), "customers")
-    b1 = cc.join(_period_customers(raw, spark, d, True), "customer_id", "left_semi").withColumn(
-        "zip_code", F.lit("00000")
-    )
-    b2 = cc.join(_period_customers(raw, spark, d, False), "customer_id", "left_semi")
+    # The first load saw the customers of early orders, with other zip codes; the second sees all.
+    early = raw.orders.join(_early_order_ids(spark, d), "order_id", "left_semi").select("customer_id")
+    b1 = cc.join(early, "customer_id", "left_semi").withColumn("zip_code", F.lit("00000"))
+    b2 = cc
     attrs = ["city", "state", "zip_code"]
     empty = empty_frame(spark, DIM_CUSTOMER)
     t1, _ = scd1_merge(empty, b1, "customer_id", attrs, "customer_key", RUN1, ["_ord"])
@@ -415,20 +408,19 @@ def insert_new_q(spark, d):
 _APPEND_SQL = f"""
 , f1 AS (SELECT * FROM lines WHERE _o IN {O.EARLY}
          QUALIFY row_number() OVER (PARTITION BY order_id, order_item_seq ORDER BY _o, _p, _s, _d) = 1),
-k1 AS (SELECT row_number() OVER (ORDER BY order_id, order_item_seq) AS fact_id, order_id, order_item_seq,
-              product_id, price, 1 AS load_no FROM f1),
 f2 AS (SELECT * FROM lines
        QUALIFY row_number() OVER (PARTITION BY order_id, order_item_seq ORDER BY _o, _p, _s, _d) = 1),
-n2 AS (SELECT f2.* FROM f2 LEFT JOIN k1 ON k1.order_id = f2.order_id AND k1.order_item_seq = f2.order_item_seq
-       WHERE k1.order_id IS NULL)
-SELECT fact_id, order_id, order_item_seq, product_id, price, load_no FROM k1
-UNION ALL
-SELECT (SELECT COALESCE(max(fact_id), 0) FROM k1) + row_number() OVER (ORDER BY order_id, order_item_seq),
-       order_id, order_item_seq, product_id, price, 2 FROM n2"""
+n2 AS (SELECT f2.* FROM f2 LEFT JOIN f1 ON f1.order_id = f2.order_id AND f1.order_item_seq = f2.order_item_seq
+       WHERE f1.order_id IS NULL),
+both_loads AS (SELECT *, 1 AS load_no FROM f1 UNION ALL SELECT *, 2 FROM n2)
+SELECT order_id, order_item_seq, product_id, price, load_no, load_no = 2 AS above_first_load,
+       (SELECT count(*) FROM both_loads) AS distinct_ids FROM both_loads"""
 
 
 @register("append_once", _APPEND_SQL)
 def append_once_q(spark, d):
+    """Two loads. Surrogate keys carry no order: shown are their number (they are unique) and that
+    those of the second load are larger than all of the first."""
     raw = _raw(spark, d)
     cols = ["order_id", "order_item_seq", "product_id", "price", "_ord"]
     l2 = cut_lineage(clean_orders(raw.orders, raw.order_items, raw.order_events, PARAMS).lines.select(*cols), "lines")
@@ -436,13 +428,24 @@ def append_once_q(spark, d):
     empty = empty_frame(
         spark,
         T._parse_datatype_string(
-            "fact_id long, order_id string, order_item_seq int, product_id string, price double, loaded_at timestamp"
+            "fact_id long, order_id string, order_item_seq long, product_id string, price double, loaded_at timestamp"
         ),
     )
     t1, _ = append_once(empty, l1, ["order_id", "order_item_seq"], ["_ord"], "fact_id", RUN1)
+    t1 = cut_lineage(t1, "facts-1")
     t2, _ = append_once(t1, l2, ["order_id", "order_item_seq"], ["_ord"], "fact_id", RUN2)
+    t2 = cut_lineage(t2, "facts-2")
     load_no = F.when(F.col("loaded_at") == F.lit(RUN1).cast("timestamp"), 1).otherwise(2)
-    return t2.select("fact_id", "order_id", "order_item_seq", "product_id", "price", load_no.alias("load_no"))
+    ids = t2.agg(F.countDistinct("fact_id").alias("distinct_ids"), F.max(F.when(load_no == 1, F.col("fact_id"))).alias("_last"))
+    return t2.crossJoin(F.broadcast(ids)).select(  # one row of two numbers
+        "order_id",
+        "order_item_seq",
+        "product_id",
+        "price",
+        load_no.alias("load_no"),
+        (F.col("fact_id") > F.coalesce("_last", F.lit(0))).alias("above_first_load"),
+        "distinct_ids",
+    )
 
 
 @register("surrogate_keys", "SELECT customer_key, customer_id FROM dim_customer")
@@ -529,6 +532,31 @@ def qc_load_ratio(spark, d):
     return _qc(spark, d).where(F.col("seq") == 14)
 
 
+_BAD_SQL = """
+, bad AS (SELECT fact_orders.*, CASE WHEN order_item_seq % 4 = 0 THEN NULL ELSE customer_key END AS ck,
+                 CASE WHEN order_item_seq % 5 = 0 THEN -1 ELSE product_key END AS pk FROM fact_orders),
+n AS (SELECT count(*) AS total, count(*) FILTER (WHERE ck IS NULL) AS nulls,
+             count(*) FILTER (WHERE pk = -1) AS orphans FROM bad)
+SELECT 6 AS seq, 'null_fk_customer_key' AS "check", CASE WHEN nulls > 0.01 * total THEN 'FAIL' ELSE 'PASS' END AS status,
+       nulls AS value, total FROM n
+UNION ALL SELECT 11, 'orphan_fk_product_key', CASE WHEN orphans > 0 THEN 'FAIL' ELSE 'PASS' END, orphans, orphans FROM n"""
+
+
+@register("qc_orphans_and_nulls", _BAD_SQL)
+def qc_orphans_and_nulls(spark, d):
+    """The gate over facts with planted null customer keys and unknown product keys."""
+    star, staged = loaded_star(spark, d)
+    seq = F.col("order_item_seq")
+    bad = star["fact_orders"].withColumns(
+        {
+            "customer_key": F.when(seq % 4 != 0, F.col("customer_key")),
+            "product_key": F.when(seq % 5 == 0, F.lit(-1).cast("long")).otherwise(F.col("product_key")),
+        }
+    )
+    checks = quality_checks({**star, "fact_orders": bad}, staged.lines, PARAMS)
+    return checks.where(F.col("seq").isin(6, 11)).select("seq", "check", "status", "value", "total")
+
+
 @register(
     "qc_summary",
     "SELECT count(*) AS checks, count(*) FILTER (WHERE status = 'FAIL') AS failures, "
@@ -570,25 +598,37 @@ UNION ALL SELECT 'total_raw', (SELECT count(*) FROM c_n) + (SELECT count(*) FROM
                               + (SELECT count(*) FROM p_n)""",
 )
 def step_counters(spark, d):
+    """One aggregate of conditional counts a source, one more over the order lines' join."""
     raw, parsed, keyed, valid, joined, priced = _orders_stages(spark, d)
     latest = latest_status(parse_events(raw.order_events, PARAMS.timestamp_formats))
-    steps = [
-        ("customers_raw", raw.customers),
-        ("customers_keys", drop_null_keys(raw.customers, ["customer_id", "customer_unique_id"])),
-        ("customers_clean", clean_customers(raw.customers)),
-        ("orders_raw", raw.orders),
-        ("orders_keys", keyed),
-        ("orders_valid", valid),
-        ("items_raw", raw.order_items),
-        ("lines_joined", joined),
-        ("lines_priced", priced),
-        ("lines_event_status", priced.join(latest, "order_id", "inner")),
-        ("products_raw", raw.products),
-        ("products_clean", clean_products(raw.products, _enrichment(spark, d))),
-        ("api_records", raw.api_records),
-        ("api_valid", validate_records(raw.api_records)),
-    ]
-    return step_counts(steps, total_of=("customers_raw", "orders_raw", "items_raw", "products_raw"))
+    rows = F.count(F.lit(1))
+    c_keys = F.col("customer_id").isNotNull() & F.col("customer_unique_id").isNotNull()
+    customers = raw.customers.agg(
+        rows.alias("customers_raw"),
+        F.count_if(c_keys).alias("customers_keys"),
+        F.countDistinct(F.when(c_keys, F.col("customer_unique_id"))).alias("customers_clean"),
+    )
+    o_keys = F.col("order_id").isNotNull() & F.col("customer_id").isNotNull()
+    allowed = F.col("order_status").isin(*PARAMS.valid_statuses)
+    orders = raw.orders.agg(
+        rows.alias("orders_raw"), F.count_if(o_keys).alias("orders_keys"), F.count_if(o_keys & allowed).alias("orders_valid")
+    )
+    good = F.col("price") > F.lit(PARAMS.min_price)
+    lines = joined.join(latest, "order_id", "left").agg(
+        rows.alias("lines_joined"),
+        F.count_if(good).alias("lines_priced"),
+        F.count_if(good & F.col("latest_event_status").isNotNull()).alias("lines_event_status"),
+    )
+    items = raw.order_items.agg(rows.alias("items_raw"))
+    products = raw.products.agg(rows.alias("products_raw"), F.countDistinct("product_id").alias("products_clean"))
+    catalog = record_counts(raw.api_records).select(F.col("records").alias("api_records"), F.col("valid").alias("api_valid"))
+    counts = [unpivot_counts(x) for x in (customers, orders, items, lines, products, catalog)]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    out = cut_lineage(out, "step-counts")  # 14 rows, so the total does not run the sources again
+    total = out.where(F.col("step").isin("customers_raw", "orders_raw", "items_raw", "products_raw"))
+    return out.unionByName(total.agg(F.lit("total_raw").alias("step"), F.sum("rows").cast("long").alias("rows")))
 
 
 # ----------------------------------------------------------------------------- flagship

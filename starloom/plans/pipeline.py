@@ -13,15 +13,17 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starloom.operators.counters import Counters
 from starloom.operators.quality import run_quality_gate
 from starloom.params import Params
 from starloom.plans.star import RawSources, Staged, load_star, stage, transform
 from starloom.sources.csv import land_raw, normalize_na, read_csv
 from starloom.sources.jdbc import extract_order_events
 from starloom.sources.json_records import read_json_array, read_json_lines
-from starloom.sources.tables import rebalance
-from starloom.sources.warehouse import publish_star, read_staging, read_star
+from starloom.session import scratch
+from starloom.sources.warehouse import current_rows, fact_buckets_of, max_keys, publish_star, read_staging, read_star
 
 STEPS = ("extract", "transform", "load", "quality")
 CSV_SOURCES = ("customers", "orders", "order_items", "products")
@@ -41,6 +43,10 @@ class PipelineConfig:
     order_events: str | None = None  # landed CSV extract of the operational database
     jdbc_url: str | None = None  # or read the operational database directly
     jdbc_properties: dict[str, str] = field(default_factory=dict)
+    jdbc_partitions: int = 8  # parallel range reads of each database table
+    # Buckets of the fact table, set at its first publish (by default the session's shuffle partitions);
+    # size them for about 1 GB a bucket. `rebucket_facts` changes them later.
+    fact_buckets: int | None = None
 
 
 @dataclass
@@ -51,6 +57,8 @@ class PipelineResult:
     raw_rows: dict[str, int] = field(default_factory=dict)  # rows landed per source
     staged_rows: dict[str, int] = field(default_factory=dict)  # rows per staged table
     rows: dict[str, int] = field(default_factory=dict)  # table totals after the load
+    # Rows read, dropped, rejected and enriched by the transform; facts inserted and skipped by the load.
+    counters: dict[str, int] = field(default_factory=dict)
     quality: dict | None = None
 
 
@@ -61,7 +69,7 @@ def extract(spark: SparkSession, cfg: PipelineConfig, counts: dict[str, int] | N
         reader = read_json_array if cfg.api_format == "array" else read_json_lines
         frames["api_records"] = reader(spark, cfg.api_products)
     if cfg.jdbc_url:
-        events = extract_order_events(spark, cfg.jdbc_url, cfg.jdbc_properties)
+        events = extract_order_events(spark, cfg.jdbc_url, cfg.jdbc_properties, cfg.jdbc_partitions)
         frames["order_events"] = events
     elif cfg.order_events:
         frames["order_events"] = read_csv(
@@ -72,8 +80,7 @@ def extract(spark: SparkSession, cfg: PipelineConfig, counts: dict[str, int] | N
 
 def load_raw(spark: SparkSession, cfg: PipelineConfig) -> RawSources:
     def get(name: str) -> DataFrame | None:
-        df = read_staging(spark, f"{cfg.raw_root}/{name}")
-        return rebalance(df) if df is not None else None
+        return read_staging(spark, f"{cfg.raw_root}/{name}")
 
     missing = [n for n in CSV_SOURCES if get(n) is None]
     if missing:
@@ -99,6 +106,25 @@ def read_staged(spark: SparkSession, cfg: PipelineConfig) -> Staged:
     return Staged(parts["customers_clean"], parts["products_clean"], parts["orders_clean"], parts["dim_date"])
 
 
+def load(spark: SparkSession, cfg: PipelineConfig, params: Params, run_ts: dt.datetime, result: PipelineResult) -> None:
+    """Load the staged tables into the warehouse and publish the next version."""
+    counters = Counters()
+    staged = read_staged(spark, cfg)
+    staged = staged._replace(lines=counters(staged.lines, "staged", lines=F.count(F.lit(1))))
+    root = cfg.warehouse_root
+    buckets = fact_buckets_of(spark, root) or cfg.fact_buckets
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    current = read_star(spark, root)
+    before = current_rows(spark, root)
+    star, report = load_star(current, staged, params, run_ts, buckets, max_keys(spark, root))
+    result.version, result.rows = publish_star(
+        spark, root, star, run_ts, new_facts=report.inserted["fact_orders"], fact_buckets=buckets
+    )
+    inserted = result.rows["fact_orders"] - before
+    result.counters["facts_inserted"] = inserted
+    result.counters["facts_skipped"] = counters.values()["staged_lines"] - inserted
+
+
 def run_pipeline(
     spark: SparkSession,
     cfg: PipelineConfig,
@@ -116,15 +142,14 @@ def run_pipeline(
         result.raw_paths = extract(spark, cfg, result.raw_rows)
         result.steps.append("extract")
     if "transform" in steps:
-        stage(transform(load_raw(spark, cfg), params), cfg.staging_root, result.staged_rows)
+        counters = Counters()
+        stage(transform(load_raw(spark, cfg), params, counters), cfg.staging_root, result.staged_rows)
+        result.counters |= counters.values()
         result.steps.append("transform")
     if "load" in steps:
-        staged = read_staged(spark, cfg)
-        current = read_star(spark, cfg.warehouse_root)
-        star, report = load_star(current, staged, params, run_ts)
-        result.version, result.rows = publish_star(
-            spark, cfg.warehouse_root, star, run_ts, new_facts=report.inserted["fact_orders"]
-        )
+        # The copies of new dimensions and keys are needed until the publish only.
+        with scratch(spark):
+            load(spark, cfg, params, run_ts, result)
         result.steps.append("load")
     if "quality" in steps:
         star = read_star(spark, cfg.warehouse_root)

@@ -7,6 +7,7 @@ reads and the versioned publish.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.frames import rows_frame
+from starloom.operators.counters import Counters
 from starloom.operators.clean import clean_customers, clean_orders, clean_products
 from starloom.operators.enrich import api_enrichment
 from starloom.operators.facts import resolve_fact_keys
@@ -21,7 +23,8 @@ from starloom.operators.keys import assign_small_keys, max_key
 from starloom.operators.merge import append_once, insert_new, scd1_merge
 from starloom.params import Params
 from starloom.schemas import STAR_SCHEMAS
-from starloom.sources.json_records import flatten_api_products, validate_records
+from starloom.session import cut_lineage
+from starloom.sources.json_records import flatten_api_products, has_keys, validate_records
 from starloom.sources.warehouse import empty_table
 
 ORD = "_ord"
@@ -51,15 +54,19 @@ class LoadReport:
     inserted: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def transform(raw: RawSources, params: Params = Params()) -> Staged:
+def transform(raw: RawSources, params: Params = Params(), counters: Counters | None = None) -> Staged:
     """The three cleaning transforms (customers, orders + dates, products)."""
-    customers = clean_customers(raw.customers)
-    orders = clean_orders(raw.orders, raw.order_items, raw.order_events, params)
+    watch = counters or (lambda df, name, **_: df)
+    rows = F.count(F.lit(1))
+    keyless = F.col("customer_id").isNull() | F.col("customer_unique_id").isNull()
+    customers = clean_customers(watch(raw.customers, "customers", raw=rows, dropped=F.count_if(keyless)))
+    orders = clean_orders(raw.orders, raw.order_items, raw.order_events, params, counters)
     enrichment = None
     if raw.api_records is not None:
-        enrichment = api_enrichment(flatten_api_products(validate_records(raw.api_records)))
-    products = clean_products(raw.products, enrichment)
-    return Staged(customers, products, orders.lines, orders.dim_date)
+        records = watch(raw.api_records, "catalog", raw=rows, dropped=F.count_if(~has_keys(F.col("record"))))
+        enrichment = api_enrichment(flatten_api_products(validate_records(records)))
+    raw_products = watch(raw.products, "products", raw=rows, dropped=F.count_if(F.col("product_id").isNull()))
+    return Staged(customers, clean_products(raw_products, enrichment), orders.lines, orders.dim_date)
 
 
 def stage(staged: Staged, staging_root: str | None = None, counts: dict[str, int] | None = None) -> Staged:
@@ -71,7 +78,6 @@ def stage(staged: Staged, staging_root: str | None = None, counts: dict[str, int
     """
     from starloom.operators.clean import dim_date_from_lines
     from starloom.operators.counters import observed
-    from starloom.session import cut_lineage
     from starloom.sources.warehouse import write_staging
 
     def put(df: DataFrame, name: str) -> DataFrame:
@@ -110,7 +116,8 @@ def load_dim_status(target: DataFrame, statuses: tuple[str, ...]) -> tuple[DataF
 
 
 def _with_order(df: DataFrame) -> DataFrame:
-    return df if ORD in df.columns else df.withColumn(ORD, F.lit(0))
+    """Without an ingest ordinal all columns decide which row is first, so reruns agree."""
+    return df if ORD in df.columns else df.withColumn(ORD, F.struct(*df.columns))
 
 
 def load_star(
@@ -118,17 +125,22 @@ def load_star(
     staged: Staged,
     params: Params = Params(),
     run_ts: dt.datetime | None = None,
+    fact_partitions: int | None = None,
+    max_keys: Mapping[str, int] | None = None,
 ) -> tuple[dict[str, DataFrame], LoadReport]:
     """Dimensions first (date, status, customer, product), then facts.
 
     Dimensions are overwrite-in-place upserts with stable surrogate keys; facts are insert-once
     on ``(order_id, order_item_seq)``. Reloading the same staged data changes nothing but
-    ``updated_at``.
+    ``updated_at``. Each new dimension is written once (to the reliable checkpoint folder); the fact
+    lookup and the publish both read that copy. ``fact_partitions``: the fact table's bucket count;
+    ``max_keys``: the largest surrogate keys so far, from the commit record, instead of a scan.
     """
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     spark = staged.lines.sparkSession
     star = dict(star) if star is not None else empty_star(spark)
     report = LoadReport()
+    start = dict(max_keys) if max_keys is not None else {}
 
     dim_date, report.inserted["dim_date"] = insert_new(star["dim_date"], staged.dim_date, ["date_key"])
 
@@ -140,7 +152,14 @@ def load_star(
         ORD,
     )
     dim_customer, report.inserted["dim_customer"] = scd1_merge(
-        star["dim_customer"], customers, "customer_id", ["city", "state", "zip_code"], "customer_key", run_ts, [ORD]
+        star["dim_customer"],
+        customers,
+        "customer_id",
+        ["city", "state", "zip_code"],
+        "customer_key",
+        run_ts,
+        [ORD],
+        start=start.get("dim_customer"),
     )
 
     products = _with_order(staged.products).select(
@@ -157,20 +176,30 @@ def load_star(
         "product_key",
         run_ts,
         [ORD],
+        start=start.get("dim_product"),
     )
-
-    rows = resolve_fact_keys(_with_order(staged.lines), dim_customer, dim_product, dim_date, dim_status)
-    fact_orders, report.inserted["fact_orders"] = append_once(
-        star["fact_orders"], rows, ["order_id", "order_item_seq"], [ORD], "fact_id", run_ts
-    )
-    out = {
+    dims = {
         "dim_date": dim_date,
         "dim_status": dim_status,
         "dim_customer": dim_customer,
         "dim_product": dim_product,
-        "fact_orders": fact_orders,
     }
-    return out, report
+    dims = {name: cut_lineage(df, name) for name, df in dims.items()}
+
+    rows = resolve_fact_keys(
+        _with_order(staged.lines), dims["dim_customer"], dims["dim_product"], dims["dim_date"], dims["dim_status"]
+    )
+    fact_orders, report.inserted["fact_orders"] = append_once(
+        star["fact_orders"],
+        rows,
+        ["order_id", "order_item_seq"],
+        [ORD],
+        "fact_id",
+        run_ts,
+        partitions=fact_partitions,
+        start=start.get("fact_orders"),
+    )
+    return {**dims, "fact_orders": fact_orders}, report
 
 
 def materialize(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -179,6 +208,4 @@ def materialize(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
     Later readers (quality checks, reports) then scan the loaded rows instead of re-running the
     load, and a lost executor cannot force a recomputation of the whole pipeline.
     """
-    from starloom.session import cut_lineage
-
     return {name: cut_lineage(df, label=name) for name, df in star.items()}

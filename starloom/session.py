@@ -6,10 +6,13 @@ Library functions never create sessions; they take the caller's ``SparkSession``
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on. They are applied only when the caller has not set them.
@@ -39,6 +42,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _one_machine(master: str) -> bool:
+    """``local`` and ``local[...]``; a ``local-cluster[...]`` has executors of its own."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession, allow_local_fallback: bool = False) -> str:
     """Return the session's reliable checkpoint directory.
 
@@ -53,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local_fallback: bool = Fals
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not allow_local_fallback or not sc.master.startswith("local"):
+    if not allow_local_fallback or not _one_machine(sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: configure a shared folder for reliable checkpoints"
         )
@@ -61,23 +69,36 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local_fallback: bool = Fals
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame, label: str = "table", reuse_input: bool = False) -> DataFrame:
+_SCRATCH: ContextVar[str | None] = ContextVar("starloom_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables that :func:`cut_lineage` writes inside the block are deleted at its end.
+
+    Frames built in the block must be written where they are wanted before it ends.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/starloom-run-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(token)
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def cut_lineage(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the reliable checkpoint folder and read it back.
 
     One computation of the plan (``DataFrame.checkpoint`` computes it twice: once for the
-    action, once more to write the files). ``reuse_input`` persists ``df`` first, for plans
-    that run more than one job over the same input (a range sort samples its input first).
+    action, once more to write the files). Inside :func:`scratch` the copy is deleted at its end;
+    otherwise it stays until the checkpoint folder is cleaned.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
+    root = _SCRATCH.get() or ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/starloom-{label}-{uuid.uuid4().hex}"
-    if reuse_input:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        df.write.parquet(path)
-    finally:
-        if reuse_input:
-            df.unpersist()
+    df.write.parquet(path)
     # An empty result writes no data files: read back with the known schema.
     return spark.read.schema(df.schema).parquet(path)
 

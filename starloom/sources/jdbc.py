@@ -1,7 +1,7 @@
 """Operational database extract: order events joined to their order headers.
 
-Each table is read with a partitioned JDBC scan (range splits on a numeric column) and the join
-runs in Spark, so the database only serves parallel range reads.
+Both tables are read with partitioned JDBC scans (events by their numeric id, headers by their
+creation time) and the join runs in Spark, so the database only serves parallel range reads.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ def jdbc_options(
     table: str,
     properties: Mapping[str, str] | None = None,
     partition_column: str | None = None,
-    bounds: tuple[int, int] | None = None,
+    bounds: tuple[object, object] | None = None,
     num_partitions: int | None = None,
     fetch_size: int = 10_000,
 ) -> dict[str, str]:
@@ -39,13 +39,13 @@ def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**kwargs)).load()
 
 
-def column_bounds(spark: SparkSession, url: str, table: str, column: str, properties=None) -> tuple[int, int] | None:
-    """``(min, max)`` of a numeric column, pushed to the database as one tiny query."""
+def column_bounds(spark: SparkSession, url: str, table: str, column: str, properties=None) -> tuple[object, object] | None:
+    """``(min, max)`` of a numeric, date or time column, pushed to the database as one tiny query."""
     q = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) b"
     row = read_jdbc(spark, url=url, table=q, properties=properties).first()
     if row is None or row["lo"] is None:
         return None
-    return int(row["lo"]), int(row["hi"])
+    return row["lo"], row["hi"]
 
 
 def events_with_headers(events: DataFrame, headers: DataFrame, sort: bool = True) -> DataFrame:
@@ -67,6 +67,20 @@ def events_with_headers(events: DataFrame, headers: DataFrame, sort: bool = True
     return out.orderBy("order_id", "event_timestamp") if sort else out
 
 
+def read_partitioned(spark: SparkSession, url: str, table: str, column: str, num_partitions: int, properties=None) -> DataFrame:
+    """A table in ``num_partitions`` ranges of ``column`` (rows where it is null go with the first)."""
+    bounds = column_bounds(spark, url, table, column, properties)
+    return read_jdbc(
+        spark,
+        url=url,
+        table=table,
+        properties=properties,
+        partition_column=column if bounds else None,
+        bounds=bounds,
+        num_partitions=num_partitions,
+    )
+
+
 def extract_order_events(
     spark: SparkSession,
     url: str,
@@ -74,17 +88,10 @@ def extract_order_events(
     num_partitions: int = 8,
     events_table: str = "order_events",
     headers_table: str = "raw_orders",
+    headers_column: str = "created_at",
+    sort: bool = False,
 ) -> DataFrame:
-    """Partitioned reads of both tables and the join in Spark."""
-    bounds = column_bounds(spark, url, events_table, "event_id", properties)
-    events = read_jdbc(
-        spark,
-        url=url,
-        table=events_table,
-        properties=properties,
-        partition_column="event_id" if bounds else None,
-        bounds=bounds,
-        num_partitions=num_partitions,
-    )
-    headers = read_jdbc(spark, url=url, table=headers_table, properties=properties)
-    return events_with_headers(events, headers)
+    """Partitioned reads of both tables and the join in Spark; ordered only on request."""
+    events = read_partitioned(spark, url, events_table, "event_id", num_partitions, properties)
+    headers = read_partitioned(spark, url, headers_table, headers_column, num_partitions, properties)
+    return events_with_headers(events, headers, sort=sort)
