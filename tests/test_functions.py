@@ -47,21 +47,25 @@ def test_na_tokens(spark):
 
 
 def test_lenient_numbers(spark):
-    values = ["12.5", " 7 ", "NaN", "1,000", "1e3", "abc", None, "-5"]
-    assert one_col(spark, values, lenient_double) == [12.5, 7.0, None, None, 1000.0, None, None, -5.0]
-    assert one_col(spark, values, lambda c: lenient_double(c, 0.0)) == [12.5, 7.0, 0.0, 0.0, 1000.0, 0.0, 0.0, -5.0]
+    values = ["12.5", " 7 ", "NaN", "1,000", "1e3", "abc", None, "-5", "1d", "2.5f", "0x1p3", ".5", "5.", "-inf", "+1E-2", "1_0"]
+    want = [12.5, 7.0, None, None, 1000.0, None, None, -5.0, None, None, None, 0.5, 5.0, float("-inf"), 0.01, None]
+    assert one_col(spark, values, lenient_double) == want
+    assert one_col(spark, values, lambda c: lenient_double(c, 0.0)) == [0.0 if v is None else v for v in want]
 
 
 def test_lenient_int_truncates_and_defaults(spark):
-    values = ["2.7", "3", "x", None, "NaN", "1e10", "-1.9"]
-    assert one_col(spark, values, lambda c: lenient_int(c, 1)) == [2, 3, 1, 1, 1, 1, -1]
+    values = ["2.7", "3", "x", None, "NaN", "1e10", "-1.9", "3000000000", "9007199254740993", "1e30", "7d", "inf"]
+    want = [2, 3, 1, 1, 1, 10**10, -1, 3_000_000_000, 9007199254740993, 1, 1, 1]
+    assert one_col(spark, values, lambda c: lenient_int(c, 1)) == want
 
 
 def test_lenient_timestamp_formats(spark):
     import datetime as dt
 
     values = ["2017-10-02 10:56:33", "2017-10-02T10:56:33", "2017-10-02", " 2018-02-01 00:00:00",
-              "10:00", "not a date", None, "2017-10-02 10:56"]
+              "10:00", "not a date", None, "2017-10-02 10:56", "2017/10/02 10:56:33", "2017-10-02T10:56:33.123",
+              "2017-10-02T10:56:33Z", "2017-10-02 10:56:33.123456789", "10/02/2017", "13/02/2017", "2017-02-30",
+              "2017-10-02T10:56:33+0530", "2017-10-02 10:56:33 and more", "9/3/2018 7:05"]
     got = one_col(spark, values, lenient_timestamp)
     assert got == [
         dt.datetime(2017, 10, 2, 10, 56, 33),
@@ -72,7 +76,18 @@ def test_lenient_timestamp_formats(spark):
         None,
         None,
         dt.datetime(2017, 10, 2, 10, 56),
+        dt.datetime(2017, 10, 2, 10, 56, 33),
+        dt.datetime(2017, 10, 2, 10, 56, 33, 123000),
+        dt.datetime(2017, 10, 2, 10, 56, 33),
+        dt.datetime(2017, 10, 2, 10, 56, 33, 123456),
+        dt.datetime(2017, 10, 2),  # month first
+        None,  # no thirteenth month
+        None,
+        dt.datetime(2017, 10, 2, 10, 56, 33),  # wall-clock time of its zone
+        None,
+        dt.datetime(2018, 9, 3, 7, 5),
     ]
+    assert one_col(spark, ["02.10.2017"], lambda c: lenient_timestamp(c, ["dd.MM.yyyy"])) == [dt.datetime(2017, 10, 2)]
 
 
 def test_date_key_and_dim_columns(spark):
