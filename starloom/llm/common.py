@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +23,10 @@ __all__ = [
     "local_path",
     "materialize",
     "shared_dir",
+    "slices",
     "table",
     "whole_text",
+    "word_index",
     "words",
 ]
 
@@ -80,6 +84,35 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``size`` bytes of ``column``, one row at least."""
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths, dtype=np.int64) // size
+    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def words(text: str | None) -> list[bytes]:
     """Lower-case A-Z only, then words ``[^\\x20\\x09-\\x0D]+`` (what ``bytes.split`` splits on)."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def word_index(texts: pa.Array, lower: bool = False) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, the number of each word in turn, words per text) of a column of texts, split
+    where :func:`words` splits. Only the distinct words become Python objects."""
+    texts = texts.cast(pa.string()).fill_null("")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    coded = split.flatten().dictionary_encode()
+    known = coded.dictionary.cast(pa.binary()).to_pylist()
+    numbers = coded.indices.to_numpy(zero_copy_only=False)
+    offsets = split.offsets.to_numpy().astype(np.int64)
+    offsets -= offsets[0]
+    if b"" in known:  # before leading and after trailing white space
+        empty = known.index(b"")
+        kept = numbers != empty
+        offsets = np.concatenate([[0], np.cumsum(kept)])[offsets]
+        numbers = numbers[kept]
+        numbers = numbers - (numbers > empty)
+        known.pop(empty)
+    return known, numbers, np.diff(offsets)

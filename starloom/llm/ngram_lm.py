@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import local_path, shared_dir, words, write_file
+from starloom.llm.common import local_path, shared_dir, slices, word_index, write_file
 from starloom.llm.elias_fano import EliasFano
 
 KAPPA = 4.0
@@ -45,13 +45,7 @@ END = b"\n"  # no word holds white space
 FLOOR = 12.0
 STEP = FLOOR / 255
 
-BLOCK = 4_000_000  # tokens that a task holds at a time
-
-
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = i = len(self)
-        return i
+BLOCK = 16_000_000  # bytes of text that a task holds as tokens at a time
 
 
 def quantise(log10: np.ndarray) -> np.ndarray:
@@ -79,34 +73,24 @@ class Block:
     ends: np.ndarray  # index behind each text
 
     @classmethod
-    def of(cls, texts: list[str | None]) -> Block:
-        known = _Words()
-        known[END]
-        get = known.__getitem__
-        parts = []
-        for t in texts:
-            own = words(t)
-            own.append(END)
-            parts.append(np.fromiter(map(get, own), np.int64, len(own)))
-        hashes = np.fromiter(map(_hash, known), np.uint64, len(known))
-        return cls(hashes, np.concatenate(parts), np.cumsum([len(p) for p in parts]))
+    def of(cls, texts: pa.Array) -> Block:
+        known, numbers, sizes = word_index(texts, lower=True)
+        hashes = np.fromiter(map(_hash, [END, *known]), np.uint64, len(known) + 1)
+        ends = np.cumsum(sizes + 1)
+        ids = np.zeros(ends[-1], np.int64)  # the end token is number 0
+        word = np.ones(len(ids), bool)
+        word[ends - 1] = False
+        ids[word] = numbers.astype(np.int64) + 1
+        return cls(hashes, ids, ends)
 
     def contexts(self) -> np.ndarray:
         return np.concatenate([[0], self.ids[:-1]])  # the end token, number 0, before each first word
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, Block]]:
-    """Batches cut to about ``BLOCK`` tokens."""
     for b in batches:
-        texts = b.column(column).to_pylist()
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < 6 * BLOCK):
-                size += len(texts[end] or "")
-                end += 1
-            yield b.slice(at, end - at), Block.of(texts[at:end])
-            at = end
+        for part in slices(b, column, BLOCK):
+            yield part, Block.of(part.column(column))
 
 
 def _squeeze(values: np.ndarray) -> bytes:

@@ -24,16 +24,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import materialize
+from starloom.llm.common import materialize, slices
 from starloom.llm.tokenize import EOD, encoder
 
 WINDOW = 4096
 SLACK = 8
 TRIPLES = 1500
 ROUNDS = 6
+# Text that a task turns into ids at a time.
+TEXT_BYTES = 8_000_000
 
 PIECES_SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -218,11 +221,11 @@ def make_plan(hist: np.ndarray, window: int = WINDOW, slack: int = SLACK, first:
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
-            ids = enc.encode_all(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n", "ids"]
-            )
+        for batch in batches:
+            for b in slices(batch, "text", TEXT_BYTES):
+                ids = enc.encode_column(b.column("text"))
+                n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 2)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), n, ids], ["doc_id", "n", "ids"])
 
     return run
 

@@ -10,8 +10,11 @@ from __future__ import annotations
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from starloom.llm.common import word_index
+
 TOKENIZER = "word_bpe_49k.json"
 EOD = 2
 
@@ -29,7 +32,7 @@ class Encoder:
     words are encoded as they are. ``LIMIT`` bounds the memo that stays between batches.
     """
 
-    LIMIT = 800_000
+    LIMIT = 500_000
     GROUP = 1000
 
     def __init__(self, path: str):
@@ -65,32 +68,50 @@ class Encoder:
             return core, low[len(core) :]
         return None
 
-    def _words(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+    def _words(self, chunks: list[bytes]) -> list[bytes]:
         memo = self.memo
         if len(memo) >= self.LIMIT:
             memo.clear()
-        plain, odd = {}, {}
+        parts, odd = [], []
         for c in chunks:
             w = c.decode("utf-8", "replace")
-            parts = self._core(w)
-            if parts:
-                plain[c] = parts
-            else:
-                odd[c] = w
-        new = list({p for parts in plain.values() for p in parts if p and p not in memo})
+            own = self._core(w)
+            if own is None:
+                odd.append(w)
+            parts.append(own)
+        new = list({p for own in parts if own for p in own if p and p not in memo})
         memo.update(zip(new, self._encode(new), strict=True))
         memo[""] = b""
-        out = {c: memo[a] + memo[b] for c, (a, b) in plain.items()}
-        encoded = self.tokenizer.encode_batch_fast(list(odd.values()), add_special_tokens=False)
-        out.update((c, np.array(e.ids, "<u2").tobytes()) for c, e in zip(odd, encoded, strict=True))
-        return out
+        encoded = iter(self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))
+        return [memo[own[0]] + memo[own[1]] if own else np.array(next(encoded).ids, "<u2").tobytes() for own in parts]
+
+    def encode_column(self, texts: pa.Array, end: int | None = EOD) -> pa.Array:
+        """Per text its ids, then ``end``, as binary."""
+        chunks, numbers, sizes = word_index(texts)
+        own = self._words(chunks)
+        width = np.fromiter(map(len, own), np.int64, len(own)) // 2
+        table, first = np.frombuffer(b"".join(own), "<u2"), np.cumsum(width) - width
+        n = width[numbers]  # ids of each word in turn
+        at = np.cumsum(n) - n
+        ids = table[np.arange(n.sum()) + np.repeat(first[numbers] - at, n)]
+        per_text = np.zeros(len(sizes), np.int64)
+        full = np.flatnonzero(sizes)
+        if len(full):
+            per_text[full] = np.add.reduceat(n, (np.cumsum(sizes) - sizes)[full])
+        tail = 0 if end is None else 1
+        ends = np.cumsum(per_text + tail)
+        if tail:
+            out = np.full(ends[-1] if len(ends) else 0, end, "<u2")
+            kept = np.ones(len(out), bool)
+            kept[ends - 1] = False
+            out[kept] = ids
+            ids = out
+        offsets = np.concatenate([[0], 2 * ends]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids))])
 
     def encode_all(self, texts: list[str | None], end: int | None = EOD) -> list[bytes]:
-        """Per text its ids, then ``end``."""
-        tail = b"" if end is None else np.array([end], "<u2").tobytes()
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        get = self._words({w for own in split for w in own}).__getitem__
-        return [b"".join(map(get, own)) + tail for own in split]
+        """:meth:`encode_column` for a list."""
+        return self.encode_column(pa.array(texts, pa.string()), end).to_pylist()
 
 
 _ENCODERS: dict[str, Encoder] = {}
