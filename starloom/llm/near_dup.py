@@ -8,9 +8,10 @@
    threshold are dropped; the rest are confirmed on the full sets.
 4. Buckets that still hold more than one component are looked at again: members outside the first
    component against the members of other components, so no link between components is lost to the
-   choice of leaders. Each member near its bucket's leader carries the few shingles by which its set
-   differs from the leader's; two such differences give the exact similarity, so the join itself
-   leaves links only and its rows do not grow with the square of a group.
+   choice of leaders. Each member near one of its bucket's leaders carries the few shingles by which
+   its set differs from that leader's; two such differences give the exact similarity, so the join
+   itself leaves links only and its rows do not grow with the square of a group. Other pairs are
+   filtered by the estimate and confirmed.
 5. Components by large-star and small-star steps.
 
 A pair at the threshold is missed by all 25 bands of 5 with probability 8e-7 at 0.85 and 5e-5 at
@@ -38,7 +39,7 @@ LONGS = MINIMA * BITS // 64
 MARGIN = 5.0
 # Members of a bucket that every other member is compared with in the first round.
 LEADERS = 4
-# Estimated similarity to the bucket's leader from which a member carries its difference to it.
+# Estimated similarity to a leader from which a member carries its difference to it.
 NEAR_LEADER = 0.5
 
 SIGNATURE_SCHEMA = (
@@ -182,38 +183,47 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
     named = classes.where("label IS NOT NULL")  # a class of rows without id has no id to link by
     member = named.select(F.explode("bands").alias("bucket"), "cls")
-    picks = [F.min("cls"), *(F.min_by("cls", F.xxhash64(F.lit(salt), "cls", "bucket")) for salt in range(1, LEADERS))]
+    picks = [F.min("cls"), *(F.min_by("cls", F.xxhash64(F.lit(salt), "cls")) for salt in range(1, LEADERS))]
     shared = member.groupBy("bucket").agg(F.array_distinct(F.array(*picks)).alias("leaders"), F.count("*").alias("n")).where("n > 1")
     members = materialize(member.join(shared, "bucket").select("bucket", "leaders", "cls"), "minhash-buckets")
     signature = named.select("cls", F.struct(*sig).alias("s"))
     wanted = members.select("cls").distinct()
     sets = materialize(full_sets(docs, named.join(wanted, "cls").select("cls", "label")), "minhash-sets")
 
-    def near(pairs: DataFrame) -> DataFrame:
-        return paired(pairs, signature, "s").where(similarity("a", "b") >= least_estimate(percent)).select("u", "v")
-
     def confirmed(pairs: DataFrame) -> DataFrame:
         return paired(pairs, sets, "shingles").where(linked(percent)).select("u", "v")
 
     led = members.select("cls", F.explode("leaders").alias("leader")).where("cls != leader")
     first = led.select(F.least("cls", "leader").alias("u"), F.greatest("cls", "leader").alias("v")).distinct()
-    candidates = materialize(near(first), "minhash-candidates")
+    estimate = similarity("a", "b").alias("estimate")
+    estimates = paired(first, signature, "s").select("u", "v", estimate).where(F.col("estimate") >= min(NEAR_LEADER, least_estimate(percent)))
+    estimates = materialize(estimates, "minhash-estimates")
+    candidates = estimates.where(F.col("estimate") >= least_estimate(percent)).select("u", "v")
     links = materialize(confirmed(candidates), "minhash-links")
     part = components(links, "minhash-parts")
 
     # Buckets of more than one component.
     placed = members.join(part.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
-        "bucket", F.col("leaders")[0].alias("leader"), "cls", F.coalesce("root", "cls").alias("root")
+        "bucket", "leaders", "cls", F.coalesce("root", "cls").alias("root")
     )
     split = placed.groupBy("bucket").agg(F.min("root").alias("main"), F.max("root").alias("hi"), F.count("*").alias("n"))
     split = split.where(f"main != hi AND n > {LEADERS}").select("bucket", "main")
     rows = materialize(placed.join(split, "bucket"), "minhash-split")
 
-    # Members near their bucket's leader: by what their sets lost and gained against it.
-    led = rows.select(F.col("cls").alias("u"), F.col("leader").alias("v"), "root").distinct()
-    near_leader = paired(led, signature, "s").where(similarity("a", "b") >= NEAR_LEADER).select("u", "v", "root")
+    # A member's reference: the first of its bucket's leaders that it is near to, if any. Members of one
+    # reference are compared by what their sets lost and gained against it.
+    led = rows.select("bucket", "cls", F.posexplode("leaders").alias("place", "leader"))
+    close = estimates.where(F.col("estimate") >= NEAR_LEADER)
+    close = close.select(F.col("u").alias("cls"), F.col("v").alias("leader")).unionByName(
+        close.select(F.col("v").alias("cls"), F.col("u").alias("leader"))
+    )
+    found = led.join(close, ["cls", "leader"]).select("bucket", "cls", "place", "leader")
+    found = found.unionByName(led.where("cls = leader").select("bucket", "cls", "place", "leader"))
+    reference = found.groupBy("bucket", "cls").agg(F.min_by("leader", "place").alias("leader"))
+    rows = materialize(rows.drop("leaders").join(reference, ["bucket", "cls"], "left"), "minhash-references")
+    referred = rows.where("leader IS NOT NULL").select(F.col("cls").alias("u"), F.col("leader").alias("v"), "root").distinct()
     differing = materialize(
-        paired(near_leader, sets, "shingles").select(
+        paired(referred, sets, "shingles").select(
             F.col("u").alias("cls"),
             F.col("v").alias("leader"),
             "root",
@@ -242,17 +252,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         & ((100 + percent) * most >= percent * whole)
         & ((100 + percent) * both >= percent * whole),
     )
-    # Pairs with a member far from its bucket's leader: by the estimate, to be confirmed.
-    far = F.col("size").isNull().alias("far")
-    rows = rows.join(signature, "cls").join(differing.select("cls", "leader", "size"), ["cls", "leader"], "left")
-    rows = materialize(rows.select("bucket", "main", "cls", "root", "s", far), "minhash-far")
-    a = rows.where("root != main").select(F.col("bucket").alias("at"), side("a", "s.*", "far"))
-    b = rows.select("bucket", "main", side("b", "s.*", "far"))
+    # Pairs without a common reference: by the estimate, to be confirmed.
+    rows = materialize(rows.join(signature, "cls"), "minhash-signed")
+    a = rows.where("root != main").select(F.col("bucket").alias("at"), side("a", "s.*", "leader"))
+    b = rows.select("bucket", "main", side("b", "s.*", "leader"))
     by_estimate = a.join(
         b,
         (F.col("at") == F.col("bucket"))
-        & (F.col("a.far") | F.col("b.far"))
         & other_part
+        & ~F.coalesce(F.col("a.leader") == F.col("b.leader"), F.lit(False))
         & (similarity("a", "b") >= least_estimate(percent)),
     )
     ends = [F.least("a.cls", "b.cls").alias("u"), F.greatest("a.cls", "b.cls").alias("v")]
