@@ -17,6 +17,7 @@ equal predictions; without a usable training row everything is ``und``; an empty
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.llm.common import slices, word_index
+
 SAMPLE = 800
 WINDOWS, WINDOW = 3, 20
 LEXICON_COUNT = 4
@@ -35,20 +38,22 @@ STEPS = 120
 UNDETERMINED = "und"
 # Words that one vectorised forward-backward run holds.
 GROUP = 250_000
+# Text that a task holds as words at a time.
+TEXT_BYTES = 8_000_000
 LONGEST = 40
 
 _OUTER = ".,;:!?\"'()[]{}<>*#$%&@|+~`-_=/\\"
 
 
-def text_words(text: str | None) -> list[str]:
-    """Lower-case words that hold a letter, without outer signs."""
-    if not text:
-        return []
-    return [w for w in (t.strip(_OUTER) for t in text.lower().split()) if w and (w.isalpha() or any(c.isalpha() for c in w))]
+def clean_word(token: str) -> str:
+    """The token in lower case without outer signs; empty if it holds no letter."""
+    w = token.lower().strip(_OUTER)
+    return w if w.isalpha() or any(c.isalpha() for c in w) else ""
 
 
-def has_letter(text: str | None) -> bool:
-    return bool(text) and any(c.isalpha() for c in text)
+def text_words(text: str | None) -> list[str]:
+    """Lower-case words that hold a letter, without outer signs."""
+    return [w for w in (clean_word(t) for t in re.split(r"[\x20\x09-\x0D]+", text or "")) if w]
 
 
 def word_features(words: list[str], lexicon: set[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -229,68 +234,76 @@ class Tagger:
         self.memo: dict[str, int] = {}
         self.table = np.zeros((0, len(model.labels)), np.float32)
 
-    def _emissions(self, texts: list[list[str]]) -> np.ndarray:
-        new = list(dict.fromkeys(w for own in texts for w in own if w not in self.memo))
-        if len(self.memo) + len(new) > self.LIMIT:
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Rows of ``table`` with the words' emissions."""
+        if len(self.memo) > self.LIMIT:
             self.memo, self.table = {}, self.table[:0]
-            new = list(dict.fromkeys(w for own in texts for w in own))
-        # Words a step at a time: their n-grams are wider than themselves.
         parts, size, step = [self.table], 0, []
-        for w in new:
-            self.memo[w] = len(self.memo)
-            step.append(w)
-            size += len(w)
-            if size > 200_000:
-                parts.append(self.model.emissions(step))
-                size, step = 0, []
+        for w in words:
+            if w not in self.memo:
+                self.memo[w] = len(self.memo)
+                step.append(w)
+                size += len(w)
+                if size > 200_000:  # a step at a time: the n-grams of words are wider than they
+                    parts.append(self.model.emissions(step))
+                    size, step = 0, []
         self.table = np.concatenate([*parts, self.model.emissions(step)])
-        get = self.memo.__getitem__
-        return self.table[np.fromiter((i for own in texts for i in map(get, own)), np.int64, sum(map(len, texts)))]
+        return np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+
+    def _marginals(self, rows: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Groups of texts, longest first: (texts, places of their words, label probabilities)."""
+        first = np.cumsum(lengths) - lengths
+        order = np.argsort(-lengths, kind="stable")
+        order = order[lengths[order] > 0]
+        group = np.cumsum(lengths[order]) // GROUP
+        for g in np.unique(group).tolist():
+            own = order[group == g]
+            n = lengths[own]
+            starts = np.cumsum(n) - n
+            at = np.repeat(first[own] - starts, n) + np.arange(n.sum())
+            yield own, at, forward_backward(self.table[rows[at]], starts, n, self.model.transitions)
 
     def words(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Label probabilities of each word of each text."""
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        lengths = np.array([len(t) for t in texts])
         out: list[np.ndarray] = [np.zeros((0, len(self.model.labels)))] * len(texts)
-        at = 0
-        while at < len(order) and texts[order[at]]:
-            group, size = [], 0
-            while at < len(order) and texts[order[at]] and (not group or size + len(texts[order[at]]) <= GROUP):
-                group.append(order[at])
-                size += len(texts[order[at]])
-                at += 1
-            lengths = np.array([len(texts[i]) for i in group])
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            marginal = forward_backward(self._emissions([texts[i] for i in group]), starts, lengths, self.model.transitions)
-            for i, a, n in zip(group, starts.tolist(), lengths.tolist(), strict=True):
-                out[i] = marginal[a : a + n]
+        for own, _, p in self._marginals(self._rows([w for t in texts for w in t]), lengths):
+            for i, part in zip(own.tolist(), np.split(p, np.cumsum(lengths[own])[:-1]), strict=True):
+                out[i] = part
         return out
 
-    def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, share of letters) of each text."""
-        split = [text_words(t) for t in texts]
-        out = []
-        for own, p in zip(split, self.words(split), strict=True):
-            if not own:
-                out.append((UNDETERMINED, 0.0))
-                continue
-            size = np.fromiter(map(len, own), np.float64, len(own))
-            share = size @ p / size.sum()
-            best = int(share.argmax())
-            out.append((self.model.labels[best], float(min(1.0, share[best]))))
-        return out
+    def __call__(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """(language, share of letters) of each text of a column."""
+        tokens, numbers, sizes = word_index(texts)
+        clean = [clean_word(t.decode("utf-8", "replace")) for t in tokens]
+        letters = np.fromiter(map(len, clean), np.int64, len(clean))
+        kept = letters[numbers] > 0
+        text = np.repeat(np.arange(len(sizes)), sizes)[kept]
+        numbers = numbers[kept]
+        lengths = np.bincount(text, minlength=len(sizes))
+        # The empty word stands in the table for tokens without letters, which no text refers to.
+        rows = self._rows(clean)[numbers]
+        labels, score = [UNDETERMINED] * len(sizes), np.zeros(len(sizes))
+        for own, at, p in self._marginals(rows, lengths):
+            weight = letters[numbers[at]].astype(np.float64)
+            starts = np.cumsum(lengths[own]) - lengths[own]
+            share = np.add.reduceat(p * weight[:, None], starts, axis=0) / np.add.reduceat(weight, starts)[:, None]
+            best = share.argmax(axis=1)
+            score[own] = np.minimum(1.0, share[np.arange(len(own)), best])
+            for i, j in zip(own.tolist(), best.tolist(), strict=True):
+                labels[i] = self.model.labels[j]
+        return labels, score
 
 
 def _predict(model: Model | None, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tag = Tagger(model) if model else None
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                texts = part.column("__text").to_pylist()
-                got = tag(texts) if tag else [(UNDETERMINED, 0.0)] * len(texts)
+            for part in slices(b, "__text", TEXT_BYTES):
+                n = part.num_rows
+                labels, score = tag(part.column("__text")) if tag else ([UNDETERMINED] * n, np.zeros(n))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in keep), pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())],
-                    [*keep, "lang_pred", "score"],
+                    [*(part.column(k) for k in keep), pa.array(labels, pa.string()), pa.array(score)], [*keep, "lang_pred", "score"]
                 )
 
     return run
