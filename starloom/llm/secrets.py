@@ -106,36 +106,44 @@ def read_ledger(spark, ledger: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
 
 
+# Blobs with findings that are broadcast at most when findings are joined back (about 30 MB); beyond
+# that the join is a shuffled one.
+BROADCAST_BLOBS = 200_000
+
+
 def scan_versions(
     versions: DataFrame, keys: list[str], ledger: str, content: str = "text", rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
     """Scan the blobs the ledger lacks, append them to it, and return ``keys``, blob, findings: one
     row per input row.
 
-    One text per distinct blob is shuffled (copies within a map task collapse before it); the join
-    back moves only keys and hashes, so a blob that a third of all paths hold is an ordinary skewed
-    join that Spark splits.
+    One text per distinct blob is shuffled (copies within a map task collapse before it). The join
+    back moves keys and hashes only, and nothing where few blobs have findings; a blob that a third of
+    all paths hold is an ordinary skewed join that Spark splits.
     """
     spark, version = versions.sparkSession, rule_version(rules)
-    text = F.coalesce(F.col(content).cast("string"), F.lit(""))
-    rows = versions.select(*keys, text.alias("__content")).withColumn("__blob", F.sha2("__content", 256))
+    rows = versions.withColumn("__content", F.coalesce(F.col(content).cast("string"), F.lit("")))
+    rows = rows.withColumn("__blob", F.sha2("__content", 256))
     blobs = rows.groupBy(F.col("__blob").alias("blob")).agg(F.first("__content").alias("content"))
-    seen = read_ledger(spark, ledger).where(F.col("rule_version") == version).select("blob")
-    unseen = blobs.join(seen, "blob", "left_anti") if _exists(spark, ledger) else blobs
-    unseen.mapInArrow(_scan_blobs(rules, version), LEDGER_SCHEMA).write.mode("append").parquet(ledger)
+    if _exists(spark, ledger):
+        seen = read_ledger(spark, ledger).where(F.col("rule_version") == version).select("blob")
+        blobs = blobs.join(seen, "blob", "left_anti")
+    blobs.mapInArrow(_scan_blobs(rules, version), LEDGER_SCHEMA).write.mode("append").parquet(ledger)
     # A run that died after its append leaves rows that a rerun skips; equal rows from two runs at
     # the same time collapse here.
     found = (
         read_ledger(spark, ledger)
         .where((F.col("rule_version") == version) & (F.size("findings") > 0))
         .groupBy(F.col("blob").alias("__blob"))
-        .agg(F.first("findings").alias("findings"))
+        .agg(F.first("findings").alias("__findings"))
     )
+    if found.count() <= BROADCAST_BLOBS:
+        found = F.broadcast(found)
     none = F.expr(f"CAST(array() AS {FINDINGS})")
     return (
-        rows.drop("__content")
+        rows.select(*keys, "__blob")
         .join(found, "__blob", "left")
-        .select(*keys, F.col("__blob").alias("blob"), F.coalesce("findings", none).alias("findings"))
+        .select(*keys, F.col("__blob").alias("blob"), F.coalesce("__findings", none).alias("findings"))
     )
 
 
