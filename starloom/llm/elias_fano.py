@@ -22,6 +22,7 @@ class EliasFano:
 
     def __init__(self, n: int, bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
         self.n, self.bits, self.low, self.high, self.ones = n, bits, low, high, ones
+        self._zeros: np.ndarray | None = None
 
     @classmethod
     def build(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -82,38 +83,36 @@ class EliasFano:
         """The values at places i."""
         i = np.asarray(i, np.int64)
         word = np.searchsorted(self.ones, i.astype(np.uint64), side="right") - 1
-        place = word * 64 + self._select_in_word(np.asarray(self.high[word]), i - self.ones[word].astype(np.int64))
+        place = word * 64 + self._select_in_word(self.high[word], i - self.ones[word].astype(np.int64))
         return ((place - i).astype(np.uint64) << np.uint64(self.bits)) | self._lows(i)
 
+    def _after_zero(self, k: np.ndarray) -> np.ndarray:
+        """How many ones stand before the k-th zero (from 0): select over the zeros."""
+        if self._zeros is None:
+            self._zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones.astype(np.int64)
+        word = np.searchsorted(self._zeros, k, side="right") - 1
+        return word * 64 + self._select_in_word(~self.high[word], k - self._zeros[word]) - k
+
     def find(self, x: np.ndarray) -> np.ndarray:
-        """The place of each value, or -1: a successor search from the first value with the same
-        high part, found by select over the zeros."""
+        """The place of each value, or -1: a successor search among the values with the same high
+        part, whose ends are found by select over the zeros."""
         x = np.asarray(x, np.uint64)
         out = np.full(len(x), -1, np.int64)
         if not self.n or not len(x):
             return out
-        high = (x >> np.uint64(self.bits)).astype(np.int64)
-        # Values with this high part follow its high-th zero.
-        zeros = np.arange(len(self.high) + 1, dtype=np.int64) * 64 - np.asarray(self.ones).astype(np.int64)
-        k = high - 1
-        first = np.zeros(len(x), np.int64)
+        high, low = (x >> np.uint64(self.bits)).astype(np.int64), x & np.uint64((1 << self.bits) - 1)
+        a, end = np.zeros(len(x), np.int64), self._after_zero(high)
         some = np.flatnonzero(high > 0)
-        if len(some):
-            word = np.searchsorted(zeros, k[some], side="right") - 1
-            first[some] = word * 64 + self._select_in_word(~np.asarray(self.high[word]), k[some] - zeros[word]) + 1
-        low = x & np.uint64((1 << self.bits) - 1)
-        live = np.arange(len(x))
-        place = first
+        a[some] = self._after_zero(high[some] - 1)
+        b = end.copy()
+        live = np.flatnonzero(a < b)
         while len(live):
-            p = place[live]
-            here = (self.high[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
-            live, p = live[here], p[here]
-            if not len(live):
-                break
-            i = p - high[live]
-            got = self._lows(i)
-            same = got == low[live]
-            out[live[same]] = i[same]
-            live = live[got < low[live]]
-            place[live] += 1
+            middle = (a[live] + b[live]) >> 1
+            less = self._lows(middle) < low[live]
+            a[live[less]] = middle[less] + 1
+            b[live[~less]] = middle[~less]
+            live = live[a[live] < b[live]]
+        some = np.flatnonzero(a < end)
+        hit = some[self._lows(a[some]) == low[some]]
+        out[hit] = a[hit]
         return out
