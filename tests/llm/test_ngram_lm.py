@@ -32,21 +32,29 @@ def tokens(text):
 
 def brute(rows, held):
     """(doc_id, n_tokens, n_known, base, score) with plain dictionaries and exact probabilities."""
-    one, two = Counter(), Counter()
+    one, two, three, pair = Counter(), Counter(), Counter(), Counter()
     for i, t in rows:
         if not held(i):
             w = tokens(t)
             one.update(w)
             two.update(zip([b"\n", *w[:-1]], w, strict=True))
+            for a, b, c in zip([b"\n", *w], w, w[1:]):
+                three[a, b, c] += 1
+                pair[a, b] += 1
     n, v, k = sum(one.values()), len(one), ngram_lm.KAPPA
     out = []
     for i, t in rows:
         w = tokens(t)
         base = score = 0.0
-        for c, x in zip([b"\n", *w[:-1]], w, strict=True):
+        for j, x in enumerate(w):
+            b = w[j - 1] if j else b"\n"
             p = (one[x] + 1) / (n + v + 1)
             base += math.log10(p)
-            score += math.log10((two[c, x] + k * p) / (one[c] + k))
+            p = (two[b, x] + k * p) / (one[b] + k)
+            if j:
+                a = w[j - 2] if j > 1 else b"\n"
+                p = (three[a, b, x] + k * p) / (pair[a, b] + k)
+            score += math.log10(p)
         out.append((i, len(w), sum(one[x] > 0 for x in w), base, score))
     return n, out
 
@@ -57,8 +65,8 @@ def compare(got, want):
     assert [g[:4] for g in got] == [w[:4] for w in want]
     for g, w in zip(got, want, strict=True):
         assert math.isclose(g[4], w[4], rel_tol=1e-9, abs_tol=1e-9)
-        # one step of the quantiser a token at most (two for an unseen pair, half a step each)
-        assert abs(g[5] - w[5]) <= ngram_lm.STEP * g[2] + 1e-6
+        # half a step of the quantiser for each of at most three parts of a token's score
+        assert abs(g[5] - w[5]) <= 1.5 * ngram_lm.STEP * g[2] + 1e-6
 
 
 def test_all_documents_against_brute_force(spark):
@@ -81,15 +89,15 @@ def test_defined_results_and_split_contexts(spark):
     for shards in (1, 7):
         model = ngram_lm.train(docs, F.coalesce(F.col("doc_id") != 102, F.lit(True)), shards=shards)
         if shards == 7:
-            assert len(model.shape.hot) and any(s >= 7 for s in model.pairs)
+            assert len(model.hot) and len(model.hot_pairs) and any(s >= 14 for s in model.triples)
         n, want = brute([(r[0], r[1]) for r in rows], lambda i: i == 102)
-        assert model.shape.tokens == n
+        assert model.tokens == n
         compare(ngram_lm.score(docs, model, ["doc_id", "keys"]).collect(), want)
-    scorer = ngram_lm.Scorer(model)
-    number, _ = scorer.vocabulary.numbers(np.array([ngram_lm._hash(w) for w in (b"w", b"b1", b"\n")], np.uint64))
-    shard = int(model.shape.pair_shard(number[1:2], number[:1])[0])
-    after, _ = scorer._map(shard).successors_of(int(number[1]))
-    assert len(after) == 1 or shard >= 7  # "the" alone follows b1
+    look = ngram_lm.Lookup(model)
+    number, _ = look.vocabulary.numbers(np.array([ngram_lm._hash(w) for w in (b"the", b"b1")], np.uint64))
+    shard = int(model.pair_shard(number[1:], number[:1])[0])
+    after, _ = look._map(f"pairs-{shard}").successors_of(int(number[1]))
+    assert after.tolist() == [number[0]]  # "the" alone follows b1
     none = ngram_lm.train(docs, F.lit(False))
     got = ngram_lm.score(docs, none, ["doc_id"]).collect()
     assert all(r["n_known"] == 0 and r["base_score"] == 0 for r in got)
