@@ -49,9 +49,13 @@ def crc_remainder(col: str, modulus: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(modulus)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write to the shared checkpoint folder and read back (cuts lineage, survives lost executors)."""
-    return cut_lineage(df, label)
+    if compression is None:
+        return cut_lineage(df, label)
+    path = shared_dir(df.sparkSession, label)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:

@@ -221,20 +221,24 @@ def make_plan(hist: np.ndarray, window: int = WINDOW, slack: int = SLACK, first:
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
+        total = 0
         for batch in batches:
             for b in slices(batch, "text", TEXT_BYTES):
                 ids = enc.encode_column(b.column("text"))
                 n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 2)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), n, ids], ["doc_id", "n", "ids"])
+                ends = np.cumsum(n.to_numpy()) + total
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), n, ids, pa.array(ends) if len(ends) else n], ["doc_id", "n", "ids", "end"])
+                total = int(ends[-1]) if len(ends) else total
 
     return run
 
 
 def tokenise(docs: DataFrame, path: str, label: str = "token-ids") -> DataFrame:
-    """(rid, doc_id, n, ids) written once; ``rid`` is unique, its high bits name the writing task."""
+    """(rid, doc_id, n, ids, end) written once. ``rid`` is unique, its high bits name the writing task;
+    ``end`` counts the ids of that task up to and with the row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ids = rows.mapInArrow(_encode(path), "doc_id long, n long, ids binary")
-    return materialize(ids.withColumn("rid", F.monotonically_increasing_id()), label)
+    ids = rows.mapInArrow(_encode(path), "doc_id long, n long, ids binary, end long")
+    return materialize(ids.withColumn("rid", F.monotonically_increasing_id()), label, compression="zstd")
 
 
 def before(rows: DataFrame, value: str, name: str, per: list[str]) -> DataFrame:

@@ -29,7 +29,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = ngram_lm.train(docs, ~held_out)
     scored = ngram_lm.score(docs, model, ["doc_id"])
     return scored.select(
-        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.shape.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
 
 
@@ -67,10 +67,11 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every record's slot, shard and byte offset, from the tasks that wrote the shards."""
+    """Where every piece of every document lies: slot, shard and byte in it, from the tasks that wrote
+    the shards."""
     rows, _, _ = training_order.materialise(common.documents(spark, sf_dir), tokenize.tokenizer_path(), "epoch-0")
-    place = (F.col("row") * (2 * training_order.STRIDE)).alias("byte_offset")
-    return rows.select("doc_id", "start", "length", "slot", "shard", place)
+    byte = (F.col("slot") % training_order.SHARD) * training_order.STRIDE + F.col("offset")
+    return rows.select("doc_id", "start", "length", "slot", "shard", (2 * byte).alias("byte_offset"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

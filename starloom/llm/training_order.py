@@ -1,15 +1,18 @@
 """Training-order materialisation: a keyed Feistel permutation deals every sequence a global slot.
 
-Documents become fixed-stride records (their ids in chunks of ``STRIDE - HEADER`` ids, each headed
-by its document, start and length). Record i of N goes to slot ``permute(i)``: a balanced Feistel
-network over the smallest even number of bits that holds N, walked along its cycle until the image
-is below N, so the slots are a permutation of 0..N-1 without a table or a sort of the corpus. Range
-partitions of slots write shards of ``SHARD`` records; slot s lies in shard ``s // SHARD`` at byte
+The documents' ids, one document after another, are cut into sequences of ``STRIDE`` ids; only the
+last may be shorter. Sequence i of N goes to slot ``permute(i)``: a balanced Feistel network over the
+smallest even number of bits that holds N, walked along its cycle until the image is below N, so the
+slots are a permutation of 0..N-1 without a table or a sort of the corpus. Range partitions of slots
+write shards of ``SHARD`` fixed-stride records; slot s lies in shard ``s // SHARD`` at byte
 ``(s % SHARD) * STRIDE * 2``, so a reader goes through the training order sequentially and resumes
 anywhere by arithmetic alone.
 
-Defined results: null and empty texts give one record with the end id; repeated rows give records of
-their own; a null doc_id is stored as -1; an empty table gives no slot and no shard.
+Ids are moved once, to the range partition of their slot: a row's place in the corpus is its place in
+its task (counted while its ids are made) plus the ids of earlier tasks (one number a task).
+
+Defined results: null and empty texts give the end id alone; repeated rows are laid out each for
+itself; a null doc_id stays null; an empty table gives no slot and no shard.
 """
 
 from __future__ import annotations
@@ -23,11 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import local_path, shared_dir, write_file
-from starloom.llm.packing import before, tokenise
+from starloom.llm.packing import tokenise
 
-# 16-bit units a record; its header holds doc_id (4 units), start (4) and length (2).
-STRIDE, HEADER = 1024, 10
-SHARD = 1024
+STRIDE = 1024  # ids of 16 bits a record
+SHARD = 4096
 FEISTEL_ROUNDS = 6
 
 
@@ -81,100 +83,101 @@ def unpermute(slot: np.ndarray, n: int, key: str) -> np.ndarray:
     return _walk(slot, n, lambda x: _unfeistel(x, half, keys))
 
 
-def _records(n: int, key: str, stride: int):
-    room = stride - HEADER
+def _pieces(n: int, key: str, stride: int):
+    """Rows (doc_id, first, ids) to (slot, offset, doc_id, start, ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            first = np.array(b.column("first").to_pylist(), np.int64)
-            count = np.array(b.column("chunks").to_pylist(), np.int64)
-            if not len(first):
+            out: list[tuple] = []
+            for doc, first, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "first", "ids")), strict=True):
+                done, size = 0, len(ids) // 2
+                while done < size:
+                    seq, offset = divmod(first + done, stride)
+                    m = min(stride - offset, size - done)
+                    out.append((seq, offset, doc, done, ids[2 * done : 2 * (done + m)]))
+                    done += m
+            if not out:
                 continue
-            index = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            slots = permute(index, n, key)
-            at, out = 0, []
-            for doc, ids in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist(), strict=True):
-                units = np.frombuffer(ids, "<u2")
-                for start in range(0, len(units), room):
-                    out.append((int(slots[at]), -1 if doc is None else doc, start, units[start : start + room].tobytes()))
-                    at += 1
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "slot": pa.array([x[0] for x in out], pa.int64()),
-                    "doc_id": pa.array([x[1] for x in out], pa.int64()),
-                    "start": pa.array([x[2] for x in out], pa.int64()),
-                    "ids": pa.array([x[3] for x in out], pa.binary()),
-                }
-            )
+            slots = permute(np.array([x[0] for x in out], np.int64), n, key)
+            names = ("offset", "doc_id", "start")
+            columns = {c: pa.array([x[i + 1] for x in out], pa.int64()) for i, c in enumerate(names)}
+            yield pa.RecordBatch.from_pydict({"slot": pa.array(slots), **columns, "ids": pa.array([x[4] for x in out], pa.binary())})
 
     return run
 
 
-def _write_shards(root: str, stride: int, shard: int):
+def _write_shards(root: str, n: int, stride: int, shard: int):
     """Rows come sorted by slot and a partition holds whole shards; a shard at a time is in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, block, rows = -1, None, []
 
         def close() -> pa.RecordBatch:
-            size = max(r[1] for r in rows) + 1
+            size = min(shard, n - current * shard)
             write_file(f"{root}/shard-{current:08d}.bin", block[:size].tobytes())
-            cols = list(zip(*rows, strict=True))
-            names = ("slot", "row", "doc_id", "start", "length")
-            own = {n: pa.array(c, pa.int64()) for n, c in zip(names, cols, strict=True)}
+            columns = zip(*rows, strict=True)
+            names = ("slot", "offset", "doc_id", "start", "length")
+            own = {c: pa.array(x, pa.int64()) for c, x in zip(names, columns, strict=True)}
             return pa.RecordBatch.from_pydict(own | {"shard": pa.array([current] * len(rows), pa.int64())})
 
         for b in batches:
-            for slot, doc, start, ids in zip(*(b.column(c).to_pylist() for c in ("slot", "doc_id", "start", "ids")), strict=True):
+            for slot, offset, doc, start, ids in zip(*(b.column(c).to_pylist() for c in ("slot", "offset", "doc_id", "start", "ids")), strict=True):
                 if slot // shard != current:
                     if rows:
                         yield close()
                     current, block, rows = slot // shard, np.zeros((shard, stride), "<u2"), []
-                n = len(ids) // 2
-                row = block[slot % shard]
-                row[:HEADER] = np.frombuffer(np.array([doc, start], "<i8").tobytes() + np.array([n], "<u4").tobytes(), "<u2")
-                row[HEADER : HEADER + n] = np.frombuffer(ids, "<u2")
-                rows.append((slot, slot % shard, doc, start, n))
+                m = len(ids) // 2
+                block[slot % shard, offset : offset + m] = np.frombuffer(ids, "<u2")
+                rows.append((slot, offset, doc, start, m))
         if rows:
             yield close()
 
     return run
 
 
-def materialise(docs: DataFrame, tokenizer: str, key: str, root: str | None = None, stride: int = STRIDE, shard: int = SHARD) -> tuple[DataFrame, str, int]:
-    """Write the shards below ``root``; returns (one row a record: slot, row, doc_id, start, length,
-    shard), the folder and the number of records. The rows come from the writing tasks themselves,
-    so reading them again writes the same files again, whole or not at all."""
-    root = root or shared_dir(docs.sparkSession, "training-order")
-    tokens = tokenise(docs, tokenizer)
-    chunks = tokens.select("rid", F.ceil(F.col("n") / (stride - HEADER)).alias("chunks"))
-    n = int(chunks.agg(F.sum("chunks")).first()[0] or 0)
-    first = before(chunks, "chunks", "first", []).select("rid", "chunks", "first")
-    parts = max(1, -(-n // shard))
-    records = tokens.join(first, "rid").select("doc_id", "ids", "chunks", "first").mapInArrow(
-        _records(n, key, stride), "slot long, doc_id long, start long, ids binary"
+def materialise(
+    docs: DataFrame, tokenizer: str, key: str, root: str | None = None, stride: int = STRIDE, shard: int = SHARD
+) -> tuple[DataFrame, str, int]:
+    """Write the shards below ``root``; returns (pieces: slot, offset, doc_id, start, length, shard), the
+    folder and the number of ids. The pieces come from the writing tasks themselves, so reading them
+    again writes the same files again, whole or not at all."""
+    spark = docs.sparkSession
+    root = root or shared_dir(spark, "training-order")
+    tokens = tokenise(docs, tokenizer).withColumn("task", F.shiftright("rid", 33))
+    # One row a writing task.
+    sizes = sorted((r["task"], r["n"]) for r in tokens.groupBy("task").agg(F.sum("n").alias("n")).collect())
+    total = sum(n for _, n in sizes)
+    n = -(-total // stride)
+    bases = np.cumsum([0] + [x for _, x in sizes])[:-1]
+    table = pa.table({"task": pa.array([t for t, _ in sizes], pa.int64()), "base": pa.array(bases.astype(np.int64))})
+    placed = tokens.join(F.broadcast(spark.createDataFrame(table)), "task")
+    pieces = placed.select("doc_id", (F.col("base") + F.col("end") - F.col("n")).alias("first"), "ids").mapInArrow(
+        _pieces(n, key, stride), "slot long, offset long, doc_id long, start long, ids binary"
     )
-    # Ranges of slots by arithmetic, no sampling; a shard's number of rows is fixed, whatever the data.
-    ranged = records.repartitionById(parts, F.expr(f"CAST(slot div {shard} AS INT)")).sortWithinPartitions("slot")
-    rows = ranged.select("slot", "doc_id", "start", "ids").mapInArrow(
-        _write_shards(local_path(root), stride, shard), "slot long, row long, doc_id long, start long, length long, shard long"
+    # Ranges of slots by arithmetic, no sampling; a shard's size is fixed, whatever the data.
+    parts = max(1, -(-n // shard))
+    ranged = pieces.repartitionById(parts, F.expr(f"CAST(slot div {shard} AS INT)")).sortWithinPartitions("slot")
+    rows = ranged.mapInArrow(
+        _write_shards(local_path(root), n, stride, shard), "slot long, offset long, doc_id long, start long, length long, shard long"
     )
-    return rows, root, n
+    return rows, root, total
 
 
 class ShardReader:
-    """Records in training order from any slot on, by memory-mapped files."""
+    """Sequences in training order from any slot on, by memory-mapped files."""
 
-    def __init__(self, root: str, records: int, stride: int = STRIDE, shard: int = SHARD):
-        self.root, self.records, self.stride, self.shard = local_path(root), records, stride, shard
+    def __init__(self, root: str, total: int, key: str, stride: int = STRIDE, shard: int = SHARD):
+        self.root, self.total, self.stride, self.shard = local_path(root), total, stride, shard
+        self.records = -(-total // stride)
+        # The one sequence that may be short, and its slot.
+        self.last = int(permute(np.array([self.records - 1]), self.records, key)[0]) if total else -1
 
-    def read(self, slot: int = 0) -> Iterator[tuple[int, int, int, np.ndarray]]:
-        """(slot, doc_id, start, ids) from ``slot`` to the end."""
+    def read(self, slot: int = 0) -> Iterator[tuple[int, np.ndarray]]:
+        """(slot, ids) from ``slot`` to the end."""
         while slot < self.records:
             path = f"{self.root}/shard-{slot // self.shard:08d}.bin"
             block = np.memmap(path, "<u2", "r").reshape(-1, self.stride)
             for row in block[slot % self.shard :]:
-                doc, start = np.frombuffer(row[:8].tobytes(), "<i8").tolist()
-                n = int(np.frombuffer(row[8:HEADER].tobytes(), "<u4")[0])
-                yield slot, doc, start, np.array(row[HEADER : HEADER + n])
+                size = self.total - (self.records - 1) * self.stride if slot == self.last else self.stride
+                yield slot, np.array(row[:size])
                 slot += 1
