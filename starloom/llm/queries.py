@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import common, decontaminate, language_id, mih, near_dup, ngram_lm, packing, secrets, tokenize, toxicity, training_order, url_filter
+from starloom.llm import common, decontaminate, language_id, mih, near_dup, ngram_lm, oracle, packing, secrets, tokenize, toxicity, training_order, url_filter
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,4 +107,4 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.ORACLE
