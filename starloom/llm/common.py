@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 from starloom.session import cut_lineage, ensure_checkpoint_dir
 
 __all__ = [
-    "arrow_map",
+    "claim",
     "crc_remainder",
     "cut_lineage",
     "documents",
@@ -84,11 +87,26 @@ def write_file(path: str, data: bytes) -> None:
     os.replace(tmp, path)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+_OWNER: list[tuple[str, Callable[[], None]]] = []
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+def claim(owner: str, release: Callable[[], None] = lambda: None) -> None:
+    """Worker processes serve many stages: what another operator has kept in this one is let go."""
+    if _OWNER and _OWNER[0][0] != owner:
+        _OWNER.pop()[1]()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # glibc: give freed memory back
+            ctypes.CDLL(None).malloc_trim(0)
+    if not _OWNER:
+        _OWNER.append((owner, release))
+
+
+# Text (or ids) that a task turns into Python objects at a time.
+PART_BYTES = 6_000_000
+
+
+def slices(batch: pa.RecordBatch, column: str, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about ``size`` bytes of ``column``, one row at least."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     part = np.cumsum(lengths, dtype=np.int64) // size

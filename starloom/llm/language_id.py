@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import slices, word_index
+from starloom.llm.common import claim, slices, word_index
 
 SAMPLE = 800
 WINDOWS, WINDOW = 3, 20
@@ -38,8 +38,6 @@ STEPS = 120
 UNDETERMINED = "und"
 # Words that one vectorised forward-backward run holds.
 GROUP = 250_000
-# Text that a task holds as words at a time.
-TEXT_BYTES = 8_000_000
 LONGEST = 40
 
 _OUTER = ".,;:!?\"'()[]{}<>*#$%&@|+~`-_=/\\"
@@ -297,9 +295,10 @@ class Tagger:
 
 def _predict(model: Model | None, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("languages")
         tag = Tagger(model) if model else None
         for b in batches:
-            for part in slices(b, "__text", TEXT_BYTES):
+            for part in slices(b, "__text"):
                 n = part.num_rows
                 labels, score = tag(part.column("__text")) if tag else ([UNDETERMINED] * n, np.zeros(n))
                 yield pa.RecordBatch.from_arrays(

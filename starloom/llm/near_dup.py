@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import materialize
+from starloom.llm.common import materialize, slices
 from starloom.llm.components import components
-from starloom.llm.shingles import set_key, shingle_set
+from starloom.llm.shingles import keep_hashes, set_key, shingle_set
 
 BANDS, ROWS, BITS, MINIMA = 25, 5, 4, 128
 LONGS = MINIMA * BITS // 64
@@ -86,10 +86,9 @@ def band_keys(m: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    step = 2000
+    keep_hashes()
     for batch in batches:
-        for at in range(0, batch.num_rows, step):
-            part = batch.slice(at, step)
+        for part in slices(batch, "text"):
             sets = [shingle_set(t) for t in part.column("text").to_pylist()]
             full = [i for i, s in enumerate(sets) if len(s)]
             bands: list[list[int] | None] = [None] * len(sets)
@@ -140,7 +139,8 @@ SETS_SCHEMA = "cls binary, shingles array<long>"
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The full set of every class; rows whose text has another set (a repeated id) are left out."""
-    for b in batches:
+    keep_hashes()
+    for b in (part for batch in batches for part in slices(batch, "text")):
         keys, sets = [], []
         for t, c in zip(b.column("text").to_pylist(), b.column("cls").to_pylist(), strict=True):
             own = shingle_set(t)

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from starloom.llm.common import local_path, shared_dir, slices, word_index, write_file
+from starloom.llm.common import claim, local_path, shared_dir, slices, word_index, write_file
 from starloom.llm.elias_fano import EliasFano
 
 # Weight of the shorter context, in counts; near the best for held-out texts of the test documents.
@@ -90,6 +90,7 @@ class Block:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, Block]]:
+    claim("ngrams")
     for b in batches:
         for part in slices(b, column, BLOCK):
             yield part, Block.of(part.column(column))

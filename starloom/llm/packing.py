@@ -35,8 +35,6 @@ WINDOW = 4096
 SLACK = 8
 TRIPLES = 1500
 ROUNDS = 6
-# Text that a task turns into ids at a time.
-TEXT_BYTES = 8_000_000
 
 PIECES_SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -223,7 +221,7 @@ def _encode(path: str):
         enc = encoder(path)
         total = 0
         for batch in batches:
-            for b in slices(batch, "text", TEXT_BYTES):
+            for b in slices(batch, "text"):
                 ids = enc.encode_column(b.column("text"))
                 n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 2)
                 ends = np.cumsum(n.to_numpy()) + total
@@ -273,7 +271,7 @@ def _place(plan: Plan):
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in (part for batch in batches for part in slices(batch, "ids")):
         out: dict[str, list] = {c: [] for c in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")}
         for doc, n, ids, pieces in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "ids", "pieces")), strict=True):
             own = np.frombuffer(ids, "<u2").astype("<u4")

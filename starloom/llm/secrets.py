@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import claim, slices
+
 FINDINGS = "array<struct<kind:string,start:bigint,end:bigint>>"
 LEDGER_SCHEMA = f"blob string, rule_version string, findings {FINDINGS}"
 BASE_KINDS = ("assign", "access", "hex")
@@ -83,9 +85,10 @@ class Scanner:
 
 def _scan_blobs(rules: tuple[Rule, ...], version: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("secrets")
         scan = Scanner(rules)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch, "content")):
             found = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(t)] for t in b.column("content").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("blob").cast(pa.string()), pa.array([version] * len(found), pa.string()), pa.array(found, kind)],
@@ -167,7 +170,7 @@ def redact(text: str, findings: list[tuple[str, int, int]], mark: str = "[SECRET
 
 
 def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in (part for batch in batches for part in slices(batch, "text")):
         texts = b.column("text").to_pylist()
         for i, found in enumerate(b.column("findings").to_pylist()):
             if found and texts[i]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from starloom.llm.common import words
+from starloom.llm.common import claim, words
 
 WIDTH = 5
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -15,7 +15,7 @@ _END = np.uint64(0xD6E8FEB86659FD93)
 class _WordHashes(dict):
     """Word -> 64-bit hash; emptied when large, so a worker's memory stays bounded."""
 
-    LIMIT = 400_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -27,6 +27,11 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
+def keep_hashes() -> None:
+    """Keep the hashes between tasks until another operator uses the worker."""
+    claim("shingles", _HASHES.clear)
+
+
 def _finish(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * _END
     return h ^ (h >> np.uint64(29))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from starloom.llm.common import word_index
+from starloom.llm.common import claim, word_index
 
 TOKENIZER = "word_bpe_49k.json"
 EOD = 2
@@ -119,6 +119,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """One encoder a worker process: tasks that follow find its words known."""
+    claim("encoder", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

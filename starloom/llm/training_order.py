@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import local_path, shared_dir, write_file
+from starloom.llm.common import local_path, shared_dir, slices, write_file
 from starloom.llm.packing import tokenise
 
 STRIDE = 1024  # ids of 16 bits a record
@@ -87,7 +87,7 @@ def _pieces(n: int, key: str, stride: int):
     """Rows (doc_id, first, ids) to (slot, offset, doc_id, start, ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch, "ids")):
             out: list[tuple] = []
             for doc, first, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "first", "ids")), strict=True):
                 done, size = 0, len(ids) // 2
