@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 
-_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 # _SELECT[byte, k]: the place of the k-th one (from 0) of a byte.
 _SELECT = np.zeros((256, 8), np.uint8)
 for _b in range(256):
@@ -61,14 +60,16 @@ class EliasFano:
 
     @staticmethod
     def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """The place of the k-th one (from 0) of each word."""
-        octets = word[:, None] >> (np.arange(8, dtype=np.uint64) * np.uint64(8)) & np.uint64(255)
-        counts = _ONES[octets.astype(np.intp)]
-        before = np.cumsum(counts, axis=1, dtype=np.int64)
-        octet = (before <= k[:, None]).sum(axis=1)
-        row = np.arange(len(word))
-        left = k - np.where(octet > 0, before[row, octet - 1], 0)
-        return octet * 8 + _SELECT[octets[row, octet].astype(np.intp), left]
+        """The place of the k-th one (from 0) of each word: halves are counted down to a byte."""
+        left, place = k.astype(np.int64), np.zeros(len(word), np.int64)
+        for width in (32, 16, 8):
+            half = word & np.uint64((1 << width) - 1)
+            ones = np.bitwise_count(half).astype(np.int64)
+            upper = left >= ones
+            left = np.where(upper, left - ones, left)
+            word = np.where(upper, word >> np.uint64(width), half)
+            place += width * upper
+        return place + _SELECT[(word & np.uint64(255)).astype(np.intp), left]
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:

@@ -298,8 +298,8 @@ class Successors:
 
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places of the successors, places of the contexts), -1 where unseen; word -1 is unknown."""
-        distinct, back = np.unique(context, return_inverse=True)
-        place = self.contexts.find(distinct)[back]
+        new = np.diff(context, prepend=-1) != 0  # queries come sorted: equal contexts stand together
+        place = self.contexts.find(context[new])[np.cumsum(new) - 1]
         out = np.full(len(context), -1, np.int64)
         known = np.flatnonzero((place >= 0) & (word >= 0))
         x = place[known].astype(np.uint64) * np.uint64(self.vocabulary) + word[known].astype(np.uint64)
