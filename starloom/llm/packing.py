@@ -35,6 +35,8 @@ WINDOW = 4096
 SLACK = 8
 TRIPLES = 1500
 ROUNDS = 6
+# Text that a task turns into ids at a time: words of a part are looked up once.
+TEXT_BYTES = 8_000_000
 
 PIECES_SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -221,7 +223,7 @@ def _encode(path: str):
         enc = encoder(path)
         total = 0
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", TEXT_BYTES):
                 ids = enc.encode_column(b.column("text"))
                 n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 2)
                 ends = np.cumsum(n.to_numpy()) + total
