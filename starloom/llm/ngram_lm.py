@@ -112,7 +112,8 @@ _PACKED = "shard int, keys binary, counts binary, lower binary"
 def _packed(shard: np.ndarray, keys: np.ndarray, counts: np.ndarray, lower: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Rows of (shard, keys, counts, lower); keys ascend within a shard and travel as differences.
     ``lower``: the code of each key's probability under the shorter context."""
-    order = np.lexsort((keys, shard))
+    ascending = bool((keys[1:] >= keys[:-1]).all())
+    order = np.argsort(shard, kind="stable") if ascending else np.lexsort((keys, shard))
     shard, keys, counts = shard[order], keys[order], counts[order]
     lower = np.zeros(len(keys), np.uint8) if lower is None else lower[order]
     starts = np.flatnonzero(np.diff(shard, prepend=-1))
