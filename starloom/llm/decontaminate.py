@@ -24,10 +24,13 @@ WINDOW = 8
 CONTENT = 4
 # A run must cover so many tokens, or all but two of a shorter item.
 LEAST_RUN = 13
+# A consistent part of a run whose slots contradict elsewhere must cover so many.
+LEAST_PART = 2 * LEAST_RUN
 # Rows of (hash, item, position) that are broadcast at most: about 20 MB.
 BROADCAST_WINDOWS = 400_000
 
 NAME, NUMBER, UNIT = "<name>", "<num>", "<unit>"
+PLACEHOLDERS = [NAME, NUMBER, UNIT]
 # Units after a number.
 UNITS = (
     "mm cm m km in inch inches ft feet yd yards mi mile miles mg g gram grams kg lb lbs oz ml l liter liters litre litres "
@@ -57,7 +60,8 @@ def _tokens(df: DataFrame, text: str) -> DataFrame:
     parts = lambda c: F.when(F.col(c) == "", empty).otherwise(F.split(c, " "))
     df = df.withColumn("__clean", _cleaned(F.coalesce(F.col(text).cast("string"), F.lit(""))))
     df = df.withColumn("__tpl", _template(F.col("__clean")))
-    return df.withColumn("raw", parts("__clean")).withColumn("tpl", parts("__tpl")).drop("__clean", "__tpl")
+    df = df.withColumn("__raw", F.translate("__clean", _MARK, ""))
+    return df.withColumn("raw", parts("__raw")).withColumn("tpl", parts("__tpl")).drop("__clean", "__raw", "__tpl")
 
 
 def _hashes(size: int) -> Column:
@@ -70,6 +74,80 @@ def _key() -> list[Column]:
     return [F.col("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash")]
 
 
+def _covers(windows: str) -> Column:
+    """Tokens that a run's matching windows stand for."""
+    return F.size(windows) + F.col("size").cast("int") - 1
+
+
+def _slots(windows: Column, kinds: str) -> Column:
+    """(place, kind, ours, theirs) of the placeholders under the windows; what lies between windows does not count."""
+    places = F.array_distinct(F.flatten(F.transform(windows, lambda i: F.sequence(i, i + F.col("size") - 1))))
+    cells = F.transform(
+        places,
+        lambda p: F.struct(
+            p.alias("place"),
+            F.get(F.col(kinds), p).alias("kind"),
+            F.get(F.col("item_raw"), p).alias("ours"),
+            F.get(F.col("raw"), F.col("diagonal") + p).alias("theirs"),
+        ),
+    )
+    return F.filter(cells, lambda x: x["kind"].isin(PLACEHOLDERS))
+
+
+def _leak(n_windows: Column, first: Column, slots: Column) -> Column:
+    values = F.array_distinct(F.transform(slots, lambda x: F.struct(x["kind"], x["ours"], x["theirs"])))
+    return F.struct(
+        (n_windows + F.col("size").cast("int") - 1).alias("n_matched"),
+        (F.col("diagonal") + first).cast("int").alias("doc_start"),
+        F.size(values).alias("n_slots"),
+    )
+
+
+def _consistent_part() -> Column:
+    """(n, first) of the part of the run ``__at`` with most windows in which no two of ``__slots`` contradict."""
+    earlier = lambda y: F.filter(
+        F.col("__slots"),
+        lambda x: (x["place"] < y["place"]) & (x["kind"] == y["kind"]) & ((x["ours"] == y["ours"]) != (x["theirs"] == y["theirs"])),
+    )
+    cuts = F.transform("__slots", lambda y: F.struct(y["place"].alias("end"), F.array_max(F.transform(earlier(y), lambda x: x["place"])).alias("cut")))
+    cuts = F.concat(F.filter(cuts, lambda x: x["cut"].isNotNull()), F.array(F.struct(F.lit(2**31 - 1).alias("end"), F.lit(2**31 - 2).alias("cut"))))
+    start = F.struct(F.lit(0).alias("begin"), F.expr("CAST(array() AS array<struct<begin: int, end: int>>)").alias("parts"))
+    parts = F.aggregate(
+        cuts,
+        start,
+        lambda s, c: F.when(c["cut"] < s["begin"], s).otherwise(
+            F.struct((c["cut"] + 1).alias("begin"), F.concat(s["parts"], F.array(F.struct(s["begin"].alias("begin"), c["end"].alias("end")))).alias("parts"))
+        ),
+        lambda s: s["parts"],
+    )
+    inside = lambda q: F.filter(F.col("__at"), lambda i: (i >= q["begin"]) & (i + F.col("size") <= q["end"]))
+    return F.array_max(F.transform(parts, lambda q: F.struct(F.size(inside(q)).alias("n"), F.get(inside(q), F.lit(0)).alias("first"))))
+
+
+def _readings(runs: DataFrame, *readings: str) -> DataFrame:
+    """A column __leak... for each way to read a run, null where the run does not count by it: windows equal
+    in raw tokens need no slots; windows equal by a template need consistent ones, over the whole run or,
+    for LEAST_PART tokens, over a part."""
+    size = F.col("size").cast("int")
+    for r in readings:
+        equal = lambda i: F.slice(f"item_{r}", i + 1, size) == F.slice(r, F.col("diagonal") + i + 1, size)  # noqa: E731, B023
+        runs = runs.withColumn("__at", F.filter("at", equal)).withColumn("__slots", _slots(F.col("__at"), "item_tpl" if r == "raw" else f"item_{r}"))
+        first = F.get("__at", F.lit(0))
+        enough = (F.size("__at") > 0) & (_covers("__at") >= F.col("least"))
+        if r == "raw":
+            runs = runs.withColumn("__leak_raw", F.when(enough, _leak(F.size("__at"), first, F.col("__slots"))))
+            continue
+        count = lambda *own: F.size(F.array_distinct(F.transform("__slots", lambda x: F.struct(x["kind"], *(x[c] for c in own)))))
+        same = (count("ours", "theirs") == count("ours")) & (count("ours", "theirs") == count("theirs"))
+        runs = runs.withColumn("__same", same)
+        runs = runs.withColumn(f"__leak_{r}", F.when(enough & F.col("__same"), _leak(F.size("__at"), first, F.col("__slots"))))
+        runs = runs.withColumn("__part", F.when(~F.col("__same") & (_covers("__at") >= LEAST_PART), _consistent_part()))
+        own = F.filter("__slots", lambda x: x["place"] >= F.col("__part.first"))
+        long = (F.col("__part.n") > 0) & (F.col("__part.n") + size - 1 >= LEAST_PART)
+        runs = runs.withColumn(f"__leak_{r}_part", F.when(long, _leak(F.col("__part.n"), F.col("__part.first"), own)))
+    return runs
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, n_matched, n_item, doc_start, n_slots): the best run of each
     document and item that leaked."""
@@ -78,12 +156,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sizes = sorted(
         r[0] for r in items.where("n_item > 0").select(F.least("n_item", F.lit(WINDOW)).alias("n")).distinct().collect()
     )  # at most WINDOW numbers
-    placeholders = [NAME, NUMBER, UNIT]
 
     def item_windows(size: int) -> DataFrame:
         own = items.where(F.least("n_item", F.lit(WINDOW)) == size)
         w = own.select("item", "tpl", F.posexplode(_hashes(size)).alias("ipos", "h"))
-        content = F.size(F.filter(F.slice("tpl", F.col("ipos") + 1, size), lambda x: ~x.isin(placeholders)))
+        content = F.size(F.filter(F.slice("tpl", F.col("ipos") + 1, size), lambda x: ~x.isin(PLACEHOLDERS)))
         return w.where(content >= CONTENT).select(F.lit(size).alias("size"), "h", "item", "ipos")
 
     rows = docs.select(*_key(), "text")
@@ -101,42 +178,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     # Runs by diagonal; copies of a row count once (equal keys give equal positions).
     runs = (
-        found.withColumn("diagonal", F.col("pos") - F.col("ipos"))
-        .groupBy("doc_id", "text_hash", "item", "diagonal")
-        .agg(F.min("ipos").alias("first"), F.max(F.col("ipos") + F.col("size")).alias("end"), F.countDistinct("ipos").alias("n"), F.max("size").alias("size"))
-        .withColumn("n_matched", F.least(F.col("end") - F.col("first"), (F.col("n") + F.col("size") - 1).cast("int")))
+        found.groupBy("doc_id", "text_hash", "item", (F.col("pos") - F.col("ipos")).alias("diagonal"))
+        .agg(F.array_sort(F.collect_set("ipos")).alias("at"), F.max("size").alias("size"))
         .join(items.select("item", "item_id", "n_item", F.col("raw").alias("item_raw"), F.col("tpl").alias("item_tpl")), "item")
-        .where(F.col("n_matched") >= F.least(F.lit(LEAST_RUN), F.greatest(F.col("n_item") - 2, F.lit(1))))
+        .withColumn("least", F.least(F.lit(LEAST_RUN), F.greatest(F.col("n_item") - 2, F.lit(1))))
+        .where(_covers("at") >= F.col("least"))
     )
     runs = materialize(runs, "decontam-runs")
     wanted = runs.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct()
     leaked = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_hash") == F.col("__t")), "left_semi")
     leaked = leaked.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
-    texts = _tokens(leaked, "text").select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), "raw")
+    texts = _tokens(leaked, "text").select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), "raw", "tpl")
     runs = runs.join(texts, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_hash") == F.col("__t")))
 
-    size = F.col("end") - F.col("first")
-    values = F.zip_with(
-        F.slice("item_raw", F.col("first") + 1, size),
-        F.slice("raw", F.col("diagonal") + F.col("first") + 1, size),
-        lambda x, y: F.struct(x.alias("ours"), y.alias("theirs")),
-    )
-    pairs = F.zip_with(
-        F.slice("item_tpl", F.col("first") + 1, size),
-        values,
-        lambda k, v: F.struct(k.alias("kind"), v["ours"].alias("ours"), v["theirs"].alias("theirs")),
-    )
-    slots = F.filter(pairs, lambda x: x["kind"].isin(placeholders))
-    runs = runs.withColumn("slots", F.array_distinct(slots))
-    ours = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["ours"]))))
-    theirs = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["theirs"]))))
-    same = (F.size("slots") == ours) & (F.size("slots") == theirs)
-    best = F.max_by(
-        F.struct("n_matched", "n_item", (F.col("diagonal") + F.col("first")).alias("doc_start"), F.size("slots").alias("n_slots")),
-        F.struct("n_matched", -F.col("diagonal")),
-    )
-    kept = runs.where(same).groupBy("doc_id", "text_hash", "item", "item_id").agg(best.alias("b"))
-    return kept.select("doc_id", "text_hash", "item_id", "b.n_matched", "b.n_item", "b.doc_start", "b.n_slots")
+    runs = _readings(runs, "raw", "tpl")
+    options = F.array_compact(F.array(*(F.col(c) for c in runs.columns if c.startswith("__leak"))))
+    runs = runs.withColumn("leak", F.array_max(options)).where("leak IS NOT NULL")
+    best = F.max_by(F.struct("leak", "n_item"), F.struct("leak.n_matched", -F.col("diagonal")))
+    kept = runs.groupBy("doc_id", "text_hash", "item", "item_id").agg(best.alias("b"))
+    return kept.select("doc_id", "text_hash", "item_id", "b.leak.n_matched", "b.n_item", "b.leak.doc_start", "b.leak.n_slots")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

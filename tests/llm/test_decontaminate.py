@@ -33,6 +33,24 @@ def test_templates_catch_other_numbers_names_and_units(spark):
     assert [(d, i) for d, i, _ in found(spark, texts)] == [(0, 1), (1, 1), (2, 1), (9, 2), (10, 1)]
 
 
+LONG = (
+    "A cook called Alice pours 12 litres of water into a pot and stirs it slowly while her friend Bob cuts carrots, onions and "
+    "beans for the soup that they sell at noon to 40 guests before he adds 12 litres more and serves it"
+)
+
+
+def test_a_contradicting_slot_does_not_void_a_long_copy(spark):
+    texts = [
+        (1, LONG.replace("adds 12", "adds 13")),
+        (2, "so " + LONG.replace("12", "77").replace("Alice", "Carol").replace("adds 77", "adds 13")),
+        # a rewritten gap hits one of two mentions
+        (3, ITEMS[0][1].replace("he walks 5 km home with Alice", "they all go by bus to see Erwin") + " " + ITEMS[0][1].split(" before")[0]),
+        (4, LONG.replace("and stirs it slowly while her friend Bob", "then mixes everything as long as Zoe").replace("adds 12", "adds 13")),
+        (5, "a cook called Carol pours 1 litres"),
+    ]
+    assert [(d, i) for d, i, _ in found(spark, texts, [*ITEMS, (7, LONG, 1)])] == [(1, 7), (2, 7), (3, 1), (4, 7)]
+
+
 def test_clean_keeps_the_rest_and_all_columns(spark):
     docs = spark.createDataFrame([(1, "so " + ITEMS[0][1], "en", 1, "x", 2), (2, "fine", None, None, None, None), (None, None, None, None, None, None)], SCHEMA)
     kept = decontaminate.clean(docs, spark.createDataFrame(ITEMS, B))
