@@ -7,8 +7,8 @@ position) form a run; a run counts if it covers enough of the item and if its sl
 equal item values were replaced by equal document values and the other way round. So a question
 with other numbers, names or units is caught, and a mere likeness of form is not.
 
-Windows with fewer than ``CONTENT`` tokens besides placeholders are not matched; nor, so, are items
-with fewer such tokens. Shorter items than a window form one window of their own length. Defined
+Windows with fewer than ``CONTENT`` tokens besides placeholders are matched by their raw tokens only,
+so items of numbers or names are found where they were copied word for word. Shorter items than a window form one window of their own length. Defined
 results: null and empty texts match nothing; repeated rows count once (one row per doc_id and item);
 rows with a null id are reported under a null id; an empty benchmark matches nothing.
 """
@@ -64,10 +64,11 @@ def _tokens(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("raw", parts("__raw")).withColumn("tpl", parts("__tpl")).drop("__clean", "__raw", "__tpl")
 
 
-def _hashes(size: int) -> Column:
-    """Hashes of all windows of ``size`` template tokens, by position."""
-    n = F.size("tpl") - size
-    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.slice("tpl", i + 1, size))))
+def _hashes(tokens: str, size: int) -> Column:
+    """Hashes of all windows of ``size`` tokens, by position; none for a shorter text."""
+    n = F.size(tokens) - size
+    hashes = F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.slice(tokens, i + 1, size)))
+    return F.when(n >= 0, hashes).otherwise(F.expr("CAST(array() AS array<bigint>)"))
 
 
 def _key() -> list[Column]:
@@ -159,17 +160,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def item_windows(size: int) -> DataFrame:
         own = items.where(F.least("n_item", F.lit(WINDOW)) == size)
-        w = own.select("item", "tpl", F.posexplode(_hashes(size)).alias("ipos", "h"))
         content = F.size(F.filter(F.slice("tpl", F.col("ipos") + 1, size), lambda x: ~x.isin(PLACEHOLDERS)))
-        return w.where(content >= CONTENT).select(F.lit(size).alias("size"), "h", "item", "ipos")
+        typed = own.select("item", "tpl", F.posexplode(_hashes("tpl", size)).alias("ipos", "h")).where(content >= CONTENT)
+        exact = own.select("item", F.posexplode(_hashes("raw", size)).alias("ipos", "h"))
+        return typed.select("item", "ipos", "h").unionByName(exact).distinct().withColumn("size", F.lit(size))
 
     rows = docs.select(*_key(), "text")
-    tokenised = _tokens(rows, "text").select("doc_id", "text_hash", "tpl")
+    tokenised = _tokens(rows, "text").select("doc_id", "text_hash", "raw", "tpl")
     found: DataFrame | None = None
     for size in sizes:
         own = materialize(item_windows(size), "decontam-windows")
         small = own.count() <= BROADCAST_WINDOWS
-        seen = tokenised.select("doc_id", "text_hash", F.posexplode(_hashes(size)).alias("pos", "h"))
+        # By the template, then by the tokens themselves if they differ: position is place modulo windows.
+        both = F.concat(_hashes("tpl", size), F.when(F.col("tpl") == F.col("raw"), F.expr("CAST(array() AS array<bigint>)")).otherwise(_hashes("raw", size)))
+        seen = tokenised.select("doc_id", "text_hash", (F.size("tpl") - size + 1).alias("windows"), F.posexplode(both).alias("place", "h"))
+        seen = seen.select("doc_id", "text_hash", F.expr("place % windows").alias("pos"), "h")
         hits = seen.join(F.broadcast(own) if small else own, "h").select("doc_id", "text_hash", "item", "size", "pos", "ipos")
         found = hits if found is None else found.unionByName(hits)
     schema = "doc_id long, text_hash long, item_id long, n_matched int, n_item int, doc_start int, n_slots int"

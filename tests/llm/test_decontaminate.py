@@ -51,6 +51,17 @@ def test_a_contradicting_slot_does_not_void_a_long_copy(spark):
     assert [(d, i) for d, i, _ in found(spark, texts, [*ITEMS, (7, LONG, 1)])] == [(1, 7), (2, 7), (3, 1), (4, 7)]
 
 
+def test_copies_of_items_of_numbers_or_names_are_found(spark):
+    items = [
+        (1, "What is 12 + 7 * 31 - 8 / 2 + 45 * 6 - 19 + 3 * 77 - 5?", 1),
+        (2, "we met with Anna, Boris, Clara, David, Emil, Frida, Gustav, Hanna, Igor and Jana", 1),
+        (3, "count 1 2 3 then say 4 5 6 7 words 8 9 10 11 and 12 13 14 now 15 16 17 go", 1),
+    ]
+    texts = [(i, f"Noise before: {t} and noise after it") for i, t, _ in items]
+    texts += [(4, "What is 13 + 8 * 32 - 9 / 3 + 46 * 7 - 20 + 4 * 78 - 6?"), (5, "1 2 3 4 5 6 7 8 9 " * 50)]
+    assert [(d, i) for d, i, _ in found(spark, texts, items)] == [(1, 1), (2, 2), (3, 3)]
+
+
 def test_clean_keeps_the_rest_and_all_columns(spark):
     docs = spark.createDataFrame([(1, "so " + ITEMS[0][1], "en", 1, "x", 2), (2, "fine", None, None, None, None), (None, None, None, None, None, None)], SCHEMA)
     kept = decontaminate.clean(docs, spark.createDataFrame(ITEMS, B))
