@@ -22,6 +22,14 @@ def test_word_memo_equals_whole_texts():
         assert np.frombuffer(b, "<u2").tolist() == brute_ids(tok, t)
 
 
+def test_strings_of_special_tokens_give_their_ids():
+    tok = Tokenizer.from_file(tokenize.tokenizer_path())
+    texts = ["x <|endoftext|> y", "a<|startoftext|>b <|ENDOFTEXT|>.", "<|endoftext|><|endoftext|> so", "word <|endoftext|>, " * 2000]
+    got = tokenize.encoder(tokenize.tokenizer_path()).encode_all(texts)
+    assert [np.frombuffer(b, "<u2").tolist() for b in got] == [brute_ids(tok, t) for t in texts]
+    assert np.frombuffer(got[0], "<u2").tolist() == [343, 49407, 344, 2]
+
+
 def check_plan(hist, window, slack=2):
     plan = packing.make_plan(hist, window, slack, first=5)
     filled = {}
