@@ -7,6 +7,10 @@ position) form a run; a run counts if it covers enough of the item and if its sl
 equal item values were replaced by equal document values and the other way round. So a question
 with other numbers, names or units is caught, and a mere likeness of form is not.
 
+Each text is read twice: names are capitalised words inside a sentence and 2.50 is two numbers, or names
+are all capitalised words and 2.50 is one. Raw tokens, whatever their case, are a second key, so copies in
+another case are found.
+
 Windows with fewer than ``CONTENT`` tokens besides placeholders are matched by their raw tokens only,
 so items of numbers or names are found where they were copied word for word. Shorter items than a window form one window of their own length. Defined
 results: null and empty texts match nothing; repeated rows count once (one row per doc_id and item);
@@ -37,37 +41,51 @@ UNITS = (
     "s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years "
     "usd eur gbp dollar dollars euro euros cent cents percent mph kmh"
 ).split()
-_MARK = "\ue000"
+# In cleaned texts, before a name inside a sentence, before any other capitalised word, and between digits
+# of one number.
+_MARK, _OPEN, _JOIN = "\ue000", "\ue001", "\ue002"
 
 
 def _cleaned(text: Column) -> Column:
-    """Lower-case tokens separated by single spaces; names carry a mark."""
+    """Lower-case tokens separated by single spaces, with marks."""
     t = F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;] )(?=\p{Lu}\p{Ll})", _MARK)
+    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}{_MARK}])(?=\p{{Lu}}\p{{Ll}})", _OPEN)
+    t = F.regexp_replace(t, r"(?<=\p{N})[.,:/'\u2019\u00a0\u202f](?=\p{N})", _JOIN)
     t = F.regexp_replace(t, r"(?<=\p{N})(?=\p{L})", " ")
-    return F.trim(F.lower(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{_MARK}]+", " ")))
+    return F.trim(F.lower(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{_MARK}{_OPEN}{_JOIN}]+", " ")))
 
 
-def _template(cleaned: Column) -> Column:
+def _template(cleaned: Column, name: str = _MARK, number: str = r"\p{N}+") -> Column:
     """Each token of ``cleaned`` as itself or its placeholder, in the same place."""
-    t = F.regexp_replace(cleaned, rf"{_MARK}[^ ]*", NAME)
-    t = F.regexp_replace(t, r"(?<![^ ])\p{N}+(?![^ ])", NUMBER)
+    t = F.regexp_replace(cleaned, rf"[{name}][^ ]*", NAME)
+    t = F.regexp_replace(t, rf"(?<![^ ]){number}(?![^ ])", NUMBER)
     return F.regexp_replace(t, rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?![^ ])", UNIT)
 
 
 def _tokens(df: DataFrame, text: str) -> DataFrame:
-    """Adds raw (values) and tpl (template), arrays of equal length, empty for an empty text."""
+    """Adds raw (values) and tpl (template), arrays of equal length, empty for an empty text; and, as
+    wide_raw and wide_tpl, those in which every capitalised word is a name and 2.50 is one number."""
     empty = F.expr("CAST(array() AS array<string>)")
-    parts = lambda c: F.when(F.col(c) == "", empty).otherwise(F.split(c, " "))
-    df = df.withColumn("__clean", _cleaned(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    df = df.withColumn("__tpl", _template(F.col("__clean")))
-    df = df.withColumn("__raw", F.translate("__clean", _MARK, ""))
-    return df.withColumn("raw", parts("__raw")).withColumn("tpl", parts("__tpl")).drop("__clean", "__raw", "__tpl")
+    parts = lambda c: F.when(c == "", empty).otherwise(F.split(c, " "))
+    df = df.withColumn("__wide", _cleaned(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    df = df.withColumn("__clean", F.translate("__wide", _JOIN + _OPEN, " "))
+    df = df.withColumn("__tpl", _template(F.col("__clean"))).withColumn("__wide_tpl", _template(F.col("__wide"), _MARK + _OPEN, rf"\p{{N}}[\p{{N}}{_JOIN}]*"))
+    df = df.withColumn("raw", parts(F.translate("__clean", _MARK, ""))).withColumn("tpl", parts(F.col("__tpl")))
+    df = df.withColumn("wide_raw", parts(F.translate("__wide", _MARK + _OPEN, ""))).withColumn("wide_tpl", parts(F.col("__wide_tpl")))
+    return df.drop("__wide", "__clean", "__tpl", "__wide_tpl")
+
+
+def _views(df: DataFrame, *keep: str) -> DataFrame:
+    """Two rows for each of ``_tokens``: raw and tpl, and with wide the others under these names."""
+    narrow = F.struct(F.lit(False).alias("wide"), "raw", "tpl")
+    wide = F.struct(F.lit(True).alias("wide"), F.col("wide_raw").alias("raw"), F.col("wide_tpl").alias("tpl"))
+    return df.select(*keep, F.inline(F.array(narrow, wide)))
 
 
-def _hashes(tokens: str, size: int) -> Column:
+def _hashes(tokens: str, size: int, *salt: Column) -> Column:
     """Hashes of all windows of ``size`` tokens, by position; none for a shorter text."""
     n = F.size(tokens) - size
-    hashes = F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.slice(tokens, i + 1, size)))
+    hashes = F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.slice(tokens, i + 1, size), *salt))
     return F.when(n >= 0, hashes).otherwise(F.expr("CAST(array() AS array<bigint>)"))
 
 
@@ -152,8 +170,10 @@ def _readings(runs: DataFrame, *readings: str) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, n_matched, n_item, doc_start, n_slots): the best run of each
     document and item that leaked."""
-    items = _tokens(benchmark.select("item_id", "text").distinct().withColumn("item", F.xxhash64("item_id", "text")), "text")
-    items = materialize(items.select("item", "item_id", "raw", "tpl", F.size("tpl").alias("n_item")), "decontam-items")
+    items = _views(_tokens(benchmark.select("item_id", "text").distinct(), "text"), "item_id", "text")
+    # Each of the two views of an item is an item until the end, where own is the same for both.
+    items = items.withColumn("item", F.xxhash64("item_id", "text", "wide")).withColumn("own", F.xxhash64("item_id", "text"))
+    items = materialize(items.select("item", "own", "wide", "item_id", "raw", "tpl", F.size("tpl").alias("n_item")), "decontam-items")
     sizes = sorted(
         r[0] for r in items.where("n_item > 0").select(F.least("n_item", F.lit(WINDOW)).alias("n")).distinct().collect()
     )  # at most WINDOW numbers
@@ -161,21 +181,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def item_windows(size: int) -> DataFrame:
         own = items.where(F.least("n_item", F.lit(WINDOW)) == size)
         content = F.size(F.filter(F.slice("tpl", F.col("ipos") + 1, size), lambda x: ~x.isin(PLACEHOLDERS)))
-        typed = own.select("item", "tpl", F.posexplode(_hashes("tpl", size)).alias("ipos", "h")).where(content >= CONTENT)
-        exact = own.select("item", F.posexplode(_hashes("raw", size)).alias("ipos", "h"))
-        return typed.select("item", "ipos", "h").unionByName(exact).distinct().withColumn("size", F.lit(size))
+        salted = F.when(F.col("wide"), _hashes("tpl", size, F.lit(1))).otherwise(_hashes("tpl", size))
+        typed = own.select("item", "wide", "tpl", F.posexplode(salted).alias("ipos", "h")).where(content >= CONTENT)
+        exact = own.where("NOT wide").select("item", "wide", F.posexplode(_hashes("raw", size)).alias("ipos", "h"))
+        return typed.select("item", "wide", "ipos", "h").unionByName(exact).distinct().withColumn("size", F.lit(size))
 
     rows = docs.select(*_key(), "text")
-    tokenised = _tokens(rows, "text").select("doc_id", "text_hash", "raw", "tpl")
+    tokenised = _tokens(rows, "text").select(
+        "doc_id", "text_hash", "raw", "tpl", "wide_tpl", F.size("tpl").alias("n"), (F.col("tpl") == F.col("raw")).alias("alike")
+    )
     found: DataFrame | None = None
     for size in sizes:
         own = materialize(item_windows(size), "decontam-windows")
         small = own.count() <= BROADCAST_WINDOWS
-        # By the template, then by the tokens themselves if they differ: position is place modulo windows.
-        both = F.concat(_hashes("tpl", size), F.when(F.col("tpl") == F.col("raw"), F.expr("CAST(array() AS array<bigint>)")).otherwise(_hashes("raw", size)))
-        seen = tokenised.select("doc_id", "text_hash", (F.size("tpl") - size + 1).alias("windows"), F.posexplode(both).alias("place", "h"))
-        seen = seen.select("doc_id", "text_hash", F.expr("place % windows").alias("pos"), "h")
-        hits = seen.join(F.broadcast(own) if small else own, "h").select("doc_id", "text_hash", "item", "size", "pos", "ipos")
+        # Windows by the template, then by the tokens themselves if they differ, then by the wide template.
+        # Hashed in the generator: a projection would take the templates into the lambda, anew for each window.
+        exact = F.when(F.col("alike"), F.expr("CAST(array() AS array<bigint>)")).otherwise(_hashes("raw", size))
+        places = F.posexplode(F.concat(_hashes("tpl", size), exact, _hashes("wide_tpl", size, F.lit(1)))).alias("place", "h")
+        windows = F.greatest(F.col("n") - size + 1, F.lit(0))
+        narrow = F.when(F.col("alike"), windows).otherwise(2 * windows)
+        seen = tokenised.select("doc_id", "text_hash", windows.alias("windows"), narrow.alias("narrow"), places)
+        seen = seen.withColumn("pos", F.expr("CASE WHEN place >= narrow THEN place - narrow WHEN place >= windows THEN place - windows ELSE place END"))
+        seen = seen.select("doc_id", "text_hash", "h", "pos", F.expr("place >= narrow").alias("wide"))
+        hits = seen.join(F.broadcast(own) if small else own, ["h", "wide"]).select("doc_id", "text_hash", "item", "size", "pos", "ipos")
         found = hits if found is None else found.unionByName(hits)
     schema = "doc_id long, text_hash long, item_id long, n_matched int, n_item int, doc_start int, n_slots int"
     if found is None:
@@ -185,7 +213,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     runs = (
         found.groupBy("doc_id", "text_hash", "item", (F.col("pos") - F.col("ipos")).alias("diagonal"))
         .agg(F.array_sort(F.collect_set("ipos")).alias("at"), F.max("size").alias("size"))
-        .join(items.select("item", "item_id", "n_item", F.col("raw").alias("item_raw"), F.col("tpl").alias("item_tpl")), "item")
+        .join(items.select("item", "own", "wide", "item_id", "n_item", F.col("raw").alias("item_raw"), F.col("tpl").alias("item_tpl")), "item")
         .withColumn("least", F.least(F.lit(LEAST_RUN), F.greatest(F.col("n_item") - 2, F.lit(1))))
         .where(_covers("at") >= F.col("least"))
     )
@@ -193,14 +221,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     wanted = runs.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct()
     leaked = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_hash") == F.col("__t")), "left_semi")
     leaked = leaked.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
-    texts = _tokens(leaked, "text").select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), "raw", "tpl")
-    runs = runs.join(texts, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_hash") == F.col("__t")))
+    texts = _views(_tokens(leaked, "text"), "doc_id", "text_hash").select(
+        F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), F.col("wide").alias("__w"), "raw", "tpl"
+    )
+    runs = runs.join(texts, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_hash") == F.col("__t")) & (F.col("wide") == F.col("__w")))
 
     runs = _readings(runs, "raw", "tpl")
     options = F.array_compact(F.array(*(F.col(c) for c in runs.columns if c.startswith("__leak"))))
     runs = runs.withColumn("leak", F.array_max(options)).where("leak IS NOT NULL")
-    best = F.max_by(F.struct("leak", "n_item"), F.struct("leak.n_matched", -F.col("diagonal")))
-    kept = runs.groupBy("doc_id", "text_hash", "item", "item_id").agg(best.alias("b"))
+    best = F.max_by(F.struct("leak", "n_item"), F.struct("leak.n_matched", ~F.col("wide"), -F.col("diagonal")))
+    kept = runs.groupBy("doc_id", "text_hash", "own", "item_id").agg(best.alias("b"))
     return kept.select("doc_id", "text_hash", "item_id", "b.leak.n_matched", "b.n_item", "b.leak.doc_start", "b.leak.n_slots")
 
 

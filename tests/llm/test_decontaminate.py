@@ -62,6 +62,26 @@ def test_copies_of_items_of_numbers_or_names_are_found(spark):
     assert [(d, i) for d, i, _ in found(spark, texts, items)] == [(1, 1), (2, 2), (3, 3)]
 
 
+def test_names_that_open_a_sentence_other_case_and_numbers_with_separators(spark):
+    items = [
+        (1, "Alice has 3 apples. Bob has 5 pears. Carol buys 4 plums from them. How many fruits does Bob have left?", 1),
+        (2, ITEMS[0][1], 1),
+        (3, "a ticket costs 2.50 dollars and a meal costs 1,200 dollars so how much do both of them cost", 1),
+        (4, "the old farmer walks slowly along the river and sells fresh bread to his friends", 1),
+    ]
+    renamed = items[0][1].replace("Alice", "Dan").replace("Bob", "Erin").replace("Carol", "Fred")
+    texts = [
+        (1, renamed),
+        (2, 'She said: "' + renamed.replace(". ", ".\n") + '"'),
+        (3, ITEMS[0][1].lower()),
+        (4, ITEMS[0][1].upper()),
+        (5, items[2][1].replace("2.50", "3").replace("1,200", "900")),
+        (6, items[3][1].title()),
+        (7, "Dan Has Many Apples. Erin Has Some Pears."),
+    ]
+    assert [(d, i) for d, i, _ in found(spark, texts, items)] == [(1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (6, 4)]
+
+
 def test_clean_keeps_the_rest_and_all_columns(spark):
     docs = spark.createDataFrame([(1, "so " + ITEMS[0][1], "en", 1, "x", 2), (2, "fine", None, None, None, None), (None, None, None, None, None, None)], SCHEMA)
     kept = decontaminate.clean(docs, spark.createDataFrame(ITEMS, B))
