@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import common, decontaminate, language_id, mih, near_dup, ngram_lm, oracle, packing, secrets, tokenize, toxicity, training_order, url_filter
+from starloom.llm import common, decontaminate, language_id, mih, near_dup, ngram_lm, oracle, packing, secrets, token_alignment, tokenize, toxicity, training_order, url_filter
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +95,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of two public tokenizers aligned over every document."""
+    path = tokenize.tokenizer_path
+    aligned = token_alignment.align(common.documents(spark, sf_dir), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    return aligned.documents.drop("groups")
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_lm_scoring": op2_lm_scoring,
@@ -106,5 +113,6 @@ QUERIES = {
     "op8_training_order": op8_training_order,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_token_alignment": op11_token_alignment,
 }
 ORACLE: dict[str, str] = oracle.ORACLE
