@@ -62,4 +62,11 @@ least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
 SELECT doc_id, COALESCE(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM documents LEFT JOIN n USING (doc_id) JOIN least ON least.node = doc_id"""
 
-ORACLE: dict[str, str] = {"op1_secret_scans": _secrets(), "op7_minhash": _NEAR}
+# Payloads by their digest; the smallest id of a payload of 100 bytes or more is what the others revisit.
+_WARC = """WITH p AS (SELECT page_id, sha256(COALESCE(html, '')) AS payload_digest, strlen(COALESCE(html, '')) AS payload_bytes FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM least THEN least END AS refers_to FROM f)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM r"""
+
+ORACLE: dict[str, str] = {"op1_secret_scans": _secrets(), "op7_minhash": _NEAR, "op13_warc": _WARC}

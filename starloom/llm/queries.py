@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import common, decontaminate, language_id, mih, near_dup, ngram_lm, oracle, packing, secrets, token_alignment, tokenize, toxicity, training_order, url_filter
+from starloom.llm import common, conversation_repair, decontaminate, language_id, mih, near_dup, ngram_lm, oracle, packing, secrets, token_alignment, tokenize, toxicity, training_order, url_filter, warc
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +102,17 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.documents.drop("groups")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by the hash of its turns, with its faults and its cheapest repair."""
+    return conversation_repair.repair(conversation_repair.damage(common.table(spark, sf_dir, "conversations")))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record, then read back from the archives by way of the index."""
+    index, root = warc.write_archives(common.table(spark, sf_dir, "pages"))
+    return warc.read_records(index, root, with_payload=False).drop("url")
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_lm_scoring": op2_lm_scoring,
@@ -114,5 +125,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
     "op11_token_alignment": op11_token_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_warc": op13_warc,
 }
 ORACLE: dict[str, str] = oracle.ORACLE
