@@ -1,4 +1,7 @@
+import os
+
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from starloom.llm import common, queries, tokenize
@@ -18,15 +21,16 @@ def check(spark, docs, shard=64, stride=64):
     rows, root, total = order.materialise(docs, tokenize.tokenizer_path(), "key", stride=stride, shard=shard)
     got = rows.collect()
     n = -(-total // stride)
+    assert rows.count() == len(got)  # the index is read again, nothing is written again
     assert sorted({r["slot"] for r in got}) == list(range(n)) and sum(r["length"] for r in got) == total
     want = sorted(
         (r["doc_id"] is None, r["doc_id"] or 0, [*tok.encode(r["text"] or "", add_special_tokens=False).ids, 2])
         for r in docs.select("doc_id", "text").collect()
     )
     if not total:
-        assert not want
+        assert not want and not list(order.ShardReader(root).read())
         return
-    reader = order.ShardReader(root, total, "key", stride, shard)
+    reader = order.ShardReader(root)
     read = dict(reader.read())
     assert sorted(read) == list(range(n)) and all(len(x) == stride for s, x in read.items() if s != reader.last)
     assert [s for s, _ in reader.read(n // 2)] == list(range(n // 2, n))  # resumes anywhere
@@ -51,6 +55,40 @@ def test_defined_results(spark):
     check(spark, spark.createDataFrame([], schema))
 
 
+def test_a_folder_without_manifest_is_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    _, root, _ = order.materialise(docs, tokenize.tokenizer_path(), "key")
+    folder = common.local_path(root)
+    os.rename(f"{folder}/{order.MANIFEST}", f"{folder}/not-yet")
+    with pytest.raises(FileNotFoundError, match="complete"):
+        order.ShardReader(root)
+
+
+def test_query_places_every_piece(spark):
+    """Slots, offsets and bytes of all pieces, from the permutation and the tokenizer alone."""
+    sf = "/root/testdata/sf0.001"
+    tok = Tokenizer.from_file(tokenize.tokenizer_path())
+    size = {r["doc_id"]: len(tok.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for r in common.documents(spark, sf).collect()}
+    got = queries.op8_training_order(spark, sf).collect()
+    n = -(-sum(size.values()) // order.STRIDE)
+    back = order.unpermute(np.array([r["slot"] for r in got]), n, "epoch-0")
+    at = {}
+    for r, seq in zip(got, back.tolist(), strict=True):
+        assert r["shard"] == r["slot"] // order.SHARD
+        offset = r["byte_offset"] // 2 - r["slot"] % order.SHARD * order.STRIDE
+        assert 0 <= offset and offset + r["length"] <= order.STRIDE
+        at.setdefault(r["doc_id"], []).append((r["start"], r["length"], seq * order.STRIDE + offset))
+    places = []
+    for doc, own in at.items():
+        own.sort()
+        base = own[0][2]
+        assert own[0][0] == 0 and sum(m for _, m, _ in own) == size[doc]
+        assert all(place == base + start for start, _, place in own)  # one run in the corpus
+        places.append((base, base + size[doc]))
+    places.sort()
+    assert places[0][0] == 0 and all(a[1] == b[0] for a, b in zip(places, places[1:])) and set(at) == set(size)
+
+
 def test_query_covers_all_documents(spark):
     sf = "/root/testdata/sf0.001"
     got = queries.op8_training_order(spark, sf)
