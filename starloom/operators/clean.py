@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 from starloom.functions import (
     date_key,
     dim_date_columns,
+    infer_time_shapes,
     lenient_double,
     lenient_int,
     lenient_timestamp,
+    shape_timestamp,
     strip_ws,
     title_case,
     zfill,
 )
 from starloom.operators.counters import Counters
-from starloom.operators.dedup import keep_first
+from starloom.operators.dedup import aliases, keep_first
 from starloom.operators.enrich import join_enrichment, map_category
 from starloom.operators.latest import apply_latest_status, latest_status
 from starloom.params import Params
@@ -69,6 +71,18 @@ def clean_customers(raw: DataFrame, order: Sequence[str | Column] | None = None)
     )
 
 
+def customer_aliases(raw: DataFrame, order: Sequence[str | Column] | None = None) -> DataFrame:
+    """``(alias, survivor)`` of the customer ids that :func:`clean_customers` drops."""
+    return aliases(raw, "customer_id", "customer_unique_id", _order(raw, order, ["customer_id"]))
+
+
+def resolve_aliases(lines: DataFrame, found: DataFrame) -> DataFrame:
+    """Lines of a dropped customer id under the id that was kept, so that the load finds its customer."""
+    joined = lines.join(found, F.col("customer_id") == F.col("alias"), "left")
+    own = F.coalesce("survivor", "customer_id").alias("customer_id")
+    return joined.select(*[own if c == "customer_id" else F.col(c) for c in lines.columns])
+
+
 # ----------------------------------------------------------------------------- orders
 
 
@@ -77,12 +91,22 @@ class OrderOutputs(NamedTuple):
     dim_date: DataFrame
 
 
-def parse_order_times(orders: DataFrame, formats: Sequence[str]) -> DataFrame:
+def parse_times(
+    df: DataFrame, columns: Sequence[str], formats: Sequence[str], mode: str = "each", order: Sequence[str | Column] = ()
+) -> DataFrame:
+    """Parse the time columns; bad values become null. With ``mode="infer"`` a column has the shape of
+    its first non-null value by ``order`` (one aggregate, run when the plan is built)."""
+    shapes = infer_time_shapes(df, {c: (F.col(c), order) for c in columns}) if mode == "infer" else {}
+    read = lambda c: shape_timestamp(c, shapes.get(c), formats) if mode == "infer" else lenient_timestamp(c, formats)
+    return df.select(*[read(c).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def parse_order_times(
+    orders: DataFrame, formats: Sequence[str], mode: str = "each", order: Sequence[str | Column] | None = None
+) -> DataFrame:
     """Parse each of the five order time columns that is present; bad values become null."""
     present = [c for c in ORDER_TIME_COLUMNS if c in orders.columns]
-    return orders.select(
-        *[lenient_timestamp(c, formats).alias(c) if c in present else F.col(c) for c in orders.columns]
-    )
+    return parse_times(orders, present, formats, mode, _order(orders, order, orders.columns))
 
 
 def valid_status(orders: DataFrame, statuses: Sequence[str]) -> DataFrame:
@@ -109,13 +133,14 @@ def parse_items(items: DataFrame) -> DataFrame:
     )
 
 
-def parse_events(events: DataFrame, formats: Sequence[str]) -> DataFrame:
+def parse_events(events: DataFrame, formats: Sequence[str], mode: str = "each") -> DataFrame:
     """Operational events with a parsed (lenient) event time and a numeric event id, so ids that
-    arrive as text compare as the numbers they are."""
-    events = events.withColumn("event_timestamp", lenient_timestamp("event_timestamp", formats))
+    arrive as text compare as the numbers they are. The ids also order the events where they have no
+    ingest ordinal."""
     if "event_id" in events.columns:
         events = events.withColumn("event_id", F.col("event_id").try_cast("bigint"))
-    return events
+    fallback = ["event_id"] if "event_id" in events.columns else events.columns
+    return parse_times(events, ["event_timestamp"], formats, mode, _order(events, None, fallback))
 
 
 def join_order_items(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -158,7 +183,7 @@ def clean_orders(
     validation, so an unknown event status reaches the load and gets a null status key).
     ``counters`` takes the rows dropped, rejected and enriched on the way.
     """
-    o = parse_order_times(orders, params.timestamp_formats)
+    o = parse_order_times(orders, params.timestamp_formats, params.timestamps)
     if counters is not None:
         keyed = F.col("order_id").isNotNull() & F.col("customer_id").isNotNull()
         allowed = F.coalesce(F.col("order_status").isin(*params.valid_statuses), F.lit(False))
@@ -174,7 +199,7 @@ def clean_orders(
         m = counters(m, "lines", joined=F.count(F.lit(1)), dropped=F.count_if(~priced))
     m = m.where(F.col("price") > F.lit(params.min_price))
     if events is not None:
-        ev = parse_events(events, params.timestamp_formats)
+        ev = parse_events(events, params.timestamp_formats, params.timestamps)
         tiebreak = "event_id" if "event_id" in ev.columns else None
         m = apply_latest_status(m, latest_status(ev, tiebreak=tiebreak), counters=counters)
     extra = [ORD] if ORD in m.columns else []

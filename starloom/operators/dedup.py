@@ -37,3 +37,16 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Last row per key in ``order`` (sequential upserts of a batch: the last one sticks)."""
     return _pick(df, keys, order, last=True)
+
+
+def aliases(df: DataFrame, key: str, group: str, order: Sequence[str | Column]) -> DataFrame:
+    """``(alias, survivor)``: each ``key`` whose row :func:`keep_first` by ``group`` drops, with the key that
+    is kept of its group. A key that some group keeps is no alias; one in several groups goes to that of
+    its first row by ``order``. Null keys and groups take no part.
+    """
+    rows = df.where(F.col(key).isNotNull() & F.col(group).isNotNull())
+    rank = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
+    kept = rows.groupBy(group).agg(F.min_by(key, rank).alias("survivor"))
+    own = rows.groupBy(key).agg(F.min_by(group, rank).alias(group))
+    found = own.join(kept, group).select(F.col(key).alias("alias"), "survivor").where("alias != survivor")
+    return found.join(kept.select(F.col("survivor").alias("alias")), "alias", "left_anti")

@@ -33,6 +33,11 @@ def _position(part: Column, row: Column) -> Column:
     return row - F.shiftleft(part.cast("long"), 33)
 
 
+def partition_position() -> Column:
+    """The row's place within its task's partition, from 0."""
+    return _position(F.spark_partition_id(), F.monotonically_increasing_id())
+
+
 def assign_surrogate_keys(df: DataFrame, key: str, order: Sequence[str | Column], start: int = 0) -> DataFrame:
     """Add ``key = start + rank`` where rank is 1..n over ``order`` (a total order over the rows)."""
     spark = df.sparkSession

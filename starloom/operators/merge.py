@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_first, keep_last
-from starloom.operators.keys import assign_strided_keys, assign_surrogate_keys, max_key
+from starloom.operators.keys import assign_strided_keys, assign_surrogate_keys, max_key, partition_position
 from starloom.session import cut_lineage
 
 
@@ -114,3 +114,42 @@ def append_once(
     first = max_key(target, surrogate) if start is None else start
     inserted = assign_strided_keys(new, surrogate, list(keys), n, start=first).select(*target.columns)
     return target.unionByName(inserted), inserted
+
+
+def latest_rows(log: DataFrame, key: str, version: str = "load_version") -> DataFrame:
+    """The current dimension: of each key the row of its latest load. Over a table bucketed by ``key``
+    this is one aggregate without a shuffle."""
+    others = [c for c in log.columns if c not in (key, version)]
+    latest = log.groupBy(key).agg(F.max_by(F.struct(*others), version).alias("_row"))
+    return latest.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in log.columns if c != version])
+
+
+def scd1_delta(
+    log: DataFrame,
+    batch: DataFrame,
+    key: str,
+    attrs: Sequence[str],
+    surrogate: str,
+    run_ts: dt.datetime,
+    order: Sequence[str | Column],
+    buckets: int,
+    start: int,
+    updated_col: str = "updated_at",
+) -> DataFrame:
+    """The rows one load adds to a dimension kept as a log of loads, bucketed by ``key``.
+
+    As :func:`scd1_merge`: a matched key keeps its surrogate and takes the batch's attributes (also
+    nulls) and ``run_ts``; a new key gets a surrogate above ``start``, unique but in no order; of a key
+    repeated in the batch the last row counts. Rows that the batch does not name are neither moved nor
+    written again: the batch is shuffled to the buckets, the log is read where it lies.
+    """
+    src = batch.where(F.col(key).isNotNull()).repartition(buckets, key)
+    src = keep_last(src, [key], order).select(key, *attrs)
+    known = latest_rows(log, key).select(F.col(key).alias("_key"), F.col(surrogate).alias("_old"))
+    found = src.join(known, F.col(key) == F.col("_key"), "left").drop("_key")
+    # New keys by their place in the bucket: the partitioning is that of the batch, so nothing moves.
+    placed = found.sortWithinPartitions(F.col("_old").isNotNull(), key)
+    fresh = (F.lit(start + 1) + F.spark_partition_id() + partition_position() * F.lit(buckets)).cast("long")
+    return placed.select(
+        F.coalesce("_old", fresh).alias(surrogate), F.col(key), *[F.col(a) for a in attrs], F.lit(run_ts).cast("timestamp").alias(updated_col)
+    )

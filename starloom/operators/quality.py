@@ -55,20 +55,26 @@ def fact_metrics(fact: DataFrame) -> DataFrame:
     return unpivot_counts(fact.agg(*aggs)).toDF("metric", "n")
 
 
-def orphan_metrics(star: Mapping[str, DataFrame]) -> DataFrame:
-    """``(metric, n)``: rows whose non-null key is missing from its dimension, in one fact pass.
-
-    The four keys of a row become four ``(column, key)`` pairs that are counted before any shuffle
-    (a hot key is one row a task), and only the distinct keys meet the dimensions.
-    """
+def key_counts(fact: DataFrame) -> DataFrame:
+    """``(column, key, n)``: how often each key occurs, in one fact pass. The four keys of a row become
+    four pairs that are counted before any shuffle (a hot key is one row a task)."""
     pair = lambda c: F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("key"))
-    pairs = star["fact_orders"].select(F.inline(F.array(*[pair(c) for c, _ in ORPHAN_CHECKS]))).where("key IS NOT NULL")
-    used = pairs.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n"))
-    known = _union([star[d].select(F.lit(c).alias("column"), F.col(c).cast("long").alias("key")) for c, d in ORPHAN_CHECKS])
+    pairs = fact.select(F.inline(F.array(*[pair(c) for c, _ in ORPHAN_CHECKS]))).where("key IS NOT NULL")
+    return pairs.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def orphans_of(used: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """``(metric, n)``: rows of the counted keys that no dimension row has; only distinct keys meet the dimensions."""
+    known = _union([dims[d].select(F.lit(c).alias("column"), F.col(c).cast("long").alias("key")) for c, d in ORPHAN_CHECKS])
     orphans = used.join(known, ["column", "key"], "left_anti").groupBy("column").agg(F.sum("n").alias("n"))
     return orphans.select(F.concat(F.lit("orphan_"), "column").alias("metric"), "n")
 
 
+def orphan_metrics(star: Mapping[str, DataFrame]) -> DataFrame:
+    """``(metric, n)``: rows whose non-null key is missing from its dimension, in one fact pass."""
+    return orphans_of(key_counts(star["fact_orders"]), star)
+
+
 def count_metric(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.lit(name).alias("metric"), F.count(F.lit(1)).alias("n"))
 
@@ -144,11 +150,15 @@ def quality_checks(
     parts += [count_metric(star[t], f"rows_{t}") for t in dims]
     if staged_lines is not None:
         parts.append(count_metric(staged_lines, "staged"))
+    return checks_of_metrics(parts, staged_lines is not None, params)
+
+
+def checks_of_metrics(parts: list[DataFrame], staged: bool, params: Params) -> DataFrame:
+    """Frames of ``(metric, n)`` to the 14 checks; a metric that is not there is 0."""
     names = [f"rows_{t}" for t in ROW_COUNT_TABLES] + [f"null_{c}" for c in NULL_FK_COLUMNS] + ["bad_price"]
     names += [f"orphan_{c}" for c, _ in ORPHAN_CHECKS] + ["staged"]
     wide = [F.coalesce(F.max(F.when(F.col("metric") == m, F.col("n"))), F.lit(0)).alias(m) for m in names]
-    metrics = _union(parts).agg(*wide)
-    return metrics.select(F.inline(F.array(*_checks(params, staged_lines is not None))))
+    return _union(parts).agg(*wide).select(F.inline(F.array(*_checks(params, staged))))
 
 
 def icon(status: Column) -> Column:
@@ -207,13 +217,14 @@ def run_quality_gate(
     params: Params = Params(),
     report_root: str | None = None,
     run_ts: dt.datetime | None = None,
+    checks: DataFrame | None = None,
 ) -> dict:
-    """Run the checks, write the report first, then raise ``ValueError`` if any check FAILed.
+    """Run the checks (or take ``checks``, already planned), write the report first, then raise ``ValueError`` if any check FAILed.
 
     WARN never stops the pipeline. Returns ``{results, failures, warnings, report_path}``.
     """
     run_ts = run_ts or dt.datetime.now()
-    results_df = quality_checks(star, staged_lines, params).cache()
+    results_df = (quality_checks(star, staged_lines, params) if checks is None else checks).cache()
     try:
         rows = sorted(results_df.collect(), key=lambda r: r["seq"])
         report_path = write_report(results_df, report_root, run_ts) if report_root else None

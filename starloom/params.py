@@ -32,3 +32,12 @@ class Params:
     min_load_ratio: float = 0.70
     # Formats tried on time text that is neither ISO nor a slash date.
     timestamp_formats: tuple[str, ...] = ()
+    # "each": every time text is read by itself. "infer": a column has the format of its first non-null
+    # value in input order, other values become null.
+    timestamps: str = "each"
+    # Lines of a customer alias dropped by the deduplication go to the surviving customer.
+    resolve_aliases: bool = False
+
+    def __post_init__(self) -> None:
+        if self.timestamps not in ("each", "infer"):
+            raise ValueError(f"timestamps must be 'each' or 'infer', not {self.timestamps!r}")

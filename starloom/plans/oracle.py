@@ -17,11 +17,24 @@ NA_TOKENS = (
     "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 LABELS = {
-    "electronics": "eletronicos informatica_acessorios telefonia tablets_impressao_imagem audio eletrodomesticos "
-    "eletrodomesticos_2 utilidades_domesticas",
-    "women's clothing": "cama_mesa_banho fashion_bolsas_e_acessorios fashion_roupa_feminina",
-    "men's clothing": "fashion_roupa_masculina fashion_calcados fashion_underwear_e_moda_praia fashion_esporte",
-    "jewelery": "joias_relogios relogios_presentes bijuterias_e_jóias",
+    "eletronicos": "electronics",
+    "informatica_acessorios": "electronics",
+    "telefonia": "electronics",
+    "tablets_impressao_imagem": "electronics",
+    "audio": "electronics",
+    "eletrodomesticos": "electronics",
+    "eletrodomesticos_2": "electronics",
+    "utilidades_domesticas": "electronics",
+    "cama_mesa_banho": "women's clothing",
+    "fashion_bolsas_e_acessorios": "women's clothing",
+    "fashion_roupa_feminina": "women's clothing",
+    "fashion_roupa_masculina": "men's clothing",
+    "fashion_calcados": "men's clothing",
+    "fashion_underwear_e_moda_praia": "men's clothing",
+    "fashion_esporte": "men's clothing",
+    "joias_relogios": "jewelery",
+    "relogios_presentes": "jewelery",
+    "bijuterias_e_jóias": "jewelery",
 }
 
 
@@ -78,13 +91,43 @@ TS_FORMATS = (
 )
 
 
+def parsed(x: str, fmt: str) -> str:
+    """Cut to the microsecond; a format with nanoseconds gives another type, whose cast would round."""
+    time = f"try_strptime({x}, '{fmt}')"
+    return f"make_timestamp(epoch_ns({time}) // 1000)" if fmt.endswith("%n") else time
+
+
 def ts(x: str) -> str:
     s = strip(x)
-    return "COALESCE(" + ", ".join(f"try_strptime({s}, '{f}')" for f in TS_FORMATS) + ")"
+    return "COALESCE(" + ", ".join(parsed(s, f) for f in TS_FORMATS) + ")"
+
+
+# What a value looks like in each format above, in the same order.
+_DAY, _CLOCK = r"\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}:\d{2}:\d{2}"
+TS_SHAPES = (
+    rf"{_DAY} {_CLOCK}",
+    rf"{_DAY}T{_CLOCK}",
+    rf"{_DAY} {_CLOCK}\.\d{{1,9}}",
+    _DAY,
+    rf"\d{{4}}/\d{{1,2}}/\d{{1,2}} {_CLOCK}",
+    r"\d{1,2}/\d{1,2}/\d{4}",
+    rf"{_DAY}T{_CLOCK}\.\d{{1,9}}",
+    rf"{_DAY}T{_CLOCK}Z",
+)
+
+
+def inferred(x: str, first: str) -> str:
+    """``x`` in the format that the column's first value ``first`` has; by itself where that has none."""
+    whens = []
+    for fmt, shape in zip(TS_FORMATS, TS_SHAPES):
+        for lead in ("", r"\s+"):
+            own = q(lead + shape)
+            whens.append(f"WHEN regexp_full_match({first}, {own}) THEN CASE WHEN regexp_full_match({x}, {own}) THEN {parsed(strip(x), fmt)} END")
+    return f"CASE {' '.join(whens)} ELSE {ts(x)} END"
 
 
 def category_label(c: str) -> str:
-    whens = " ".join(f"WHEN {q(k)} THEN {q(label)}" for label, own in LABELS.items() for k in own.split())
+    whens = " ".join(f"WHEN {q(k)} THEN {q(label)}" for k, label in LABELS.items())
     return f"COALESCE(CASE {c} {whens} END, 'electronics')"
 
 

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from starloom.frames import rows_frame
 from starloom.operators.counters import Counters
-from starloom.operators.clean import clean_customers, clean_orders, clean_products
+from starloom.operators.clean import clean_customers, clean_orders, clean_products, customer_aliases, resolve_aliases
 from starloom.operators.enrich import api_enrichment
-from starloom.operators.facts import resolve_fact_keys
+from starloom.operators.facts import reason_counts, resolve_fact_keys, route_fact_lines, tag_fact_lines
 from starloom.operators.keys import assign_small_keys, max_key
 from starloom.operators.merge import append_once, insert_new, scd1_merge
 from starloom.params import Params
@@ -52,6 +52,7 @@ class Staged(NamedTuple):
 @dataclass
 class LoadReport:
     inserted: dict[str, DataFrame] = field(default_factory=dict)
+    rejects: DataFrame | None = None  # lines not loaded, with their reason, if they were asked for
 
 
 def transform(raw: RawSources, params: Params = Params(), counters: Counters | None = None) -> Staged:
@@ -61,12 +62,15 @@ def transform(raw: RawSources, params: Params = Params(), counters: Counters | N
     keyless = F.col("customer_id").isNull() | F.col("customer_unique_id").isNull()
     customers = clean_customers(watch(raw.customers, "customers", raw=rows, dropped=F.count_if(keyless)))
     orders = clean_orders(raw.orders, raw.order_items, raw.order_events, params, counters)
+    lines = orders.lines
+    if params.resolve_aliases:
+        lines = resolve_aliases(lines, customer_aliases(raw.customers))
     enrichment = None
     if raw.api_records is not None:
         records = watch(raw.api_records, "catalog", raw=rows, dropped=F.count_if(~has_keys(F.col("record"))))
         enrichment = api_enrichment(flatten_api_products(validate_records(records)))
     raw_products = watch(raw.products, "products", raw=rows, dropped=F.count_if(F.col("product_id").isNull()))
-    return Staged(customers, clean_products(raw_products, enrichment), orders.lines, orders.dim_date)
+    return Staged(customers, clean_products(raw_products, enrichment), lines, orders.dim_date)
 
 
 def stage(staged: Staged, staging_root: str | None = None, counts: dict[str, int] | None = None) -> Staged:
@@ -127,6 +131,8 @@ def load_star(
     run_ts: dt.datetime | None = None,
     fact_partitions: int | None = None,
     max_keys: Mapping[str, int] | None = None,
+    keep_rejects: bool = False,
+    counters: Counters | None = None,
 ) -> tuple[dict[str, DataFrame], LoadReport]:
     """Dimensions first (date, status, customer, product), then facts.
 
@@ -135,6 +141,8 @@ def load_star(
     ``updated_at``. Each new dimension is written once (to the reliable checkpoint folder); the fact
     lookup and the publish both read that copy. ``fact_partitions``: the fact table's bucket count;
     ``max_keys``: the largest surrogate keys so far, from the commit record, instead of a scan.
+    ``keep_rejects`` writes all lines with their keys once and gives those that do not load as
+    ``report.rejects``; ``counters`` then takes their number by reason.
     """
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     spark = staged.lines.sparkSession
@@ -186,9 +194,14 @@ def load_star(
     }
     dims = {name: cut_lineage(df, name) for name, df in dims.items()}
 
-    rows = resolve_fact_keys(
-        _with_order(staged.lines), dims["dim_customer"], dims["dim_product"], dims["dim_date"], dims["dim_status"]
-    )
+    lookups = [dims[d] for d in ("dim_customer", "dim_product", "dim_date", "dim_status")]
+    if keep_rejects:
+        tagged = tag_fact_lines(_with_order(staged.lines), *lookups)
+        if counters is not None:
+            tagged = counters(tagged, "facts", **reason_counts())
+        rows, report.rejects = route_fact_lines(cut_lineage(tagged, "tagged-lines"))
+    else:
+        rows = resolve_fact_keys(_with_order(staged.lines), *lookups)
     fact_orders, report.inserted["fact_orders"] = append_once(
         star["fact_orders"],
         rows,

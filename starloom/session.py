@@ -88,6 +88,12 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder name (not yet made) below the checkpoint folder, or below that of :func:`scratch`."""
+    root = _SCRATCH.get() or ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/starloom-{label}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the reliable checkpoint folder and read it back.
 
@@ -96,8 +102,7 @@ def cut_lineage(df: DataFrame, label: str = "table") -> DataFrame:
     otherwise it stays until the checkpoint folder is cleaned.
     """
     spark = df.sparkSession
-    root = _SCRATCH.get() or ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/starloom-{label}-{uuid.uuid4().hex}"
+    path = shared_folder(spark, label)
     df.write.parquet(path)
     # An empty result writes no data files: read back with the known schema.
     return spark.read.schema(df.schema).parquet(path)

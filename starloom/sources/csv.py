@@ -78,18 +78,28 @@ def read_csv(
 
 
 def land_raw(
-    dfs: Mapping[str, DataFrame], raw_root: str, counts: dict[str, int] | None = None
+    dfs: Mapping[str, DataFrame],
+    raw_root: str,
+    counts: dict[str, int] | None = None,
+    clustered: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, str]:
     """Write each raw frame (ordinal included) to ``raw_root/<name>`` as Parquet, overwriting.
 
     When ``counts`` is given, the rows written per source are recorded into it (an observation on
-    the write itself, no second pass).
+    the write itself, no second pass). Frames named in ``clustered`` are landed sorted by its columns
+    (:mod:`starloom.sources.layout`); their rows are counted by the files' footers.
     """
     from starloom.operators.counters import observed
+    from starloom.sources.layout import write_clustered
 
     out = {}
     for name, df in dfs.items():
         path = f"{raw_root}/{name}"
+        if clustered and name in clustered:
+            out[name] = write_clustered(df, path, clustered[name])
+            if counts is not None:
+                counts[name] = df.sparkSession.read.parquet(path).count()
+            continue
         df_obs, obs = observed(df, f"raw_{name}")
         df_obs.write.mode("overwrite").parquet(path)
         if counts is not None:

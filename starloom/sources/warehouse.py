@@ -137,12 +137,30 @@ def read_star(spark: SparkSession, root: str, version: int | None = None) -> dic
     }
     name = _register_facts(spark, root, int(info[FACT]["buckets"]))
     # Only partitions with a commit record are visible (a crashed load's partition never is).
-    committed = [int(r["version"]) for r in _commits(spark, root).where(F.col("version") <= v).select("version").distinct().collect()]
-    facts = spark.table(name).where(F.col(LOAD_VERSION).isin(committed))
+    facts = spark.table(name).where(F.col(LOAD_VERSION).isin(committed_versions(spark, root, v)))
     out[FACT] = facts.select(*[F.col(f.name) for f in STAR_SCHEMAS[FACT].fields])
     return out
 
 
+def committed_versions(spark: SparkSession, root: str, up_to: int | None = None) -> list[int]:
+    """The loads whose facts are visible in the latest (or the given) version."""
+    commits = _commits(spark, root)
+    if commits is None:
+        return []
+    if up_to is not None:
+        commits = commits.where(F.col("version") <= up_to)
+    return sorted(int(r["version"]) for r in commits.select("version").distinct().collect())
+
+
+def read_load(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The facts that one load added, from its own partition."""
+    info = _commit_info(spark, root, version)
+    if FACT not in info:
+        raise ValueError(f"version {version} of {root} was never committed")
+    facts = spark.table(_register_facts(spark, root, int(info[FACT]["buckets"]))).where(F.col(LOAD_VERSION) == version)
+    return facts.select(*[F.col(f.name) for f in STAR_SCHEMAS[FACT].fields])
+
+
 def publish_star(
     spark: SparkSession,
     root: str,

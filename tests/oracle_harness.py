@@ -23,6 +23,25 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type -> the kind of DuckDB type that must stand beside it.
+KINDS = {
+    "boolean": "bool", "tinyint": "int", "smallint": "int", "int": "int", "bigint": "int", "float": "float", "double": "float",
+    "string": "text", "date": "date", "timestamp": "time", "timestamp_ntz": "time",
+}
+DUCK_KINDS = {
+    "BOOLEAN": "bool", "TINYINT": "int", "SMALLINT": "int", "INTEGER": "int", "BIGINT": "int", "HUGEINT": "int", "UBIGINT": "int",
+    "FLOAT": "float", "DOUBLE": "float", "VARCHAR": "text", "DATE": "date", "TIMESTAMP": "time",
+}
+
+
+def kind(spark_type: str) -> str:
+    return "float" if spark_type.startswith("decimal") else KINDS.get(spark_type, spark_type)
+
+
+def duck_kind(duck_type: str) -> str:
+    return "float" if duck_type.startswith("DECIMAL") else DUCK_KINDS.get(duck_type, duck_type)
+
+
 def norm(v):
     if v is None:
         return None
@@ -41,12 +60,30 @@ def norm(v):
     return v
 
 
+def nanoseconds(v: dt.datetime | None) -> int | None:
+    if v is None:
+        return None
+    since = v.replace(tzinfo=None) - dt.datetime(1970, 1, 1)
+    return ((since.days * 86400 + since.seconds) * 10**6 + since.microseconds) * 1000
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
-    cur = con.execute(sql)
-    d_cols = [c[0] for c in cur.description]
-    d_rows = cur.fetchall()
+    rel = con.sql(sql)
+    d_cols, d_types = rel.columns, dict(zip(rel.columns, map(str, rel.types)))
+    own = {c: (kind(t), duck_kind(d_types[c])) for c, t in spark_df.dtypes if c in d_types}
+    wrong = {c: (dict(spark_df.dtypes)[c], d_types[c]) for c, (a, b) in own.items() if a != b and '"NULL"' != d_types[c]}
+    if wrong:
+        return False, f"types differ: {wrong}"
+    # Times to the nanosecond: Python's datetime would cut them.
+    times = [c for c, (a, _) in own.items() if a == "time"]
+    if times:
+        rel = con.sql(f"SELECT * REPLACE ({', '.join(f'epoch_ns({c}) AS {c}' for c in times)}) FROM ({sql})")
+    d_rows = rel.fetchall()
+    s_times = [i for i, c in enumerate(s_cols) if c in times]
+    if s_times:
+        s_rows = [tuple(nanoseconds(v) if i in s_times else v for i, v in enumerate(r)) for r in s_rows]
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
     order = sorted(s_cols)
