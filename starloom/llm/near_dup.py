@@ -8,16 +8,18 @@
    threshold are dropped; the rest are confirmed on the full sets.
 4. Buckets that still hold more than one component are looked at again: members outside the first
    component against the members of other components, so no link between components is lost to the
-   choice of leaders. Each member near one of its bucket's leaders carries the few shingles by which
+   choice of leaders (these may coincide, so a bucket counts from two members besides them on). Each
+   member near one of its bucket's leaders carries the few shingles by which
    its set differs from that leader's; two such differences give the exact similarity, so the join
    itself leaves links only and its rows do not grow with the square of a group. Other pairs are
    filtered by the estimate and confirmed.
 5. Components by large-star and small-star steps.
 
 A pair at the threshold is missed by all 25 bands of 5 with probability 8e-7 at 0.85 and 5e-5 at
-0.8. Defined results: null and empty texts have no shingle, no links and stand alone; repeated rows
-fall in one class; a row with a null id is linked through equal sets only and gets the smallest id
-it reaches so (null if none).
+0.8. Defined results: null and empty texts have no shingle, no links and stand alone; very long texts are
+read whole; repeated rows fall in one class; a row with a null id is linked through equal sets only and
+gets the smallest id it reaches so (null if none); of equal ids or ties the smallest id stands for its
+group; an empty table gives no rows. Columns besides doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -166,7 +168,7 @@ def linked(percent: int) -> Column:
 
 
 def paired(pairs: DataFrame, classes: DataFrame, value: str) -> DataFrame:
-    """(u, v, a, b): ``value`` of both classes of each pair."""
+    """(u, v, a, b) and other columns of the pairs: ``value`` of both classes of each pair."""
     own = lambda key, name: classes.select(F.col("cls").alias(key), F.col(value).alias(name))
     return pairs.join(own("u", "a"), "u").join(own("v", "b"), "v")
 
@@ -194,9 +196,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         return paired(pairs, sets, "shingles").where(linked(percent)).select("u", "v")
 
     led = members.select("cls", F.explode("leaders").alias("leader")).where("cls != leader")
-    first = led.select(F.least("cls", "leader").alias("u"), F.greatest("cls", "leader").alias("v")).distinct()
+    ends = [F.least("cls", "leader").alias("u"), F.greatest("cls", "leader").alias("v")]
+    # Once a pair, with its directions: whether v leads u, and u leads v.
+    first = led.groupBy(*ends).agg(F.max(F.col("leader") > F.col("cls")).alias("v_leads"), F.max(F.col("leader") < F.col("cls")).alias("u_leads"))
     estimate = similarity("a", "b").alias("estimate")
-    estimates = paired(first, signature, "s").select("u", "v", estimate).where(F.col("estimate") >= min(NEAR_LEADER, least_estimate(percent)))
+    estimates = paired(first, signature, "s").select("u", "v", "v_leads", "u_leads", estimate)
+    estimates = estimates.where(F.col("estimate") >= min(NEAR_LEADER, least_estimate(percent)))
     estimates = materialize(estimates, "minhash-estimates")
     candidates = estimates.where(F.col("estimate") >= least_estimate(percent)).select("u", "v")
     links = materialize(confirmed(candidates), "minhash-links")
@@ -207,20 +212,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         "bucket", "leaders", "cls", F.coalesce("root", "cls").alias("root")
     )
     split = placed.groupBy("bucket").agg(F.min("root").alias("main"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    split = split.where(f"main != hi AND n > {LEADERS}").select("bucket", "main")
-    rows = materialize(placed.join(split, "bucket"), "minhash-split")
+    split = split.where("main != hi").select("bucket", "main", "n")
+    # Leaders may coincide: with two or more members besides them, some were never compared.
+    rows = placed.join(split, "bucket").where(F.col("n") > F.size("leaders") + 1).drop("n")
+    rows = materialize(rows, "minhash-split")
 
     # A member's reference: the first of its bucket's leaders that it is near to, if any. Members of one
-    # reference are compared by what their sets lost and gained against it.
-    led = rows.select("bucket", "cls", F.posexplode("leaders").alias("place", "leader"))
+    # reference are compared by what their sets lost and gained against it. A class has at most LEADERS
+    # leaders a band, so the array of those near to it is bounded.
     close = estimates.where(F.col("estimate") >= NEAR_LEADER)
-    close = close.select(F.col("u").alias("cls"), F.col("v").alias("leader")).unionByName(
-        close.select(F.col("v").alias("cls"), F.col("u").alias("leader"))
+    close = close.where("v_leads").select(F.col("u").alias("cls"), F.col("v").alias("leader")).unionByName(
+        close.where("u_leads").select(F.col("v").alias("cls"), F.col("u").alias("leader"))
     )
-    found = led.join(close, ["cls", "leader"]).select("bucket", "cls", "place", "leader")
-    found = found.unionByName(led.where("cls = leader").select("bucket", "cls", "place", "leader"))
-    reference = found.groupBy("bucket", "cls").agg(F.min_by("leader", "place").alias("leader"))
-    rows = materialize(rows.drop("leaders").join(reference, ["bucket", "cls"], "left"), "minhash-references")
+    near = close.groupBy("cls").agg(F.collect_set("leader").alias("near"))
+    own = F.filter("leaders", lambda x: (x == F.col("cls")) | F.coalesce(F.array_contains("near", x), F.lit(False)))
+    rows = rows.join(near, "cls", "left").withColumn("leader", F.get(own, F.lit(0))).drop("leaders", "near")
+    rows = materialize(rows, "minhash-references")
     referred = rows.where("leader IS NOT NULL").select(F.col("cls").alias("u"), F.col("leader").alias("v"), "root").distinct()
     differing = materialize(
         paired(referred, sets, "shingles").select(
@@ -263,8 +270,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         & ~F.coalesce(F.col("a.leader") == F.col("b.leader"), F.lit(False))
         & (similarity("a", "b") >= least_estimate(percent)),
     )
-    ends = [F.least("a.cls", "b.cls").alias("u"), F.greatest("a.cls", "b.cls").alias("v")]
-    across = by_difference.select(*ends).unionByName(by_estimate.select(*ends)).distinct().join(candidates, ["u", "v"], "left_anti")
+    met = [F.least("a.cls", "b.cls").alias("u"), F.greatest("a.cls", "b.cls").alias("v")]
+    across = by_difference.select(*met).unionByName(by_estimate.select(*met)).distinct().join(candidates, ["u", "v"], "left_anti")
     more = materialize(confirmed(across), "minhash-across")
     if more.isEmpty():
         joined = part

@@ -89,3 +89,28 @@ def test_chains_copies_nulls_and_empty(spark):
     assert sorted(((r["component_id"] or 0) for r in got if r["doc_id"] is None)) == [0, 3]
     empty = near_dup.near_duplicates(spark.createDataFrame([], schema), 85)
     assert empty.count() == 0
+
+
+def test_small_buckets_whose_leaders_coincide(spark):
+    """Buckets of three and four texts with one or two distinct leaders: a link between texts that lead
+    nothing is not lost. Groups whose picks coincide are looked for among many random ones."""
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(100_000)]
+    rows, n = [], 0
+    for group in range(60):
+        # A hub, and three texts 0.80-0.84 from it; two of these are near each other.
+        hub = [rng.choice(vocabulary) for _ in range(400)]
+        for k in range(2 + group % 3):
+            own = list(hub)
+            own[30 * k : 30 * k + 37] = [rng.choice(vocabulary) for _ in range(37)]
+            rows.append((n, " ".join(own)))
+            twin = list(own)
+            twin[395:400] = [rng.choice(vocabulary) for _ in range(5)]
+            rows.append((n + 1, " ".join(twin)))
+            n += 2
+        rows.append((n, " ".join(hub)))
+        n += 1
+    want = brute(rows, 85)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert len({c for _, c in want.values()}) > 60
