@@ -8,17 +8,24 @@ equal item values were replaced by equal document values and the other way round
 with other numbers, names or units is caught, and a mere likeness of form is not.
 
 Each text is read twice: names are capitalised words inside a sentence and 2.50 is two numbers, or names
-are all capitalised words and 2.50 is one. Raw tokens, whatever their case, are a second key, so copies in
-another case are found.
+are all capitalised words (neighbours make one name) and 2.50 is one. Raw tokens, whatever their case, are
+a second key, so copies in another case are found.
+
+Every token is hashed once; the hash of a window is put together from its tokens' when the windows of a
+text are listed, so that what is listed meets the broadcast windows of the benchmark in the same step.
 
 Windows with fewer than ``CONTENT`` tokens besides placeholders are matched by their raw tokens only,
-so items of numbers or names are found where they were copied word for word. Shorter items than a window form one window of their own length. Defined
-results: null and empty texts match nothing; repeated rows count once (one row per doc_id and item);
-rows with a null id are reported under a null id; an empty benchmark matches nothing.
+so items of numbers or names are found where they were copied word for word. Shorter items than a window
+form one window of their own length. Defined results: null and empty texts match nothing; very long
+texts are read whole; repeated rows count once (one row per doc_id and item), ties of runs go to the
+narrow reading and the first diagonal; rows with a null id are reported under a null id; an empty
+benchmark or table matches nothing. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,18 +48,20 @@ UNITS = (
     "s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years "
     "usd eur gbp dollar dollars euro euros cent cents percent mph kmh"
 ).split()
-# In cleaned texts, before a name inside a sentence, before any other capitalised word, and between digits
-# of one number.
-_MARK, _OPEN, _JOIN = "\ue000", "\ue001", "\ue002"
+# In cleaned texts, before a name inside a sentence, before any other capitalised word, between digits
+# of one number, and between the words of one name. (Control characters keep ASCII texts ASCII.)
+_MARK, _OPEN, _JOIN, _AND = "\x01", "\x02", "\x03", "\x04"
 
 
 def _cleaned(text: Column) -> Column:
     """Lower-case tokens separated by single spaces, with marks."""
-    t = F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;] )(?=\p{Lu}\p{Ll})", _MARK)
-    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}{_MARK}])(?=\p{{Lu}}\p{{Ll}})", _OPEN)
-    t = F.regexp_replace(t, r"(?<=\p{N})[.,:/'\u2019\u00a0\u202f](?=\p{N})", _JOIN)
-    t = F.regexp_replace(t, r"(?<=\p{N})(?=\p{L})", " ")
-    return F.trim(F.lower(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{_MARK}{_OPEN}{_JOIN}]+", " ")))
+    t = F.translate(text, _MARK + _OPEN + _JOIN + _AND, "    ")
+    t = F.regexp_replace(t, r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N},;] )", _MARK)
+    t = F.regexp_replace(t, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{N}}{_MARK}])", _OPEN)
+    t = F.regexp_replace(t, rf"([{_MARK}{_OPEN}]\p{{L}}+) (?=[{_MARK}{_OPEN}])", "$1" + _AND)
+    t = F.regexp_replace(t, r"[.,:/'\u2019\u00a0\u202f](?<=\p{N}.)(?=\p{N})", _JOIN)
+    t = F.regexp_replace(t, r"(\p{N})(?=\p{L})", "$1 ")
+    return F.trim(F.lower(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{_MARK}{_OPEN}{_JOIN}{_AND}]+", " ")))
 
 
 def _template(cleaned: Column, name: str = _MARK, number: str = r"\p{N}+") -> Column:
@@ -64,11 +73,11 @@ def _template(cleaned: Column, name: str = _MARK, number: str = r"\p{N}+") -> Co
 
 def _tokens(df: DataFrame, text: str) -> DataFrame:
     """Adds raw (values) and tpl (template), arrays of equal length, empty for an empty text; and, as
-    wide_raw and wide_tpl, those in which every capitalised word is a name and 2.50 is one number."""
+    wide_raw and wide_tpl, those in which neighbouring capitalised words are a name and 2.50 is one number."""
     empty = F.expr("CAST(array() AS array<string>)")
     parts = lambda c: F.when(c == "", empty).otherwise(F.split(c, " "))
     df = df.withColumn("__wide", _cleaned(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    df = df.withColumn("__clean", F.translate("__wide", _JOIN + _OPEN, " "))
+    df = df.withColumn("__clean", F.translate("__wide", _JOIN + _AND + _OPEN, "  "))
     df = df.withColumn("__tpl", _template(F.col("__clean"))).withColumn("__wide_tpl", _template(F.col("__wide"), _MARK + _OPEN, rf"\p{{N}}[\p{{N}}{_JOIN}]*"))
     df = df.withColumn("raw", parts(F.translate("__clean", _MARK, ""))).withColumn("tpl", parts(F.col("__tpl")))
     df = df.withColumn("wide_raw", parts(F.translate("__wide", _MARK + _OPEN, ""))).withColumn("wide_tpl", parts(F.col("__wide_tpl")))
@@ -82,11 +91,28 @@ def _views(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(*keep, F.inline(F.array(narrow, wide)))
 
 
-def _hashes(tokens: str, size: int, *salt: Column) -> Column:
-    """Hashes of all windows of ``size`` tokens, by position; none for a shorter text."""
-    n = F.size(tokens) - size
-    hashes = F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.slice(tokens, i + 1, size), *salt))
-    return F.when(n >= 0, hashes).otherwise(F.expr("CAST(array() AS array<bigint>)"))
+# What tells the windows of the wide reading from the others.
+WIDE = 0x5DEECE66D1CE4E5B
+
+
+def _token_hashes(tokens: str) -> Column:
+    return F.transform(tokens, lambda x: F.xxhash64(x))
+
+
+def _window_hash(hashes: str, place: Column, size: int) -> Column:
+    """The hash of the ``size`` tokens from ``place`` on, which must be there. Each token's hash is shifted
+    by its place, so order counts; the last still gives 43 bits. (Kept short: a long expression makes a
+    method that the JVM does not compile.)"""
+    h = F.get(hashes, place)
+    for k in range(1, size):
+        h = h.bitwiseXOR(F.shiftrightunsigned(F.get(hashes, place + k), 3 * k))
+    return F.coalesce(h, F.lit(0).cast("long"))
+
+
+def _listed(df: DataFrame, hashes: str, size: int, *keep: str) -> DataFrame:
+    """(..., ipos, h): the windows of an array of token hashes."""
+    rows = df.select(*keep, F.col(hashes).alias("__h"), F.posexplode_outer(hashes).alias("ipos", "__t"))
+    return rows.where(F.col("ipos") + size <= F.size("__h")).select(*keep, "ipos", _window_hash("__h", F.col("ipos"), size).alias("h"))
 
 
 def _key() -> list[Column]:
@@ -178,36 +204,52 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         r[0] for r in items.where("n_item > 0").select(F.least("n_item", F.lit(WINDOW)).alias("n")).distinct().collect()
     )  # at most WINDOW numbers
 
+    hashed = items.withColumn("typed", _token_hashes("tpl")).withColumn("exact", _token_hashes("raw"))
+
     def item_windows(size: int) -> DataFrame:
-        own = items.where(F.least("n_item", F.lit(WINDOW)) == size)
+        own = hashed.where(F.least("n_item", F.lit(WINDOW)) == size)
         content = F.size(F.filter(F.slice("tpl", F.col("ipos") + 1, size), lambda x: ~x.isin(PLACEHOLDERS)))
-        salted = F.when(F.col("wide"), _hashes("tpl", size, F.lit(1))).otherwise(_hashes("tpl", size))
-        typed = own.select("item", "wide", "tpl", F.posexplode(salted).alias("ipos", "h")).where(content >= CONTENT)
-        exact = own.where("NOT wide").select("item", "wide", F.posexplode(_hashes("raw", size)).alias("ipos", "h"))
-        return typed.select("item", "wide", "ipos", "h").unionByName(exact).distinct().withColumn("size", F.lit(size))
+        typed = _listed(own, "typed", size, "item", "wide", "tpl").where(content >= CONTENT)
+        typed = typed.withColumn("h", F.when(F.col("wide"), F.col("h").bitwiseXOR(F.lit(WIDE))).otherwise(F.col("h")))
+        exact = _listed(own.where("NOT wide"), "exact", size, "item", "wide")
+        return typed.select("item", "ipos", "h").unionByName(exact.select("item", "ipos", "h")).distinct().withColumn("size", F.lit(size))
 
     rows = docs.select(*_key(), "text")
+    # One array a text: the hashes of the template, of the raw tokens unless they are alike, of the wide
+    # template; n and m are where the second and the third begin.
+    alike = F.col("tpl") == F.col("raw")
+    none = F.expr("CAST(array() AS array<bigint>)")
     tokenised = _tokens(rows, "text").select(
-        "doc_id", "text_hash", "raw", "tpl", "wide_tpl", F.size("tpl").alias("n"), (F.col("tpl") == F.col("raw")).alias("alike")
+        "doc_id",
+        "text_hash",
+        F.size("tpl").alias("n"),
+        F.when(alike, F.size("tpl")).otherwise(2 * F.size("tpl")).alias("m"),
+        F.concat(_token_hashes("tpl"), F.when(alike, none).otherwise(_token_hashes("raw")), _token_hashes("wide_tpl")).alias("hashes"),
     )
-    found: DataFrame | None = None
-    for size in sizes:
-        own = materialize(item_windows(size), "decontam-windows")
-        small = own.count() <= BROADCAST_WINDOWS
-        # Windows by the template, then by the tokens themselves if they differ, then by the wide template.
-        # Hashed in the generator: a projection would take the templates into the lambda, anew for each window.
-        exact = F.when(F.col("alike"), F.expr("CAST(array() AS array<bigint>)")).otherwise(_hashes("raw", size))
-        places = F.posexplode(F.concat(_hashes("tpl", size), exact, _hashes("wide_tpl", size, F.lit(1)))).alias("place", "h")
-        windows = F.greatest(F.col("n") - size + 1, F.lit(0))
-        narrow = F.when(F.col("alike"), windows).otherwise(2 * windows)
-        seen = tokenised.select("doc_id", "text_hash", windows.alias("windows"), narrow.alias("narrow"), places)
-        seen = seen.withColumn("pos", F.expr("CASE WHEN place >= narrow THEN place - narrow WHEN place >= windows THEN place - windows ELSE place END"))
-        seen = seen.select("doc_id", "text_hash", "h", "pos", F.expr("place >= narrow").alias("wide"))
-        hits = seen.join(F.broadcast(own) if small else own, ["h", "wide"]).select("doc_id", "text_hash", "item", "size", "pos", "ipos")
-        found = hits if found is None else found.unionByName(hits)
     schema = "doc_id long, text_hash long, item_id long, n_matched int, n_item int, doc_start int, n_slots int"
-    if found is None:
+    if not sizes:
         return docs.sparkSession.createDataFrame([], schema)
+    own = reduce(DataFrame.unionByName, [item_windows(size) for size in sizes])
+    own = materialize(own.withColumn("h", F.col("h").bitwiseXOR(F.col("size").cast("long"))), "decontam-windows")
+    small = own.count() <= BROADCAST_WINDOWS
+    # Windows are put together after the tokens are listed, by plain arithmetic in compiled code; a lambda
+    # over windows would be interpreted. All sizes are made from one reading of the texts. (The outer form
+    # of explode: for the other the optimizer infers a filter on the array's size and pushes it, and with
+    # it all that makes the array, below the projections, where it is computed once more for each mention.)
+    seen = tokenised.select("doc_id", "text_hash", "n", "m", "hashes", F.posexplode_outer("hashes").alias("place", "__t"))
+    first, second = F.col("place") < F.col("n"), F.col("place") < F.col("m")
+    begin = F.when(first, 0).when(second, F.col("n")).otherwise(F.col("m"))
+    end = F.when(first, F.col("n")).when(second, F.col("m")).otherwise(F.size("hashes"))
+    seen = seen.where(F.col("place") + sizes[0] <= end)
+    salt = F.when(second, F.lit(0).cast("long")).otherwise(F.lit(WIDE))
+    hs = [_window_hash("hashes", F.col("place"), n).bitwiseXOR(salt).bitwiseXOR(F.lit(n).cast("long")) for n in sizes]
+    if len(sizes) > 1:  # short items too
+        fits = [F.when(F.col("place") + n <= end, h) for n, h in zip(sizes, hs, strict=True)]
+        h = F.explode(F.array(*fits)).alias("h")
+    else:
+        h = hs[0].alias("h")
+    seen = seen.select("doc_id", "text_hash", h, (F.col("place") - begin).alias("pos"))
+    found = seen.join(F.broadcast(own) if small else own, "h").select("doc_id", "text_hash", "item", "size", "pos", "ipos")
 
     # Runs by diagonal; copies of a row count once (equal keys give equal positions).
     runs = (

@@ -82,6 +82,39 @@ def test_names_that_open_a_sentence_other_case_and_numbers_with_separators(spark
     assert [(d, i) for d, i, _ in found(spark, texts, items)] == [(1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (6, 4)]
 
 
+def test_a_name_of_several_words_is_one_name(spark):
+    item = "Alice has 3 apples and 5 pears. Bob gives her 4 plums from his old garden. How many fruits does Alice have left?"
+    two = item.replace("Alice", "Mary Ann").replace("Bob", "Juan Carlos Lee").replace("3 apples", "7 apples").replace("4 plums", "9 plums")
+    texts = [
+        (1, two),
+        (2, "They all live in Paris. " + two),  # names on either side of a full stop are two
+        (3, "Mary Ann has apples. Bob gives plums."),
+    ]
+    assert [(d, i) for d, i, _ in found(spark, texts, [(1, item, 1)])] == [(1, 1), (2, 1)]
+    words = decontaminate._tokens(spark.createDataFrame([(texts[1][1][:60],)], "text string"), "text").first()
+    assert words["wide_raw"][4:7] == ["paris", "mary\x04ann", "has"] and words["raw"][4:8] == ["paris", "mary", "ann", "has"]
+    assert len(words["raw"]) == len(words["tpl"]) and len(words["wide_raw"]) == len(words["wide_tpl"])
+
+
+def test_text_with_the_marks_of_cleaned_texts(spark):
+    """Control characters in a text are white space, as any sign that is no letter or digit."""
+    texts = [(1, "\x01so " + ITEMS[0][1].replace(" has ", "\x02has\x03").replace(" before ", "\x04before ")), (2, "\x01\x02\x03\x04" * 50)]
+    assert [(d, i) for d, i, _ in found(spark, texts)] == [(1, 1)]
+
+
+def test_window_hashes_are_those_of_equal_token_runs(spark):
+    words = ["a", "b", "a", "a", "c", "b", "a", "b", "a", "a", "c"]
+    df = spark.createDataFrame([(1, words), (2, words[5:]), (3, []), (4, ["a"])], "id long, t array<string>")
+    df = df.withColumn("h", decontaminate._token_hashes("t"))
+    for size in (1, 2, 3, 5):
+        rows = decontaminate._listed(df, "h", size, "id").collect()
+        seen = {}
+        for r in rows:
+            own = tuple((words if r["id"] == 1 else words[5:] if r["id"] == 2 else ["a"])[r["ipos"] : r["ipos"] + size])
+            assert len(own) == size and seen.setdefault(own, r["h"]) == r["h"]
+        assert len(set(seen.values())) == len(seen) and len(rows) == sum(max(0, n - size + 1) for n in (11, 6, 0, 1))
+
+
 def test_clean_keeps_the_rest_and_all_columns(spark):
     docs = spark.createDataFrame([(1, "so " + ITEMS[0][1], "en", 1, "x", 2), (2, "fine", None, None, None, None), (None, None, None, None, None, None)], SCHEMA)
     kept = decontaminate.clean(docs, spark.createDataFrame(ITEMS, B))
@@ -119,4 +152,25 @@ def test_whole_items_in_documents_are_found_and_little_else(spark):
                 for i in index.get((n, tuple(w[k : k + n])), ()):
                     want.add((r["doc_id"], i))
     got = {(r["doc_id"], r["item_id"]) for r in queries.op10_decontamination(spark, sf).collect()}
-    assert len(want) > 200 and len(want - got) <= 0.01 * len(want) and len(got - want) <= 0.01 * len(want)
+    assert len(want) > 200 and want <= got and len(got - want) <= 0.01 * len(want)
+
+
+def test_planted_copies_of_real_items_with_other_slots_are_all_found(spark):
+    """Items of sf0.1 given numbers and names, then planted in real documents with all of them replaced."""
+    sf = "/root/testdata/sf0.1"
+    rows = common.table(spark, sf, "benchmark").orderBy("item_id").collect()
+    items, copies = [], []
+    for r in rows:
+        w = (r["text"] or "").split()
+        if len(w) < 20:
+            continue
+        for values, out in ((("Alice", "17", "40", "Bob"), items), (("Mary Ann" if r["item_id"] % 2 else "Zoe", "23", "2.50", "Yusuf"), copies)):
+            v = list(w)
+            for place, value in zip((4, 8, 12, 15), values, strict=True):
+                v[place] = value if place != 12 else value + " km"
+                v[place - 1] = v[place - 1].rstrip(".!?:") .lower()
+            out.append((r["item_id"], " ".join(v)))
+    texts = [r["text"] for r in common.documents(spark, sf).orderBy("doc_id").limit(len(copies)).collect()]
+    docs = spark.createDataFrame([(i, f"{t} {c} {t}") for (i, c), t in zip(copies, texts, strict=True)], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(copies) > 20 and {i for i, _ in copies} <= {r["doc_id"] for r in got if r["doc_id"] == r["item_id"]}
