@@ -2,12 +2,16 @@
 
 Host labels that run words together are split by a unigram Viterbi search, whose word counts come
 from the pages' own visible text; only counts of the labels' substrings are joined in, so nothing
-grows on the driver. Naive Bayes then scores the words of host and path: urls whose segmented words
-meet a small lexicon of spam words are its examples of block, all others of allow, so words that
-keep such company count too.
+grows on the driver. Multinomial naive Bayes then scores the words of host and path, each as often as it
+occurs. Its examples are weak labels: urls among whose words is one of a small lexicon of spam words
+are block, all others allow, so words that keep such company count too and a single such word among
+many innocent ones need not decide.
 
 Defined results: a null url or one without ``://`` has empty host and path and is scored by the
-prior alone (allow); repeated rows get equal verdicts; an empty table gives no rows.
+prior alone (allow); repeated rows get equal verdicts and count as often as they occur; ties of rules go
+to the one given first; urls, labels and texts are read whole, whatever their length (a word within a
+label has at most ``LONGEST`` letters, as a host label has); an empty table gives no rows. Columns besides
+``keep``, url and html are ignored, whatever their names; ``keep`` must not name the result's columns.
 """
 
 from __future__ import annotations
@@ -49,8 +53,9 @@ SPAM_WORDS = tuple(
     "mega pharma pharmacy pill pills porn poker prize promo replica seo sex slots spam viagra win winner xxx".split()
 )
 
-LONGEST = 24  # letters of a word within a label
+LONGEST = 63  # octets that a host label may have, so no word in it is longer
 _UNKNOWN = 10.0
+HOT_SHARE = 256
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -182,17 +187,16 @@ def judge(pages: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES) ->
     urls = materialize(urls, "urls")
     hosts = urls.select("host", "labels").distinct()
     words = segmented_labels(hosts.select(F.explode("labels").alias("label")), pages)
+    # A host's own labels, as often as they stand in it.
     host_words = (
         hosts.select("host", F.explode("labels").alias("label"))
-        .distinct()
         .join(words, "label")
         .groupBy("host")
-        .agg(F.array_distinct(F.flatten(F.collect_list("words"))).alias("words"))
+        .agg(F.flatten(F.collect_list("words")).alias("words"))
     )
     # One row a distinct (host, path, rule) from here on: hot urls collapse before any join.
     groups = urls.groupBy("host", "path", "rule", "tokens").agg(F.count("*").alias("n"))
-    # A token counts once a url, so one long path does not make up a class.
-    tokens = F.array_distinct(F.concat(F.coalesce("words", F.expr("CAST(array() AS array<string>)")), "tokens"))
+    tokens = F.concat(F.coalesce("words", F.expr("CAST(array() AS array<string>)")), "tokens")
     groups = materialize(groups.join(host_words, "host", "left").select("host", "path", "rule", "n", tokens.alias("tokens")), "url-groups")
 
     verdicts = {r.name: r.verdict for r in rules}
@@ -212,11 +216,19 @@ def judge(pages: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES) ->
     sums = learned.agg(F.sum("allow").alias("a"), F.sum("block").alias("b"), F.count("*").alias("v")).first()
     a, b, v = sums["a"] or 0.0, sums["b"] or 0.0, sums["v"]
     odds = F.log((F.col("block") + 1) / F.lit(b + v + 1)) - F.log((F.col("allow") + 1) / F.lit(a + v + 1))
+    # A token that nearly every url has (com, www) would meet its odds in one task: the few tokens with
+    # more than a HOT_SHARE-th of all occurrences, of which there are fewer than that, are broadcast.
+    weighed = learned.select("token", odds.alias("odds"), (F.col("allow") + F.col("block")).alias("n"))
+    hot = F.col("n") * HOT_SHARE > F.lit(a + b)
+    counted = groups.select("host", "path", F.explode("tokens").alias("token")).groupBy("host", "path", "token").agg(F.count("*").alias("times"))
+    counted = counted.join(F.broadcast(weighed.where(hot).select("token", F.col("odds").alias("hot"))), "token", "left")
+    own = F.when(F.col("hot").isNull(), F.col("token")).otherwise(F.concat(F.lit("\u0000"), "host", "path"))
+    cold = weighed.where(~hot).select(F.col("token").alias("at"), "odds")
     scored = (
-        groups.select("host", "path", F.explode("tokens").alias("token"))
-        .join(learned.select("token", odds.alias("odds")), "token")
+        counted.withColumn("at", own)
+        .join(cold, "at", "left")
         .groupBy("host", "path")
-        .agg(F.sum("odds").alias("odds"))
+        .agg(F.sum(F.col("times") * F.coalesce("hot", "odds")).alias("odds"))
     )
     spam_score = F.lit(prior) + F.coalesce("odds", F.lit(0.0))
     by_rule = F.create_map(*[F.lit(x) for kv in verdicts.items() for x in kv])

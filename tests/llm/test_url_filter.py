@@ -1,5 +1,7 @@
 import itertools
 import math
+import re
+from collections import Counter
 
 from starloom.llm import common, queries, url_filter as uf
 
@@ -33,20 +35,72 @@ def test_viterbi_equals_brute_force():
     assert "".join(uf.segment("q" * 5000, counts, total)) == "q" * 5000
 
 
-def test_query_against_rules_and_spam_hosts(spark):
-    sf = "/root/testdata/sf0.01"
-    urls = {r["page_id"]: r["url"] for r in common.table(spark, sf, "pages").collect()}
-    rows = queries.op5_url_filters(spark, sf).collect()
-    assert sorted(r["page_id"] for r in rows) == sorted(urls)
+def brute_scores(rows, verdicts=uf.RULES):
+    """spam_score of every (host, path) by multinomial naive Bayes over whole lists, with plain counters.
+    ``rows``: (url, html)."""
+    words = Counter()
+    for _, html in rows:
+        text = re.sub(r"<(script|style)\b.*?</\1>|<[^>]*>", " ", html or "", flags=re.DOTALL | re.IGNORECASE).lower()
+        words.update(re.findall(r"[^\W\d_]+", text))
+    total = sum(words.values())
+    for w in uf.SPAM_WORDS:
+        words[w] += 1 + total // 10_000
+    split = {}
+    docs = []
+    for url, _ in rows:
+        host, path = uf.split_url(url)
+        tokens = []
+        for label in uf.host_labels(host):
+            if label not in split:
+                split[label] = uf.segment(label, words, total)
+            tokens += split[label]
+        docs.append((host, path, tokens + uf.path_tokens(path)))
+    counts, n = {True: Counter(), False: Counter()}, Counter()
+    for _, _, tokens in docs:
+        block = bool(set(tokens) & set(uf.SPAM_WORDS))
+        counts[block].update(tokens)
+        n[block] += 1
+    v = len(set(counts[True]) | set(counts[False]))
+    size = {c: sum(counts[c].values()) for c in counts}
+    prior = math.log((n[True] + 1) / (n[False] + 2))
+
+    def odds(t):
+        return math.log((counts[True][t] + 1) / (size[True] + v + 1)) - math.log((counts[False][t] + 1) / (size[False] + v + 1))
+
+    return {(h, p): prior + sum(map(odds, tokens)) for h, p, tokens in docs}, {(h, p): set(t) for h, p, t in docs}
+
+
+def check_query(spark, pages, rows, learned=None):
+    want, tokens = brute_scores([(r["url"], r["html"]) for r in pages] if learned is None else [(r[1], r[2]) for r in learned])
+    urls = {r["page_id"]: r["url"] for r in pages}
+    assert sorted({r["page_id"] for r in rows}) == sorted(urls)
+    differs = 0
     for r in rows:
         host, path = uf.split_url(urls[r["page_id"]])
         rule = uf.rule_for(host, path)
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule and rule.name)
-        if rule:
-            assert r["verdict"] == rule.verdict
-        else:
-            spam = bool(set(uf.host_labels(host)) & set(uf.SPAM_WORDS))
-            assert r["verdict"] == ("block" if spam else "allow"), (host, r)
+        assert abs(r["spam_score"] - want[host, path]) < 1e-9 * max(1, abs(want[host, path])), (host, path)
+        assert r["verdict"] == (rule.verdict if rule else "block" if want[host, path] > 0 else "allow")
+        differs += (want[host, path] > 0) != bool(tokens[host, path] & set(uf.SPAM_WORDS))
+    return differs
+
+
+def test_every_score_as_by_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = common.table(spark, sf, "pages").collect()
+    check_query(spark, pages, queries.op5_url_filters(spark, sf).collect())
+
+
+def test_words_count_as_often_as_they_occur(spark, monkeypatch):
+    monkeypatch.setattr(uf, "HOT_SHARE", 8)  # com is hot, most are not
+    rows = [(i, f"http://shop{i}.com/news/news/news/{'free/' if i % 7 == 0 else ''}x", "<p>news shop x free</p>") for i in range(60)]
+    rows += [(100 + i, f"http://win.win.casino{i % 3}.org/free/free/slots", None) for i in range(20)]
+    rows += [(200, "http://news.org/news/news/news/news/news/news/free", None), (201, "http://" + "a" * 40 + "longword" * 3 + ".org/", "longword" * 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    # One spam word among many innocent ones does not decide.
+    assert check_query(spark, pages.collect(), uf.judge(pages, ["page_id"]).collect()) > 0
+    by = {r["page_id"]: r["verdict"] for r in uf.judge(pages, ["page_id"]).collect()}
+    assert by[200] == "allow" and by[103] == "block"
 
 
 def test_defined_results(spark):
@@ -57,5 +111,6 @@ def test_defined_results(spark):
     got = uf.judge(spark.createDataFrame(rows, schema), ["page_id"]).collect()
     by = {r["page_id"]: r for r in got}
     assert len(got) == len(rows) and (by[1]["host"], by[1]["path"], by[1]["rule"], by[1]["verdict"]) == ("", "", None, "allow")
-    assert by[2]["verdict"] == "block" and by[5]["verdict"] == "allow" and by[None]["verdict"] == "allow" and by[100]["verdict"] == "allow"
+    assert by[2]["verdict"] == "block" and by[5]["verdict"] == "allow" and by[None]["rule"] == "com/"
+    check_query(spark, [r for r in spark.createDataFrame(rows, schema).collect() if r["page_id"]], [r for r in got if r["page_id"]], rows)
     assert uf.judge(spark.createDataFrame([], schema), ["page_id"]).count() == 0
