@@ -6,13 +6,16 @@ the learned lexicon, of the word itself; transitions between neighbouring words
 Forward-backward gives every word's label probabilities, so code-switched texts are read word by
 word; a document's language is the one with the largest share of letters.
 
-Training: at most ``SAMPLE`` documents a language (the smallest by a hash of the id), ``WINDOWS``
-windows of ``WINDOW`` words each; windows of different languages are strung together, so the model
-sees switches. The bound keeps the sample small on the driver; prediction reads whole texts of all
-rows.
-
-Defined results: null texts and texts without a letter are ``und`` with score 0; repeated rows get
-equal predictions; without a usable training row everything is ``und``; an empty table gives no rows.
+Training: at most ``SAMPLE`` documents a language and ``TOTAL`` in all (the smallest by a hash of the
+id), ``WINDOWS`` windows of ``WINDOW`` words each; a token of more than ``LONGEST`` letters, as in scripts
+without spaces, is learned in pieces. Windows of different languages are strung together, so the
+model sees switches. The bounds keep the sample and the fit small on the driver; prediction reads whole
+texts of all rows.
+
+Defined results: null texts and texts without a letter are ``und`` with score 0; very long texts and
+words are read whole; repeated rows get equal predictions; of languages with equal shares the first by
+name is taken; without a usable training row everything is ``und``; an empty table gives no rows. Columns
+besides ``keep``, doc_id, text and lang are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import claim, slices, word_index
 
-SAMPLE = 800
+SAMPLE, TOTAL = 800, 6400
 WINDOWS, WINDOW = 3, 20
 LEXICON_COUNT = 4
 BUCKETS = 1 << 17
@@ -137,9 +140,10 @@ def forward_backward(emissions: np.ndarray, starts: np.ndarray, lengths: np.ndar
         if t + 1 < longest:
             m = active[t + 1]
             after = e[starts[:m] + t + 1] * beta[:m]
-            if pairs:
-                both = alpha[starts[:m] + t][:, :, None] * a[None] * after[:, None, :]
-                seen += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            if pairs:  # summed over sequences without a table of sequences x labels x labels
+                before = alpha[starts[:m] + t]
+                before = before / ((before @ a) * after).sum(axis=1, keepdims=True)
+                seen += a * (before.T @ after)
             b = after @ a.T
             beta[:m] = b / b.sum(axis=1, keepdims=True)
         p = alpha[at] * beta[:n]
@@ -196,12 +200,17 @@ def fit(windows: list[tuple[str, list[str]]], seed: int = 1) -> Model:
     return Model(labels, theta[0].astype(np.float32), theta[1], lexicon)
 
 
+def pieces(word: str) -> list[str]:
+    """A word, or a long one in pieces of at most ``LONGEST`` letters."""
+    return [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)] if len(word) > LONGEST else [word]
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of each text, at places spread over all of it."""
     for b in batches:
         out: list[tuple[str, list[str]]] = []
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-            own = [w for w in text_words(text) if len(w) <= LONGEST]
+            own = [p for w in text_words(text) for p in pieces(w)]
             step = max(WINDOW, len(own) // WINDOWS)
             out += [(lang, own[i : i + WINDOW]) for i in range(0, min(len(own), step * WINDOWS), step)]
         yield pa.RecordBatch.from_pydict(
@@ -213,10 +222,15 @@ def train(docs: DataFrame, usable: Column) -> Model | None:
     """Learn from a bounded sample of the rows that ``usable`` admits and that have a language."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     ids = rows.where(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang").distinct()
-    # Spark applies the limit within each task first: SAMPLE ids a language are shuffled a task.
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n"))  # one row a language
+    most = max(1, min(SAMPLE, TOTAL // max(1, sizes.count())))
+    # A share of each language by hash first, three times what is wanted, so that no language is ranked
+    # whole in one task.
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("n") <= 3 * most
+    some = ids.join(F.broadcast(sizes), "lang").where(share)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = ids.withColumn("place", place).where(F.col("place") <= SAMPLE).select("doc_id", "lang")
-    texts = rows.join(F.broadcast(picked), ["doc_id", "lang"])  # at most SAMPLE pairs a language
+    picked = some.withColumn("place", place).where(F.col("place") <= most).select("doc_id", "lang")
+    texts = rows.join(F.broadcast(picked), ["doc_id", "lang"])  # at most TOTAL pairs, or one a language
     found = texts.select("lang", "text").mapInArrow(_windows, "lang string, words array<string>").collect()
     windows = sorted((r["lang"], list(r["words"])) for r in found if r["words"])
     return fit(windows) if windows else None

@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from starloom.llm import common, language_id as li, queries
@@ -78,3 +79,34 @@ def test_defined_results(spark):
     assert li.train(docs, F.lit(False)) is None
     assert {r["lang_pred"] for r in li.predict(docs, None, ["doc_id"]).collect()} == {"und"}
     assert li.predict(docs.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_a_script_without_spaces_is_learned(spark):
+    """Whole sentences are one token there; they are learned in pieces and predicted whole."""
+    rng = random.Random(4)
+    spaceless = ["".join(rng.choice("日本語文字山川水火木金土人大小中") for _ in range(200)) for _ in range(60)]
+    spaced = [" ".join(rng.choice(["the", "cat", "sat", "on", "mat", "dog", "ran"]) for _ in range(50)) for _ in range(60)]
+    rows = [(i, t, "ja") for i, t in enumerate(spaceless)] + [(100 + i, t, "en") for i, t in enumerate(spaced)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.train(docs, F.col("doc_id") % 2 == 0)
+    assert model.labels == ["en", "ja"]
+    got = {r["doc_id"]: r["lang_pred"] for r in li.predict(docs, model, ["doc_id"]).collect()}
+    assert got == {i: lang for i, _, lang in rows}
+    assert li.pieces("x" * 100) == ["x" * 40, "x" * 40, "x" * 20] and li.pieces("ab") == ["ab"]
+
+
+def test_ties_go_to_the_first_label():
+    model = li.Model(["x", "y"], np.zeros((li.BUCKETS, 2), np.float32), np.zeros((2, 2)), set())
+    labels, score = li.Tagger(model)(pa.array(["aa bb", "", None, "12 !", "c"]))
+    assert labels == ["x", "und", "und", "und", "x"] and np.allclose(score, [0.5, 0, 0, 0, 0.5])
+
+
+def test_many_languages_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(li, "SAMPLE", 20)
+    monkeypatch.setattr(li, "TOTAL", 40)
+    rows = [(i, f"w{i % 10} v{i % 10} u{i % 10}", f"l{i % 10}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.train(docs, F.lit(True))
+    assert model.labels == sorted({r[2] for r in rows})
+    got = {r["doc_id"]: r["lang_pred"] for r in li.predict(docs, model, ["doc_id"]).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) == 300
