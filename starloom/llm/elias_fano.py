@@ -94,17 +94,30 @@ class EliasFano:
         word = np.searchsorted(self._zeros, k, side="right") - 1
         return word * 64 + self._select_in_word(~self.high[word], k - self._zeros[word]) - k
 
-    def find(self, x: np.ndarray) -> np.ndarray:
+    def find(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
         """The place of each value, or -1: a successor search among the values with the same high
-        part, whose ends are found by select over the zeros."""
+        part, whose ends are found by select over the zeros. With ``first`` and ``last`` it stays within
+        these places; where they leave one place only, that is looked at."""
         x = np.asarray(x, np.uint64)
         out = np.full(len(x), -1, np.int64)
         if not self.n or not len(x):
             return out
+        if first is not None:
+            one = np.flatnonzero(last - first == 1)
+            out[one] = np.where(self.access(first[one]) == x[one], first[one], -1)
+            more = np.flatnonzero(last - first > 1)
+            if len(more):
+                out[more] = self._search(x[more], first[more], last[more])
+            return out
+        return self._search(x, np.zeros(len(x), np.int64), np.full(len(x), self.n))
+
+    def _search(self, x: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        out = np.full(len(x), -1, np.int64)
         high, low = (x >> np.uint64(self.bits)).astype(np.int64), x & np.uint64((1 << self.bits) - 1)
-        a, end = np.zeros(len(x), np.int64), self._after_zero(high)
+        a, end = np.zeros(len(x), np.int64), np.minimum(self._after_zero(high), last)
         some = np.flatnonzero(high > 0)
         a[some] = self._after_zero(high[some] - 1)
+        a = np.maximum(a, first)
         b = end.copy()
         live = np.flatnonzero(a < b)
         while len(live):
