@@ -16,8 +16,9 @@ for one block of queries, which returns its k best a query; blocks are bounded b
 
 Defined results: vectors that are null, zero, of another length than the most common one, or hold a
 null or non-finite component take no part, as query or candidate; fewer than k other rows: all of
-them; rows of equal id and vector are one row, and the query's own id is no candidate; a null id
-takes no part; an empty table gives no rows.
+them; rows of equal id and vector are one row, and the query's own id is no candidate; ties of the
+cosine go to the smaller id; a null id takes no part; an empty table gives no rows. Columns besides vec_id
+and the vector are ignored, whatever their names; vectors of any length are compared whole.
 """
 
 from __future__ import annotations

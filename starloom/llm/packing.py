@@ -13,8 +13,10 @@ Only the histogram (bounded by the window) reaches the driver; the plan is a tab
 per length. A document finds its place by its rank among the documents of its length, so no group of
 equal lengths is gathered anywhere.
 
-Defined results: null and empty texts hold the end id alone; repeated rows are packed each for
-itself; an empty table gives no pieces.
+Defined results: null and empty texts hold the end id alone; very long texts fill as many windows as
+they need; repeated rows and rows of equal length (ties, which go by the order they were written in) are
+packed each for itself; a null doc_id stays null; an empty table gives no pieces. Columns besides doc_id
+and text are ignored, whatever their names.
 """
 
 from __future__ import annotations

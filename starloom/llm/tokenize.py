@@ -29,14 +29,14 @@ class Encoder:
     """``encode_all(texts)``: per text its ids as little-endian unsigned 16-bit bytes.
 
     A word of letters with sentence signs after it is looked up by its lower-case letters; other
-    words are encoded as they are. ``LIMIT`` bounds the memo that stays between batches. With ``plain``
-    the strings of special tokens are ordinary text, else (the tokenizer's own rule) they give their ids.
+    words are encoded as they are. ``LIMIT`` bounds the memo that stays between batches. The strings of
+    special tokens give their ids, by the tokenizer's own rule; with ``plain`` they are ordinary text.
     """
 
     LIMIT = 500_000
     GROUP = 1000
 
-    def __init__(self, path: str, plain: bool = True):
+    def __init__(self, path: str, plain: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
         vocab = self.tokenizer.get_vocab()
@@ -119,8 +119,8 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder a worker process, by the tokenizer's own rule: tasks that follow find its words known."""
+    """One encoder a worker process: tasks that follow find its words known."""
     claim("encoder", _ENCODERS.clear)
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path, plain=False)
+        _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

@@ -14,12 +14,15 @@ def brute_ids(tok, text):
 
 def test_word_memo_equals_whole_texts():
     tok = Tokenizer.from_file(tokenize.tokenizer_path())
-    tok.encode_special_tokens = True
     texts = ["", None, "a b c \x1cq ́x İI ΣΑΣ it's IT'S 12½ ²³ Ⅷ x<|startoftext|>y \x85z​", "日本語 テ",
              "á ́b é é.", " \n\t ", "don't  we'll\x0bq'\x0cs ...!? A.B. Hello, hello HELLO!!", "word " * 40_000]
     got = tokenize.Encoder(tokenize.tokenizer_path()).encode_all(texts)
     for t, b in zip(texts, got, strict=True):
         assert np.frombuffer(b, "<u2").tolist() == brute_ids(tok, t)
+    # On request the strings of special tokens are plain text.
+    tok.encode_special_tokens = True
+    got = tokenize.Encoder(tokenize.tokenizer_path(), plain=True).encode_all(texts)
+    assert [np.frombuffer(b, "<u2").tolist() for b in got] == [brute_ids(tok, t) for t in texts]
 
 
 def test_strings_of_special_tokens_give_their_ids():
