@@ -168,6 +168,14 @@ def dim_date_from_lines(lines: DataFrame) -> DataFrame:
     return keys.select(*dim_date_columns(day))
 
 
+def dim_date_from_orders(orders: DataFrame, items: DataFrame, min_price: float) -> DataFrame:
+    """The same dimension without the lines: the dates of orders that have an item above ``min_price``.
+    A semi join needs an item's order id and price only and gives at most one row an order."""
+    priced = items.select("order_id", lenient_double("price").alias("price")).where(F.col("price") > F.lit(min_price))
+    dated = orders.select("order_id", "date_key").where(F.col("date_key").isNotNull())
+    return dim_date_from_lines(dated.join(priced.select("order_id"), "order_id", "left_semi"))
+
+
 def clean_orders(
     orders: DataFrame,
     items: DataFrame,
@@ -215,7 +223,7 @@ def clean_orders(
         F.lit(1).alias("quantity"),
         *extra,
     )
-    return OrderOutputs(lines, dim_date_from_lines(lines))
+    return OrderOutputs(lines, dim_date_from_orders(o, items, params.min_price))
 
 
 # ----------------------------------------------------------------------------- products

@@ -38,11 +38,17 @@ def partition_position() -> Column:
     return _position(F.spark_partition_id(), F.monotonically_increasing_id())
 
 
-def assign_surrogate_keys(df: DataFrame, key: str, order: Sequence[str | Column], start: int = 0) -> DataFrame:
-    """Add ``key = start + rank`` where rank is 1..n over ``order`` (a total order over the rows)."""
+def assign_surrogate_keys(
+    df: DataFrame, key: str, order: Sequence[str | Column], start: int = 0, stored: bool = False
+) -> DataFrame:
+    """Add ``key = start + rank`` where rank is 1..n over ``order`` (a total order over the rows).
+
+    The rows are read by the range sampler and by the sort; unless they come from a written table
+    (``stored``) they are written first.
+    """
     spark = df.sparkSession
     cols = list(df.columns)
-    src = cut_lineage(df, label="unkeyed")  # read by the range sampler and by the sort
+    src = df if stored else cut_lineage(df, label="unkeyed")
     ranked = cut_lineage(
         src.sort(*order)
         .withColumn(_PID, F.spark_partition_id())

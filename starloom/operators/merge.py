@@ -84,7 +84,7 @@ def scd1_merge(
     )
     fresh = merged.where(~F.col("_old")).drop("_old", surrogate)
     first = max_key(target, surrogate) if start is None else start
-    inserted = assign_surrogate_keys(fresh, surrogate, [key], start=first).select(*target.columns)
+    inserted = assign_surrogate_keys(fresh, surrogate, [key], start=first, stored=True).select(*target.columns)
     return merged.where("_old").drop("_old").unionByName(inserted), inserted
 
 
