@@ -4,9 +4,9 @@ Level 1 holds the words by their 64-bit hashes, in hash-range shards, with their
 the successors of every word, level 3 those of every pair: per shard the contexts (an Elias-Fano
 sequence), Elias-Fano pointers into the successors, one Elias-Fano sequence of context-relative
 successors (context place * vocabulary + word), a quantised log10 probability for each, and on level 3 a
-quantised backoff for each context. A query finds the context's place, by the pointers the range of its
-successors, and in this the successor by select over the high bits; a pair's place is the context of the
-next level.
+quantised backoff for each context. A query finds the context's place, then its successor by select over
+the high bits (the pointers, which list a context's successors, would cost a score two more selects a
+context and find the same); a pair's place is the context of the next level.
 
 Probabilities are smoothed with a Dirichlet prior from order to order:
 p(w) = (n(w) + 1) / (N + V + 1), p(w | c) = (n(c, w) + KAPPA p(w | shorter c)) / (n(c) + KAPPA); an
@@ -304,17 +304,11 @@ class Successors:
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places of the successors, places of the contexts), -1 where unseen; word -1 is unknown."""
         new = np.diff(context, prepend=-1) != 0  # queries come sorted: equal contexts stand together
-        at, own = self.contexts.find(context[new]), np.cumsum(new) - 1
-        seen = np.flatnonzero(at >= 0)
-        first, last = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        first[seen] = self.pointers.access(at[seen]).astype(np.int64)
-        last[seen] = self.pointers.access(at[seen] + 1).astype(np.int64)
-        place = at[own]
+        place = self.contexts.find(context[new])[np.cumsum(new) - 1]
         out = np.full(len(context), -1, np.int64)
         known = np.flatnonzero((place >= 0) & (word >= 0))
         x = place[known].astype(np.uint64) * np.uint64(self.vocabulary) + word[known].astype(np.uint64)
-        # The search stays among the context's own successors.
-        out[known] = self.successors.find(x, first[own[known]], last[own[known]])
+        out[known] = self.successors.find(x)
         return out, place
 
     def successors_of(self, context: int) -> tuple[np.ndarray, np.ndarray]:

@@ -110,15 +110,3 @@ def test_probabilities_of_a_context_sum_to_one():
     p = lambda w: (one[w] + 1) / (n + v + 1)
     total = sum((two["a", w] + k * p(w)) / (5 + k) for w in [*one, "unknown"])
     assert total <= 1 + 1e-12
-
-
-def test_search_within_ranges_of_places():
-    rng = np.random.default_rng(2)
-    values = np.unique(rng.integers(0, 100_000, 5000)).astype(np.uint64)
-    ef = EliasFano.build(values, 100_000)
-    x = np.concatenate([values[::3], rng.integers(0, 100_000, 500).astype(np.uint64)])
-    first = rng.integers(0, len(values), len(x))
-    last = np.minimum(first + rng.integers(0, 40, len(x)), len(values))
-    want = [next((i for i in range(a, b) if values[i] == v), -1) for v, a, b in zip(x, first, last, strict=True)]
-    assert ef.find(x, first, last).tolist() == want and max(want) >= 0
-    assert ef.find(x).tolist() == [int(np.searchsorted(values, v)) if v in set(values.tolist()) else -1 for v in x]
