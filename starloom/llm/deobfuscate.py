@@ -13,6 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable
+from itertools import chain
 
 # The letters that digits and signs commonly stand for.
 LEET: dict[str, str] = {
@@ -173,15 +174,18 @@ class Restorer:
         found: set[str] = set()
         memo = self.memo
         low = text.lower()
-        for run in set(_PARTS.findall(low)):
+        runs = set(_PARTS.findall(low))
+        for run in runs:
             parts = _SEPARATOR.split(run)
             if sum(len(p) == 1 for p in parts) >= 2:
                 found.update(decode_spaced(parts, self.model))
-        for t in set(joined(low).split()):
-            known = memo.get(t)
-            if known is None:
-                if len(memo) >= self.LIMIT:
-                    memo.clear()
-                known = memo[t] = self.token(t)
-            found.update(known)
+        # Letters spaced out one by one are such a run too.
+        tokens = set((joined(low) if runs else low).split())
+        new = tokens.difference(memo)
+        if len(memo) + len(new) > self.LIMIT:
+            memo.clear()
+            new = tokens
+        for t in new:
+            memo[t] = self.token(t)
+        found.update(chain.from_iterable(map(memo.__getitem__, tokens)))
         return found

@@ -46,6 +46,15 @@ def _bit(bits: Column, place: Column) -> Column:
     return F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1
 
 
+def may_be_among(rows: DataFrame, bitmaps: DataFrame, slots: int, keys: Sequence[str]) -> DataFrame:
+    """``rows`` without those whose key certainly is not among the keys of ``bitmaps`` (:func:`key_bitmaps`
+    with ``slots``), which are broadcast; a few others stay as false alarms. No row is moved."""
+    screen = F.broadcast(bitmaps.select(F.col("slot").alias("__slot"), F.col("bits").alias("__bits")))
+    at = _place(keys, slots)
+    found = rows.join(screen, F.floor(at / SLOT_BITS).cast("long") == F.col("__slot"))
+    return found.where(_bit(F.col("__bits"), F.pmod(at, F.lit(SLOT_BITS)))).select(*rows.columns)
+
+
 def screened(batch: DataFrame, screen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``batch`` with ``hits``: the loads (``load_version`` of ``screen``) that may hold the row's key; empty
     if none can. ``batch`` must be unique by ``keys``.

@@ -101,3 +101,18 @@ def test_defined_results(spark):
     none = toxicity.train(docs, labels.limit(0), F.lit(True))
     assert {r["score"] < 1e-9 for r in toxicity.score(docs, none, ["doc_id"]).collect()} == {True}
     assert toxicity.score(docs.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_every_label_is_learned_from(spark):
+    # 20,000 clean documents, more than any sample held: a word that only a few of the toxic ones hold is learned too.
+    rows = [(i, "rareslur now" if i % 2500 == 0 else "you idiot now" if i % 10 == 0 else f"fine words n{i % 50}", int(i % 10 == 0)) for i in range(24_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs = table.select("doc_id", "text")
+    assert toxicity.labelled_texts(docs, table.select("doc_id", "toxic"), F.lit(True)).count() == len(rows)
+    # Labels without a document, documents without a label and null ids are left out; repeated rows stay.
+    few = table.where("doc_id < 100").select("doc_id", "toxic").unionByName(spark.createDataFrame([(None, 1), (10**9, 1)], "doc_id long, toxic int"))
+    twice = docs.where("doc_id < 200").unionByName(docs.where("doc_id = 5")).unionByName(spark.createDataFrame([(None, "x")], "doc_id long, text string"))
+    assert toxicity.labelled_texts(twice, few, F.lit(True)).count() == 101
+    model = toxicity.train(docs, table.select("doc_id", "toxic"), F.lit(True))
+    assert model.chars.tri["^^f"] == 21_600 and sum(model.chars.tri[g] for g in ("^^r", "^^y")) == 2400
+    assert "=rareslur" in model.weight
