@@ -1,4 +1,7 @@
+import zlib
+
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from starloom.llm import common, decontaminate, secrets, tokenize
@@ -63,3 +66,17 @@ def test_edge_rows_pass_all_stages(spark):
 
 def test_near_duplicates_of_an_empty_selection(spark):
     assert near_duplicates(common.documents(spark, SF).where("false"), 80).count() == 0
+
+
+def test_toxicity_stage_counts_every_labelled_text(spark, tmp_path, monkeypatch):
+    # More clean rows than any sample held; the stage's model has counted the words of them all.
+    rows = [(i, "you idiot now" if i % 10 == 0 else "fine words here", int(i % 10 == 0)) for i in range(21_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    table.select("doc_id", "toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = table.select("doc_id", "text", *[F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "long"))])
+    seen, score = [], cp.toxicity.score
+    monkeypatch.setattr(cp.toxicity, "score", lambda d, model, *a: seen.append(model) or score(d, model, *a))
+    kept = cp.drop_toxic(spark, docs, str(tmp_path))
+    assert kept.count() == 18_900
+    learned = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _, toxic in rows if not toxic)
+    assert learned > 10_000 and seen[0].chars.tri["^^f"] == learned
