@@ -23,7 +23,7 @@ from starloom.operators.keys import assign_small_keys, max_key
 from starloom.operators.merge import append_once, insert_new, scd1_merge
 from starloom.params import Params
 from starloom.schemas import STAR_SCHEMAS
-from starloom.session import cut_lineage
+from starloom.session import COMPACT, cut_lineage
 from starloom.sources.json_records import flatten_api_products, has_keys, validate_records
 from starloom.sources.warehouse import empty_table
 
@@ -88,7 +88,7 @@ def stage(staged: Staged, staging_root: str | None = None, counts: dict[str, int
         schema = df.schema
         df, obs = observed(df, f"staged_{name}")
         if staging_root is None:
-            out = cut_lineage(df, label=f"staged-{name}")
+            out = cut_lineage(df, f"staged-{name}", COMPACT)
         else:
             out = df.sparkSession.read.schema(schema).parquet(write_staging(df, f"{staging_root}/{name}"))
         if counts is not None:
@@ -199,7 +199,7 @@ def load_star(
         tagged = tag_fact_lines(_with_order(staged.lines), *lookups)
         if counters is not None:
             tagged = counters(tagged, "facts", **reason_counts())
-        rows, report.rejects = route_fact_lines(cut_lineage(tagged, "tagged-lines"))
+        rows, report.rejects = route_fact_lines(cut_lineage(tagged, "tagged-lines", COMPACT))
     else:
         rows = resolve_fact_keys(_with_order(staged.lines), *lookups)
     fact_orders, report.inserted["fact_orders"] = append_once(
@@ -221,4 +221,4 @@ def materialize(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
     Later readers (quality checks, reports) then scan the loaded rows instead of re-running the
     load, and a lost executor cannot force a recomputation of the whole pipeline.
     """
-    return {name: cut_lineage(df, label=name) for name, df in star.items()}
+    return {name: cut_lineage(df, name, COMPACT) for name, df in star.items()}

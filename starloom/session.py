@@ -94,7 +94,11 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/starloom-{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, label: str = "table") -> DataFrame:
+# What holds a row a fact line is written so: a third smaller than with Parquet's default.
+COMPACT = "zstd"
+
+
+def cut_lineage(df: DataFrame, label: str = "table", compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the reliable checkpoint folder and read it back.
 
     One computation of the plan (``DataFrame.checkpoint`` computes it twice: once for the
@@ -103,7 +107,7 @@ def cut_lineage(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     # An empty result writes no data files: read back with the known schema.
     return spark.read.schema(df.schema).parquet(path)
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.text import na_to_null
 from starloom.schemas import REQUIRED_COLUMNS
+from starloom.session import COMPACT
 
 ORD = "_ord"
 
@@ -101,7 +102,7 @@ def land_raw(
                 counts[name] = df.sparkSession.read.parquet(path).count()
             continue
         df_obs, obs = observed(df, f"raw_{name}")
-        df_obs.write.mode("overwrite").parquet(path)
+        df_obs.write.mode("overwrite").parquet(path, compression=COMPACT)
         if counts is not None:
             counts[name] = int(obs.get["rows"])
         out[name] = path

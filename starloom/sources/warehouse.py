@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from starloom.frames import empty_frame, rows_frame
 from starloom.schemas import STAR_SCHEMAS
+from starloom.session import COMPACT
 
 COMMITS = "_commits"
 COMMIT_SCHEMA = "version long, table string, rows long, committed_at timestamp, buckets int, max_key long"
@@ -35,7 +36,7 @@ LOAD_VERSION = "load_version"
 
 
 def write_staging(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=COMPACT)
     return path
 
 

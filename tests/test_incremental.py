@@ -364,3 +364,30 @@ def test_star_of_a_crashed_load_is_the_one_before(spark, fixture_dir, tmp_path):
     assert {r.price for r in read_star(spark, cfg.warehouse_root)["fact_orders"].collect()} == {41.75, 260.4, 18.99, 77.07, 6.35}
     assert run_pipeline(spark, cfg, Params(), T2, steps=("load",)).version == 3
     assert read_star(spark, cfg.warehouse_root)["fact_orders"].count() == 5
+
+
+def test_sources_of_two_loads_share_their_files(spark, tmp_path):
+    from starloom.plans import incremental
+    from starloom.plans import testdata as td
+    from starloom.sources.csv import ORD, read_csv
+
+    sf = str(tmp_path)
+    lines = [(i % 7, 1 + i % 3, (i * 37) % 50, i % 9, "R" if i % 4 == 0 else "N", i + 0.5, 2.0, dt.datetime(1997, 1, 1 + i % 20)) for i in range(400)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_returnflag string, l_extendedprice double, l_quantity double, l_shipdate timestamp").write.parquet(f"{sf}/lineitem.parquet")
+    orders = [(i, i, "F", dt.datetime(1997 + i % 2, 5, 1), "1-URGENT") for i in range(7)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{sf}/orders.parquet")
+    spark.createDataFrame([(i, f"c{i}", "AUTO", 1.0, i) for i in range(7)], "c_custkey long, c_name string, c_mktsegment string, c_acctbal double, c_nationkey long").write.parquet(f"{sf}/customer.parquet")
+    spark.createDataFrame([(i, f"p{i}", "LARGE", 3, 1.5) for i in range(50)], "p_partkey long, p_name string, p_type string, p_size int, p_retailprice double").write.parquet(f"{sf}/part.parquet")
+    spark.createDataFrame([(i, i % 7, "click", dt.datetime(2024, 1, 1)) for i in range(20)], "event_id long, user_id long, event_type string, ts timestamp").write.parquet(f"{sf}/events.parquet")
+    first = incremental.write_sources(spark, sf, f"{sf}/out", early_only=True)
+    second = incremental.write_sources(spark, sf, f"{sf}/out", early_only=False, others=first)
+    assert {n for n in first.sources if first.sources[n] != second.sources[n]} == {"orders"}
+    assert second.order_events == first.order_events and second.api_products == first.api_products
+    assert read_csv(spark, first.sources["orders"], "orders").count() == 4 and read_csv(spark, second.sources["orders"], "orders").count() == 7
+    files = [f for folder in second.sources.values() for f in spark.read.format("binaryFile").load(folder).select("path").collect()]
+    assert files and all(f["path"].endswith(".csv.gz") for f in files)
+    # In input order, all of them.
+    got = [r["product_id"] for r in read_csv(spark, second.sources["order_items"], "order_items").orderBy(ORD).collect()]
+    assert got == [str(p) for p in sorted(r[2] for r in lines)]
+    want = td.raw_order_items(spark, sf).select("order_id", "product_id", "price")
+    assert sorted(map(tuple, want.collect())) == sorted((r["order_id"], r["product_id"], r["price"] or "NaN") for r in read_csv(spark, second.sources["order_items"], "order_items").collect())
