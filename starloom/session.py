@@ -94,7 +94,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/starloom-{label}-{uuid.uuid4().hex}"
 
 
-# What holds a row a fact line is written so: a third smaller than with Parquet's default.
+# What holds a row a fact line is written so: smaller than with Parquet's default.
 COMPACT = "zstd"
 
 
