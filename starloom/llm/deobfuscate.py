@@ -36,9 +36,10 @@ _RUN = re.compile(r"(.)\1{2,}", re.DOTALL)
 
 class CharModel:
     """Trigram model over letters with ``^`` before and ``$`` after a word, interpolated with
-    bigrams and unigrams. Its size is bounded by the alphabet, not by the corpus."""
+    bigrams and unigrams. Its size is bounded by the alphabet, not by the corpus. ``bi`` and ``one`` count the
+    endings of all trigrams where ``counts`` holds only some."""
 
-    def __init__(self, counts: dict[str, int]):
+    def __init__(self, counts: dict[str, int], bi: dict[str, int] | None = None, one: dict[str, int] | None = None):
         self.tri: dict[str, int] = {}
         self.ctx: Counter[str] = Counter()
         self.bi: Counter[str] = Counter()
@@ -48,6 +49,10 @@ class CharModel:
             self.ctx[gram[:2]] += n
             self.bi[gram[1:]] += n
             self.one[gram[2]] += n
+        if bi is not None:
+            self.bi = Counter(bi)
+        if one is not None:
+            self.one = Counter(one)
         self.first: Counter[str] = Counter()
         for gram, n in self.bi.items():
             self.first[gram[0]] += n

@@ -118,6 +118,22 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"gram": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
 
 
+def char_model(grams: DataFrame) -> CharModel:
+    """The model of all trigrams (gram, n), each once. They are bounded by the alphabet; the most frequent keep
+    the driver's part small, the shorter ones are counted over all."""
+
+    def most(rows: DataFrame) -> dict[str, int]:
+        return {r["gram"]: r["n"] for r in rows.orderBy(F.desc("n"), "gram").limit(GRAMS).collect()}
+
+    def ending(size: int) -> DataFrame:
+        return grams.groupBy(F.substring("gram", 4 - size, size).alias("gram")).agg(F.sum("n").alias("n"))
+
+    tri = most(grams)
+    if len(tri) < GRAMS:  # all of them
+        return CharModel(tri)
+    return CharModel(tri, most(ending(2)), {r["gram"]: r["n"] for r in ending(1).collect()})
+
+
 COUNTS = ("c0", "t0", "c1", "t1")  # clean and toxic documents in either half
 
 
@@ -224,9 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     half = F.when(F.xxhash64(F.lit(7), "doc_id") % 2 == 0, 0).otherwise(1).alias("half")
     rows = materialize(labelled_texts(docs, labels.select("doc_id", "toxic"), usable).select("text", "toxic", half), "toxicity-labelled", "zstd")
     grams = rows.select("text").mapInArrow(_count_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    # Trigrams of letters: bounded by the alphabet; the most frequent keep the driver's part small.
-    top = grams.orderBy(F.desc("n"), "gram").limit(GRAMS).collect()
-    model = Model(CharModel({r["gram"]: r["n"] for r in top}))
+    model = Model(char_model(materialize(grams, "toxicity-grams")))
     # Restored once; counted and weighed from there.
     rows = materialize(rows.mapInArrow(_restore(model.chars), "words string, toxic int, half int"), "toxicity-words", "zstd")
     counted = (

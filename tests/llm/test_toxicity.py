@@ -116,3 +116,16 @@ def test_every_label_is_learned_from(spark):
     model = toxicity.train(docs, table.select("doc_id", "toxic"), F.lit(True))
     assert model.chars.tri["^^f"] == 21_600 and sum(model.chars.tri[g] for g in ("^^r", "^^y")) == 2400
     assert "=rareslur" in model.weight
+
+
+def test_shorter_grams_are_counted_over_all_trigrams(spark, monkeypatch):
+    rows = [(i, f"{'good' if i % 4 else 'idiot'} {chr(97 + i % 26) * 2}{chr(97 + i * 7 % 26)}", int(i % 4 == 0)) for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    train = lambda: toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"), F.lit(True)).chars
+    whole = train()
+    monkeypatch.setattr(toxicity, "GRAMS", 40)
+    few = train()
+    assert len(whole.tri) > len(few.tri) == 40 and set(few.tri.items()) < set(whole.tri.items())
+    # Single signs are as many as in all trigrams; of bigrams the most frequent, each with its whole count.
+    assert few.one == whole.one and few.total == whole.total
+    assert len(few.bi) == 40 and set(few.bi.items()) < set(whole.bi.items())
