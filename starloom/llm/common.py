@@ -29,6 +29,7 @@ __all__ = [
     "slices",
     "table",
     "whole_text",
+    "word_codes",
     "word_index",
     "words",
 ]
@@ -120,21 +121,27 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def word_index(texts: pa.Array, lower: bool = False) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(distinct words, the number of each word in turn, words per text) of a column of texts, split
-    where :func:`words` splits. Only the distinct words become Python objects."""
+def word_codes(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words as binary, the number of each word in turn, words per text) of a column of texts, split
+    where :func:`words` splits. No word becomes a Python object."""
     texts = texts.cast(pa.string()).fill_null("")
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     coded = split.flatten().dictionary_encode()
-    known = coded.dictionary.cast(pa.binary()).to_pylist()
+    known = coded.dictionary.cast(pa.binary())
     numbers = coded.indices.to_numpy(zero_copy_only=False)
     offsets = split.offsets.to_numpy().astype(np.int64)
     offsets -= offsets[0]
-    if b"" in known:  # before leading and after trailing white space
-        empty = known.index(b"")
+    empty = pc.index(known, pa.scalar(b"", pa.binary())).as_py()
+    if empty >= 0:  # before leading and after trailing white space
         kept = numbers != empty
         offsets = np.concatenate([[0], np.cumsum(kept)])[offsets]
         numbers = numbers[kept]
         numbers = numbers - (numbers > empty)
-        known.pop(empty)
+        known = pa.concat_arrays([known.slice(0, empty), known.slice(empty + 1)])
     return known, numbers, np.diff(offsets)
+
+
+def word_index(texts: pa.Array, lower: bool = False) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """:func:`word_codes` with the distinct words as a list; only these become Python objects."""
+    known, numbers, sizes = word_codes(texts, lower)
+    return known.to_pylist(), numbers, sizes

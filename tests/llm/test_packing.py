@@ -33,6 +33,17 @@ def test_strings_of_special_tokens_give_their_ids():
     assert np.frombuffer(got[0], "<u2").tolist() == [343, 49407, 344, 2]
 
 
+def test_words_of_signs_and_digits_are_looked_up_by_their_pieces():
+    tok = Tokenizer.from_file(tokenize.tokenizer_path())
+    enc = tokenize.Encoder(tokenize.tokenizer_path())
+    texts = ["Re%%% it's we'LL don't. 'tis '' a'b 1,234.5 x=<y> <| |> <|endoftext|>x", "ÀÉÎõü Straße. ÿ!? İstanbul ΣΑΣ. \u00b5m ªº naïve... cafe\u0301 ×÷", None,
+             "\x00 a\x1cb \x7f \x85x a\u00a0b \u3042\u3044", " ... ", "..,;! A.B.C :-) 's"]
+    for _ in range(2):  # first met, then known
+        got = enc.encode_all(texts)
+        assert [np.frombuffer(b, "<u2").tolist() for b in got] == [brute_ids(tok, t) for t in texts]
+    assert {"re", "%%%", "'ll", "straße", "...", "7f"} & set(enc.memo) == {"re", "%%%", "'ll", "straße", "..."}
+
+
 def check_plan(hist, window, slack=2):
     plan = packing.make_plan(hist, window, slack, first=5)
     filled = {}
