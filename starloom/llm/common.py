@@ -144,4 +144,9 @@ def word_codes(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarr
 def word_index(texts: pa.Array, lower: bool = False) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """:func:`word_codes` with the distinct words as a list; only these become Python objects."""
     known, numbers, sizes = word_codes(texts, lower)
-    return known.to_pylist(), numbers, sizes
+    if not len(known):
+        return [], numbers, sizes
+    # Cut from one buffer, several times as fast as to_pylist.
+    ends = np.frombuffer(known.buffers()[1], np.int32)[known.offset : known.offset + len(known) + 1]
+    raw, at = known.buffers()[2].to_pybytes(), ends.tolist()
+    return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], numbers, sizes

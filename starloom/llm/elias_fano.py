@@ -87,33 +87,58 @@ class EliasFano:
         place = word * 64 + self._select_in_word(self.high[word], i - self.ones[word].astype(np.int64))
         return ((place - i).astype(np.uint64) << np.uint64(self.bits)) | self._lows(i)
 
-    def _after_zero(self, k: np.ndarray) -> np.ndarray:
-        """How many ones stand before the k-th zero (from 0): select over the zeros."""
+    def _select_zero(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, place in it) of the k-th zero (from 0)."""
         if self._zeros is None:
             self._zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones.astype(np.int64)
         word = np.searchsorted(self._zeros, k, side="right") - 1
-        return word * 64 + self._select_in_word(~self.high[word], k - self._zeros[word]) - k
+        return word, self._select_in_word(~self.high[word], k - self._zeros[word])
+
+    def _between_zeros(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ones stand before the zero in front of the k-th (from 0), and before the k-th. Their
+        difference is the run of ones right below the k-th zero; it is selected where it leaves the word."""
+        word, at = self._select_zero(k)
+        end = word * 64 + at - k
+        # Ones at the top of what lies below the zero: 64 less the bits at and below the first zero there.
+        rest = ~(self.high[word] << (np.uint64(64) - at.astype(np.uint64) & np.uint64(63)))
+        for width in (1, 2, 4, 8, 16, 32):
+            rest |= rest >> np.uint64(width)
+        run = 64 - np.bitwise_count(rest).astype(np.int64)
+        start = end - run
+        over = np.flatnonzero((run >= at) & (k > 0))
+        if len(over):
+            w, p = self._select_zero(k[over] - 1)
+            start[over] = w * 64 + p - (k[over] - 1)
+        start[k == 0] = 0
+        return start, end
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """The place of each value, or -1: a successor search among the values with the same high
-        part, whose ends are found by select over the zeros."""
+        part, whose ends are found by select over the zeros. Most are one or two: they are looked at in
+        turn, and only where there are more a binary search goes on."""
         x = np.asarray(x, np.uint64)
         out = np.full(len(x), -1, np.int64)
         if not self.n or not len(x):
             return out
         high, low = (x >> np.uint64(self.bits)).astype(np.int64), x & np.uint64((1 << self.bits) - 1)
-        a, end = np.zeros(len(x), np.int64), self._after_zero(high)
-        some = np.flatnonzero(high > 0)
-        a[some] = self._after_zero(high[some] - 1)
+        a, end = self._between_zeros(high)
+        live = np.flatnonzero(a < end)
+        a, end, low = a[live], end[live], low[live]
+        for _ in range(3):
+            value = self._lows(a)
+            hit = value == low
+            out[live[hit]] = a[hit]
+            on = (value < low) & (a + 1 < end)
+            live, a, end, low = live[on], a[on] + 1, end[on], low[on]
         b = end.copy()
-        live = np.flatnonzero(a < b)
-        while len(live):
-            middle = (a[live] + b[live]) >> 1
-            less = self._lows(middle) < low[live]
-            a[live[less]] = middle[less] + 1
-            b[live[~less]] = middle[~less]
-            live = live[a[live] < b[live]]
+        left = np.arange(len(live))
+        while len(left):
+            middle = (a[left] + b[left]) >> 1
+            less = self._lows(middle) < low[left]
+            a[left[less]] = middle[less] + 1
+            b[left[~less]] = middle[~less]
+            left = left[a[left] < b[left]]
         some = np.flatnonzero(a < end)
         hit = some[self._lows(a[some]) == low[some]]
-        out[hit] = a[hit]
+        out[live[hit]] = a[hit]
         return out

@@ -62,8 +62,7 @@ def restore(code: np.ndarray) -> np.ndarray:
     return code.astype(np.float64) * -STEP
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+_hash = xxhash.xxh3_64_intdigest
 
 
 def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -372,9 +371,13 @@ def _count_triples(shape: Shape):
             found = look.pairs_of(block)
             at = np.flatnonzero(found.before >= 0)
             token = found.number[block.ids[at]].astype(np.uint64)
-            keys, first, counts = np.unique(found.before[at].astype(np.uint64) * v + token, return_index=True, return_counts=True)
+            keys = found.before[at].astype(np.uint64) * v + token
+            order = np.argsort(keys)  # any occurrence of a triple will do: all have one log10
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+            counts, keys = np.diff(np.append(first, len(keys))), keys[first]
             shard = shape.triple_shard((keys // v).astype(np.int64), (keys % v).astype(np.int64))
-            yield from _packed(shard, keys, counts, quantise(found.log10[at[first]]))
+            yield from _packed(shard, keys, counts, quantise(found.log10[at[order[first]]]))
 
     return run
 
