@@ -26,6 +26,17 @@ def test_elias_fano_access_and_find(values, extra):
         assert (i >= 0 and values[i] == x) if x in values else i == -1
 
 
+def test_one_select_gives_both_ends_of_a_bucket():
+    # Buckets of no, few and many values, runs of ones over several words.
+    values = np.unique(np.concatenate([np.arange(5), np.arange(600, 900), [2000, 2001, 4999]])).astype(np.uint64)
+    e = EliasFano.build(values, 5000)
+    high = np.arange((5000 >> e.bits) + 1)
+    start, end = e._between_zeros(high)
+    of = (values >> np.uint64(e.bits)).astype(np.int64)
+    assert start.tolist() == [(of < h).sum() for h in high] and end.tolist() == [(of <= h).sum() for h in high]
+    assert e.find(np.arange(5000)).tolist() == [int(np.searchsorted(values, x)) if x in set(values.tolist()) else -1 for x in range(5000)]
+
+
 def tokens(text):
     return [*(text or "").encode().lower().split(), b"\n"]
 
