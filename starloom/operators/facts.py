@@ -11,9 +11,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookup import heavy_hitters, lookup_skewed
+from starloom.operators.lookup import heavy_hitters, lookup_placed, lookup_skewed
 
 ORD = "_ord"
+# Staged lines that lie in buckets are hashed by this column: all lines of an order in one.
+PLACED_BY = "order_id"
 
 
 def fact_columns(extra: bool) -> list[Column]:
@@ -38,6 +40,7 @@ def resolve_fact_keys(
     dim_product: DataFrame,
     dim_date: DataFrame,
     dim_status: DataFrame,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Natural -> surrogate lookups.
 
@@ -46,14 +49,20 @@ def resolve_fact_keys(
     * status: left join, a miss keeps the line with a null ``status_key``.
     ``dim_status`` is bounded by the configured status list and ``dim_date`` by the number of
     calendar days, so both are broadcast; customer and product lookups are left to AQE (broadcast
-    when small at run time, otherwise sort-merge with skew splitting).
+    when small at run time, otherwise sort-merge with skew splitting). Lines that lie in ``buckets``
+    by ``PLACED_BY`` stay there and only their keys move (:func:`starloom.operators.lookup.lookup_placed`).
     """
     customers = dim_customer.select("customer_id", "customer_key")
     products = dim_product.select("product_id", "product_key")
     days = F.broadcast(dim_date.select("date_key"))
     statuses = F.broadcast(dim_status.select(F.col("status_label").alias("order_status"), "status_key"))
     f = lines.where(F.col("date_key").isNotNull())
-    f = f.join(customers, "customer_id", "inner").join(products, "product_id", "inner")
+    if buckets is None:
+        f = f.join(customers, "customer_id", "inner").join(products, "product_id", "inner")
+    else:
+        pairs = f = f.where(F.col("price").isNotNull())
+        f = lookup_placed(f, pairs, customers, "customer_id", PLACED_BY, buckets)
+        f = lookup_placed(f, pairs, products, "product_id", PLACED_BY, buckets)
     f = f.join(days, "date_key", "left_semi").join(statuses, "order_status", "left")
     return f.where(F.col("price").isNotNull()).select(*fact_columns(ORD in lines.columns))
 
@@ -117,14 +126,25 @@ def reason_counts() -> dict[str, Column]:
 
 
 def resolve_fact_keys_skewed(
-    lines: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, dim_date: DataFrame, dim_status: DataFrame
+    lines: DataFrame,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
+    dim_date: DataFrame,
+    dim_status: DataFrame,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The rows of :func:`resolve_fact_keys` where a few customers or products hold many lines: those
-    are found by a sketch and looked up by broadcast, so their lines are not shuffled."""
+    are found by a sketch and looked up by broadcast, so their lines are not shuffled. Of lines that lie
+    in ``buckets`` by ``PLACED_BY`` none are."""
     f = lines.where(F.col("date_key").isNotNull() & F.col("price").isNotNull())
     f = f.join(F.broadcast(dim_date.select("date_key")), "date_key", "left_semi")
     hot = heavy_hitters(lines, ["customer_id", "product_id"])
-    f = lookup_skewed(f, dim_customer.select("customer_id", "customer_key"), "customer_id", hot["customer_id"])
-    f = lookup_skewed(f, dim_product.select("product_id", "product_key"), "product_id", hot["product_id"])
+    pairs = f
+    for dim, key, surrogate in ((dim_customer, "customer_id", "customer_key"), (dim_product, "product_id", "product_key")):
+        found = dim.select(key, surrogate)
+        if buckets is None:
+            f = lookup_skewed(f, found, key, hot[key])
+        else:
+            f = lookup_placed(f, pairs, found, key, PLACED_BY, buckets, hot[key])
     f = f.join(F.broadcast(dim_status.select(F.col("status_label").alias("order_status"), "status_key")), "order_status", "left")
     return f.select(*fact_columns(ORD in lines.columns))

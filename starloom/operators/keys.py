@@ -70,14 +70,16 @@ def assign_surrogate_keys(
     )
 
 
-def assign_strided_keys(df: DataFrame, key: str, by: Sequence[str], partitions: int, start: int = 0) -> DataFrame:
+def assign_strided_keys(
+    df: DataFrame, key: str, by: Sequence[str], partitions: int, start: int = 0, placed_by: Sequence[str] | None = None
+) -> DataFrame:
     """Add a unique ``key`` above ``start`` to rows that are unique by ``by``.
 
-    The hash partitioning by ``by`` is that of an earlier ``repartition(partitions, *by)``, where
-    there is one, and costs nothing then. Within a partition rows are sorted by ``by``, so
+    The hash partitioning by ``by`` (or those of them in ``placed_by``) is that of an earlier
+    ``repartition(partitions, *by)``, where there is one, and costs nothing then. Within a partition rows are sorted by ``by``, so
     computing the frame again gives the same keys.
     """
-    placed = df.repartition(partitions, *by).sortWithinPartitions(*by)
+    placed = df.repartition(partitions, *(placed_by or by)).sortWithinPartitions(*by)
     part = F.spark_partition_id()
     position = _position(part, F.monotonically_increasing_id())
     return placed.select(

@@ -1,4 +1,5 @@
-"""Equi-join lookups of skewed keys: heavy hitters by broadcast, the rest by shuffle."""
+"""Equi-join lookups that move little of the rows: of skewed keys heavy hitters by broadcast, the rest by
+shuffle; of rows that lie hashed by another column only their keys."""
 
 from __future__ import annotations
 
@@ -37,3 +38,31 @@ def lookup_skewed(rows: DataFrame, dim: DataFrame, key: str, hot: Sequence) -> D
     is_hot = F.col(key).isin(list(hot))
     few = F.broadcast(dim.where(is_hot))
     return rows.where(is_hot).join(few, key).unionByName(rows.where(~is_hot).join(dim.where(~is_hot), key))
+
+
+def lookup_placed(
+    rows: DataFrame, pairs: DataFrame, dim: DataFrame, key: str, by: str, partitions: int, hot: Sequence = ()
+) -> DataFrame:
+    """``rows`` inner join ``dim`` on ``key``, where ``rows`` lie hashed by ``by`` (not null) in ``partitions``
+    partitions, as a bucketed table does, and stay there.
+
+    What moves are the distinct ``(by, key)`` of ``pairs`` (the rows as they are stored, so that a chain of
+    lookups does not compute the earlier ones again): to the dimension, unless that is broadcast, and
+    back to the place of ``by`` with what was found. ``hot`` keys (:func:`heavy_hitters`) meet a broadcast of
+    only their dimension rows, so that none of their pairs meet in one task either.
+
+    Spark hashes both sides of a join anew by all its equal keys, so only ``by`` is one and ``key`` is compared
+    as a range: a row meets all keys of its ``by``, which should be few (the products of an order).
+    """
+    is_hot = F.col(key).isin(list(hot)) if hot else F.lit(False)
+    values = [c for c in dim.columns if c != key]
+    cold = pairs.select(by, key).where(~is_hot).distinct().join(dim.where(~is_hot), key)
+    found = cold.select(F.col(by).alias("_by"), F.col(key).alias("_key"), F.struct(*values).alias("_found"))
+    same = (F.col(by) == F.col("_by")) & F.col(key).between(F.col("_key"), F.col("_key"))
+    joined = rows.join(found.repartition(partitions, "_by"), same, "left" if hot else "inner")
+    value = F.col("_found")
+    if hot:
+        few = F.broadcast(dim.where(is_hot).select(key, F.struct(*values).alias("_few")))
+        value = F.coalesce("_few", "_found")
+        joined = joined.join(few, key, "left").where(value.isNotNull())
+    return joined.select(*[F.col(c) for c in rows.columns], *[value[c].alias(c) for c in values])

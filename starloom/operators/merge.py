@@ -98,21 +98,23 @@ def append_once(
     loaded_col: str | None = "loaded_at",
     partitions: int | None = None,
     start: int | None = None,
+    placed_by: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Insert-once rows on a unique key: first batch row wins, rows already loaded never change.
 
     The batch is hash-partitioned by ``keys`` once, into ``partitions`` (the table's buckets, where
     it has them): removing duplicates, the anti join, the new rows' surrogate keys (above ``start``,
     else above the current maximum; no order) and a bucketed write all use that partitioning.
+    ``placed_by``: the batch lies hashed by these of the keys already; it is not moved where the table is empty.
     Returns ``(new table, inserted rows)``.
     """
     n = partitions or int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = batch.where(_not_null(keys)).repartition(n, *keys)
+    placed = batch.where(_not_null(keys)).repartition(n, *(placed_by or keys))
     new = keep_first(placed, keys, order).join(target.select(*keys), list(keys), "left_anti")
     if loaded_col is not None:
         new = new.withColumn(loaded_col, F.lit(run_ts).cast("timestamp"))
     first = max_key(target, surrogate) if start is None else start
-    inserted = assign_strided_keys(new, surrogate, list(keys), n, start=first).select(*target.columns)
+    inserted = assign_strided_keys(new, surrogate, list(keys), n, start=first, placed_by=placed_by).select(*target.columns)
     return target.unionByName(inserted), inserted
 
 

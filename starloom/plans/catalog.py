@@ -95,7 +95,8 @@ def loaded_star(spark: SparkSession, d: str):
     """Star loaded once per session and data folder (its keyed tables live in checkpoints)."""
     key = (spark.sparkContext.applicationId, id(spark), d)
     if key not in _STARS:
-        staged = stage(transform(_raw(spark, d), PARAMS))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        staged = stage(transform(_raw(spark, d), PARAMS), buckets=buckets)
         star, _ = load_star(None, staged, PARAMS, RUN1)
         _STARS[key] = (materialize(star), staged)
     return _STARS[key]
@@ -500,7 +501,8 @@ FACT_ROW_COLS = (
 @register("fact_lookup", "SELECT " + ", ".join(FACT_ROW_COLS) + " FROM fact_rows")
 def fact_lookup(spark, d):
     star, staged = loaded_star(spark, d)
-    rows = resolve_fact_keys(staged.lines, star["dim_customer"], star["dim_product"], star["dim_date"], star["dim_status"])
+    dims = [star[d] for d in ("dim_customer", "dim_product", "dim_date", "dim_status")]
+    rows = resolve_fact_keys(staged.lines, *dims, buckets=staged.buckets)
     return rows.select(*FACT_ROW_COLS)
 
 

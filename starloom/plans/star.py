@@ -18,12 +18,13 @@ from starloom.frames import rows_frame
 from starloom.operators.counters import Counters
 from starloom.operators.clean import clean_customers, clean_orders, clean_products, customer_aliases, resolve_aliases
 from starloom.operators.enrich import api_enrichment
-from starloom.operators.facts import reason_counts, resolve_fact_keys, route_fact_lines, tag_fact_lines
+from starloom.operators.facts import PLACED_BY, reason_counts, resolve_fact_keys, route_fact_lines, tag_fact_lines
 from starloom.operators.keys import assign_small_keys, max_key
 from starloom.operators.merge import append_once, insert_new, scd1_merge
 from starloom.params import Params
 from starloom.schemas import STAR_SCHEMAS
-from starloom.session import COMPACT, cut_lineage
+from starloom.session import COMPACT, cut_lineage, shared_folder
+from starloom.sources.bucketed import bucketed_table
 from starloom.sources.json_records import flatten_api_products, has_keys, validate_records
 from starloom.sources.warehouse import empty_table
 
@@ -47,6 +48,7 @@ class Staged(NamedTuple):
     products: DataFrame
     lines: DataFrame
     dim_date: DataFrame
+    buckets: int | None = None  # the lines lie in so many buckets by order id
 
 
 @dataclass
@@ -73,12 +75,15 @@ def transform(raw: RawSources, params: Params = Params(), counters: Counters | N
     return Staged(customers, clean_products(raw_products, enrichment), lines, orders.dim_date)
 
 
-def stage(staged: Staged, staging_root: str | None = None, counts: dict[str, int] | None = None) -> Staged:
+def stage(
+    staged: Staged, staging_root: str | None = None, counts: dict[str, int] | None = None, buckets: int | None = None
+) -> Staged:
     """Write the staged tables once and continue from the written copies.
 
     Lines feed both the fact load and the date dimension; reading them back means the cleaning
     and joins run once. With ``staging_root`` the tables land in the staging zone (Parquet, one
-    folder per table); otherwise in the reliable checkpoint folder.
+    folder per table); otherwise in the reliable checkpoint folder, where the lines can be kept in
+    ``buckets`` by order id: joining orders and items has hashed them so, and the load need not move them.
     """
     from starloom.operators.clean import dim_date_from_lines
     from starloom.operators.counters import observed
@@ -87,7 +92,11 @@ def stage(staged: Staged, staging_root: str | None = None, counts: dict[str, int
     def put(df: DataFrame, name: str) -> DataFrame:
         schema = df.schema
         df, obs = observed(df, f"staged_{name}")
-        if staging_root is None:
+        if name == "orders_clean" and buckets is not None and staging_root is None:
+            table = bucketed_table(shared_folder(df.sparkSession, f"staged-{name}"), schema, [PLACED_BY], buckets, COMPACT)
+            table.append(df, 1)
+            out = table.read(df.sparkSession).select(*schema.names)
+        elif staging_root is None:
             out = cut_lineage(df, f"staged-{name}", COMPACT)
         else:
             out = df.sparkSession.read.schema(schema).parquet(write_staging(df, f"{staging_root}/{name}"))
@@ -101,6 +110,7 @@ def stage(staged: Staged, staging_root: str | None = None, counts: dict[str, int
         products=put(staged.products, "products_clean"),
         lines=lines,
         dim_date=put(dim_date_from_lines(lines), "dim_date"),
+        buckets=buckets if staging_root is None else None,
     )
 
 
@@ -146,7 +156,8 @@ def load_star(
     """
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     spark = staged.lines.sparkSession
-    star = dict(star) if star is not None else empty_star(spark)
+    first_load = star is None
+    star = empty_star(spark) if star is None else dict(star)
     report = LoadReport()
     start = dict(max_keys) if max_keys is not None else {}
 
@@ -194,6 +205,8 @@ def load_star(
     }
     dims = {name: cut_lineage(df, name) for name, df in dims.items()}
 
+    # A table that holds facts or has buckets wants the lines by its own key; else they stay where they were staged.
+    placed = staged.buckets if first_load and fact_partitions is None and not keep_rejects else None
     lookups = [dims[d] for d in ("dim_customer", "dim_product", "dim_date", "dim_status")]
     if keep_rejects:
         tagged = tag_fact_lines(_with_order(staged.lines), *lookups)
@@ -201,7 +214,7 @@ def load_star(
             tagged = counters(tagged, "facts", **reason_counts())
         rows, report.rejects = route_fact_lines(cut_lineage(tagged, "tagged-lines", COMPACT))
     else:
-        rows = resolve_fact_keys(_with_order(staged.lines), *lookups)
+        rows = resolve_fact_keys(_with_order(staged.lines), *lookups, buckets=placed)
     fact_orders, report.inserted["fact_orders"] = append_once(
         star["fact_orders"],
         rows,
@@ -209,8 +222,9 @@ def load_star(
         [ORD],
         "fact_id",
         run_ts,
-        partitions=fact_partitions,
+        partitions=placed or fact_partitions,
         start=start.get("fact_orders"),
+        placed_by=[PLACED_BY] if placed is not None else None,
     )
     return {**dims, "fact_orders": fact_orders}, report
 

@@ -26,6 +26,7 @@ class BucketedTable:
     schema: T.StructType
     keys: tuple[str, ...]
     buckets: int
+    compression: str | None = None
 
     @property
     def name(self) -> str:
@@ -40,7 +41,7 @@ class BucketedTable:
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({cols}, {LOAD_VERSION} INT) USING parquet "
             f"PARTITIONED BY ({LOAD_VERSION}) CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
-            f"LOCATION '{location}'"
+            f"LOCATION '{location}'" + (f" OPTIONS (compression '{self.compression}')" if self.compression else "")
         )
         try:
             spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
@@ -73,7 +74,9 @@ class BucketedTable:
         return df if wanted == have else df.where(F.col(LOAD_VERSION).isin(wanted))
 
 
-def bucketed_table(folder: str, schema: T.StructType | str, keys: Sequence[str], buckets: int) -> BucketedTable:
+def bucketed_table(
+    folder: str, schema: T.StructType | str, keys: Sequence[str], buckets: int, compression: str | None = None
+) -> BucketedTable:
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    return BucketedTable(folder, schema, tuple(keys), buckets)
+    return BucketedTable(folder, schema, tuple(keys), buckets, compression)

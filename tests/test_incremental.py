@@ -3,6 +3,7 @@ taken from a column's first value. Results are compared with SQL in test_oracle;
 the plans."""
 
 import datetime as dt
+import re
 import warnings
 from dataclasses import replace
 
@@ -21,7 +22,7 @@ from starloom.operators.quality import quality_checks
 from starloom.operators.screen import SLOT_BITS, key_bitmaps, screened, screened_new_rows, slots_for
 from starloom.params import Params
 from starloom.plans.pipeline import PipelineConfig, run_pipeline
-from starloom.plans.star import load_star, materialize, transform
+from starloom.plans.star import load_star, materialize, stage, transform
 from starloom.schemas import DIM_CUSTOMER
 from starloom.session import cut_lineage
 from starloom.sources.bucketed import bucketed_table
@@ -182,6 +183,35 @@ def test_skewed_and_plain_lookups_agree(raw):
     assert a.dtypes == b.dtypes and sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
 
 
+def moved_columns(df):
+    """The columns of each shuffle of the plan."""
+    formatted = df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(formatted)
+    return [re.findall(r"(\w+)#", cols) for cols in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text)]
+
+
+def test_lines_staged_in_buckets_are_not_moved(raw, quiet):
+    """Only keys move to the dimensions and back; hashed by order, the lines lie where they were staged."""
+    plain, staged = stage(transform(raw, Params())), stage(transform(raw, Params()), buckets=4)
+    want, got = (load_star(None, s, Params(), T1) for s in (plain, staged))
+    facts = got[1].inserted["fact_orders"]
+    cols = [c for c in facts.columns if c != "fact_id"]
+    ids = [r.fact_id for r in facts.collect()]
+    assert len(set(ids)) == len(ids) and min(ids) > 0
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(facts.select(*cols)) == rows(want[0]["fact_orders"].select(*cols))
+    dims = [got[0][d] for d in ("dim_customer", "dim_product", "dim_date", "dim_status")]
+    lines = staged.lines.withColumn("customer_id", F.when(F.col("price") > 10, F.col("customer_id")))
+    hot = heavy_hitters(lines, ["customer_id", "product_id"])
+    assert hot["customer_id"] and hot["product_id"]  # and some are not
+    skewed = resolve_fact_keys_skewed(lines, *dims, buckets=4)
+    assert rows(skewed) == rows(resolve_fact_keys(lines, *dims)) == rows(resolve_fact_keys(lines, *dims, buckets=4))
+    for df in (facts, skewed):
+        moved = moved_columns(df)
+        assert moved and not [c for c in moved if "price" in c]
+    assert [c for c in moved_columns(want[1].inserted["fact_orders"]) if "price" in c]
+
+
 # ----------------------------------------------------------------------------- logs of dimensions and status
 
 
